@@ -27,3 +27,22 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def grouped(batches, key: str):
+    """Groups of equal `key` from batches that are sorted by it; a group may span batches, and must fit in memory."""
+    import pandas as pd
+
+    rest = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        starts = [0, *(i for i, new in enumerate(pdf[key].to_numpy()[1:] != pdf[key].to_numpy()[:-1], 1) if new), len(pdf)]
+        for a, b in zip(starts, starts[1:]):
+            part = pdf.iloc[a:b]
+            if rest and rest[-1][key].iloc[0] != part[key].iloc[0]:
+                yield pd.concat(rest, ignore_index=True)
+                rest = []
+            rest.append(part)
+    if rest:
+        yield pd.concat(rest, ignore_index=True)

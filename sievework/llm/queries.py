@@ -1,8 +1,9 @@
 """The queries of this package: each applies one operator, with production parameters, to its whole table."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import automaton, hostrules, htmlmain, ordinal, packing, toxicity, urlcascade, wavelet
+from . import ann, automaton, hostrules, htmlmain, ordinal, packing, toxicity, urlcascade, wavelet
 from .common import table
 
 #: The url rules of op6.
@@ -23,6 +24,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
