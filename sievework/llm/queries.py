@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, automaton, hostrules, htmlmain, ordinal, packing, toxicity, urlcascade, wavelet
+from . import ann, automaton, hostrules, htmlmain, jaccard, ordinal, packing, toxicity, urlcascade, wavelet
 from .common import table
 
 #: The url rules of op6.
@@ -44,6 +44,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlmain.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
