@@ -1,5 +1,8 @@
 """Bounded samples of labelled texts, for the classifiers, and scoring of whole texts by sums over words."""
 
+import pickle
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,22 +15,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int = ROWS_PER_LABEL) -> tuple[list[str], list[int], dict[int, float]]:
-    """Texts and labels of at most `rows` documents for each label value, by a hash order, and each value's share of all labels.
+def fitted(docs: DataFrame, labels: DataFrame, label: Column, fit, rows: int = ROWS_PER_LABEL):
+    """fit(texts, labels, shares) on at most `rows` documents for each label value, by a hash order; shares: of each value among all labels.
 
-    Only the chosen ids, a bounded number, are broadcast to the scan of the texts. Null labels and held-out rows take no part; a
-    document with several labels has the largest.
+    Only the chosen ids, a bounded number, are broadcast to the scan of the texts, and one task trains on that bounded sample; the
+    driver gets the model. Null labels and held-out rows take no part; a document with several labels has the largest.
     """
     ids = labels.select("doc_id", label.cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}  # one row for each grade
     chosen = [r for y in sorted(counts) for r in ids.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+    total = sum(counts.values())
+    shares = {y: n / total for y, n in counts.items()}
     if not chosen:
-        return [], [], {}
+        return fit([], [], {})
     few = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
-    got = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "y").collect()
-    unique = {r.text: r.y for r in sorted(got, key=lambda r: (r.doc_id, r.text or "")) if r.text}
-    total = sum(counts.values())
-    return list(unique), list(unique.values()), {y: n / total for y, n in counts.items()}
+    picked = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text != ''").select("doc_id", "text", "y")
+
+    def train(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        got = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "y": []}), *batches]).sort_values(["doc_id", "text"])
+        unique = {t: int(y) for t, y in zip(got["text"], got["y"])}
+        yield pd.DataFrame({"model": [pickle.dumps(fit(list(unique), list(unique.values()), shares))]})
+
+    return pickle.loads(picked.repartition(1).mapInPandas(train, "model binary").first().model)
 
 
 class Adam:

@@ -8,12 +8,13 @@ two grades to learn from, every tail is the share of the upper grades. Texts are
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import Adam, ROWS_PER_LABEL, WordScores, sample
+from .labelled import Adam, ROWS_PER_LABEL, WordScores, fitted
 
 BUCKETS, STEPS, RATE, DECAY = 1 << 18, 200, 0.3, 1e-5
 #: A document is kept if its grade reaches GRADE with at least this probability.
@@ -71,18 +72,23 @@ def fit(texts: list[str], graded: list[int], shares: dict[int, float]) -> Model:
     """Trains on a bounded sample, each grade weighted to its share among all labels."""
     import numpy as np
 
-    docs = [(w, g) for t, g in zip(texts, graded) if (w := words(t))]
-    y = np.array([g for _, g in docs], int)
-    if len(set(y.tolist())) < 2:
+    grade, lengths, number, tokens = array("b"), array("l"), {}, array("i")
+    for text, g in zip(texts, graded):  # only numbers are kept of a text
+        if ws := words(text):
+            tokens.extend([number.setdefault(w, len(number)) for w in ws])
+            grade.append(g)
+            lengths.append(len(ws))
+    y = np.array(grade, int)
+    if len(set(grade)) < 2:
         return Model(None, [], shares)
     top = int(y.max())
-    number: dict[str, int] = {}
-    tokens = np.array([number.setdefault(w, len(number)) for ws, _ in docs for w in ws], np.int32)
-    lengths = np.array([len(ws) for ws, _ in docs])
+    tokens, lengths = np.frombuffer(tokens, np.int32), np.frombuffer(lengths, np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    hashed = np.array([features(w) for w in number])
-    used, flat = np.unique(hashed, return_inverse=True)
-    flat = flat.reshape(hashed.shape)
+    hashed = array("i")
+    for w in number:
+        hashed.extend(features(w))
+    used, flat = np.unique(np.frombuffer(hashed, np.int32), return_inverse=True)
+    flat = flat.astype(np.int32).reshape(-1, 3)
     weight = np.array([shares[int(g)] / (y == g).mean() for g in y]) / len(y)
     weights, cuts = Adam(np.zeros(len(used)), RATE), Adam(np.array([0.0] + [0.0] * (top - 1)), RATE / 10)  # first cut, log gaps
     for _ in range(STEPS):
@@ -110,7 +116,7 @@ def fit(texts: list[str], graded: list[int], shares: dict[int, float]) -> Model:
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_LABEL, grade: int = GRADE, least: float = TAIL) -> DataFrame:
     """doc_id, expected_grade, tail (P(grade >= `grade`)) and kept for every row of docs(doc_id, text)."""
-    model = fit(*sample(docs, labels, grades(), rows))
+    model = fitted(docs, labels, grades(), fit, rows)
 
     def scored(batches: Iterator) -> Iterator:
         for pdf in batches:
@@ -125,7 +131,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, grade: int = GRADE, least: flo
     """The rows of docs that reach the grade with at least that probability, with their columns."""
     from pyspark.sql.types import StructType
 
-    model = fit(*sample(docs, labels, grades(), rows))
+    model = fitted(docs, labels, grades(), fit, rows)
 
     def kept(batches: Iterator) -> Iterator:
         for pdf in batches:

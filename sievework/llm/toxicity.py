@@ -7,12 +7,13 @@ learn from, every score is the share of the toxic label (0 without labels). Text
 """
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import Adam, ROWS_PER_LABEL, WordScores, held_out, sample
+from .labelled import Adam, ROWS_PER_LABEL, WordScores, fitted, held_out
 
 BUCKETS, DIMENSIONS, WINDOW, SHORTEST, LONGEST = 1 << 17, 8, 2, 3, 5
 STEPS, RATE, FIRST_BIAS, DECAY = 120, 0.05, -6.0, 1e-6
@@ -63,17 +64,25 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, float], seed: int
     """Trains on a bounded sample; shares: of each label among all labels."""
     import numpy as np
 
-    docs = [(w, y) for t, y in zip(texts, labels) if (w := words(t))]
-    y = np.array([b for _, b in docs], np.float64)
+    classes, lengths, number, tokens = array("b"), array("l"), {}, array("i")
+    for text, label in zip(texts, labels):  # only numbers are kept of a text
+        if ws := words(text):
+            tokens.extend([number.setdefault(w, len(number)) for w in ws])
+            classes.append(label)
+            lengths.append(len(ws))
+    y = np.array(classes, np.float64)
     if not 0 < y.sum() < len(y):
         return Model(None, 0.0, 1.0, float(shares.get(1, 0.0)))
-    number: dict[str, int] = {}
-    tokens = np.array([number.setdefault(w, len(number)) for ws, _ in docs for w in ws], np.int32)
-    grams = [subwords(w) for w in number]
-    sizes = np.array(list(map(len, grams)))
-    flat, owner = np.fromiter((g for x in grams for g in x), np.int32), np.repeat(np.arange(len(number), dtype=np.int32), sizes)
-    used, flat = np.unique(flat, return_inverse=True)
-    lengths = np.array([len(ws) for ws, _ in docs])
+    tokens, lengths = np.frombuffer(tokens, np.int32), np.frombuffer(lengths, np.int64)
+    flat, sizes = array("i"), array("l")
+    for w in number:
+        grams = subwords(w)
+        flat.extend(grams)
+        sizes.append(len(grams))
+    sizes = np.frombuffer(sizes, np.int64)
+    owner = np.repeat(np.arange(len(number), dtype=np.int32), sizes)
+    used, flat = np.unique(np.frombuffer(flat, np.int32), return_inverse=True)
+    flat = flat.astype(np.int32)
     per_doc = -(-lengths // WINDOW)
     ends = np.cumsum(lengths)
     starts = np.concatenate([np.arange(e - n, e, WINDOW) for e, n in zip(ends, lengths)])
@@ -107,7 +116,7 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, float], seed: int
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_LABEL, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of docs(doc_id, text), learned from labels(doc_id, toxic)."""
-    model = fit(*sample(docs, labels, F.col("toxic"), rows))
+    model = fitted(docs, labels, F.col("toxic"), fit, rows)
 
     def scored(batches: Iterator) -> Iterator:
         for pdf in batches:
@@ -121,7 +130,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """The rows of docs whose text scores under the threshold, with their columns."""
     from pyspark.sql.types import StructType
 
-    model = fit(*sample(docs, labels, F.col("toxic"), rows))
+    model = fitted(docs, labels, F.col("toxic"), fit, rows)
 
     def kept(batches: Iterator) -> Iterator:
         for pdf in batches:
