@@ -1,4 +1,78 @@
 """Named queries over the driver's tables, each with SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from sievework.operators import retrieval, review, upsert
+from sievework.sources.tables import read
+
+TERMS = ("the", "que", "der")
+
+
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.bm25_topk(read(spark, sf_dir, "documents"), list(TERMS), "lang", 5)
+
+
+def anchor_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.carry_forward(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", "text", "the", 3)
+
+
+def fill_missing_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    old = part.where("p_partkey % 3 <> 0").selectExpr("p_partkey", "p_name", "CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand")
+    return upsert.fill_missing(old, part, ["p_partkey"], ["p_brand"])
+
+
+def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    batch = part.where("p_partkey % 2 = 0").selectExpr("p_partkey", "upper(p_name) AS p_name")
+    return upsert.replace(part.where("p_partkey % 3 <> 0"), batch, ["p_partkey"])
+
+
+def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    batch = part.where("p_partkey % 2 = 0").selectExpr("p_partkey", "upper(p_name) AS p_name")
+    return upsert.insert_absent(part.where("p_partkey % 3 <> 0"), batch, ["p_partkey"])
+
+
+def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.confusion(read(spark, sf_dir, "labels"), "quality", "toxic")
+
+
+def reviewer_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.agreement(read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id"), "lang", "quality", "toxic")
+
+
+def language_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.mode(read(spark, sf_dir, "documents"), "source", "lang")
+
+
+QUERIES = {f.__name__: f for f in (bm25_topk, anchor_carry_forward, fill_missing_only, upsert_replace, insert_if_absent, confusion_matrix, reviewer_agreement, language_mode)}
+
+_BATCH = "old AS (SELECT p_partkey, p_name FROM part WHERE p_partkey % 3 <> 0), batch AS (SELECT p_partkey, upper(p_name) AS p_name FROM part WHERE p_partkey % 2 = 0)"
+ORACLE = {
+    "bm25_topk": f"""
+        WITH d AS (SELECT doc_id, lang, regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+') AS raw FROM documents),
+        t AS (SELECT doc_id, lang, list_filter(raw, lambda x: x <> '') AS tokens FROM d),
+        s AS (SELECT count(*) AS n, avg(len(tokens)) AS avgdl FROM t),
+        tf AS (SELECT doc_id, lang, len(tokens) AS dl, term, len(list_filter(tokens, lambda x: x = term)) AS tf FROM t, (VALUES {", ".join(f"('{x}')" for x in TERMS)}) q(term)),
+        df AS (SELECT term, count(*) AS df FROM tf WHERE tf > 0 GROUP BY term),
+        sc AS (SELECT doc_id, lang, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
+               FROM tf JOIN df USING (term), s WHERE tf > 0 GROUP BY doc_id, lang),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, doc_id) AS rank FROM sc)
+        SELECT lang, doc_id, score, rank FROM r WHERE rank <= 5""",
+    "anchor_carry_forward": """
+        WITH h AS (SELECT conv_id, turn, coalesce(contains(lower(text), 'the'), false) AS hit FROM conversations),
+        a AS (SELECT *, max(CASE WHEN hit THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor FROM h)
+        SELECT conv_id, turn, hit, CASE WHEN turn - anchor <= 3 THEN anchor END AS anchor FROM a""",
+    "fill_missing_only": """
+        WITH old AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand FROM part WHERE p_partkey % 3 <> 0)
+        SELECT o.p_partkey, o.p_name, coalesce(o.p_brand, b.p_brand) AS p_brand FROM old o LEFT JOIN part b USING (p_partkey)
+        UNION ALL SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM old)""",
+    "upsert_replace": f"WITH {_BATCH} SELECT * FROM old WHERE p_partkey NOT IN (SELECT p_partkey FROM batch) UNION ALL SELECT * FROM batch",
+    "insert_if_absent": f"WITH {_BATCH} SELECT * FROM old UNION ALL SELECT * FROM batch WHERE p_partkey NOT IN (SELECT p_partkey FROM old)",
+    "confusion_matrix": "SELECT quality AS truth, toxic AS guess, count(*) AS n FROM labels GROUP BY 1, 2",
+    "reviewer_agreement": "SELECT lang, count(*) AS n, sum((quality = toxic)::INT)::BIGINT AS agreed, round(avg((quality = toxic)::INT), 6) AS rate FROM labels JOIN documents USING (doc_id) GROUP BY lang",
+    "language_mode": """
+        WITH c AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS k FROM c) SELECT source, lang, n FROM r WHERE k = 1""",
+}
