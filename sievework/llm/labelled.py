@@ -59,7 +59,7 @@ class Adam:
 
 
 class WordScores:
-    """A bounded cache of a float for each word."""
+    """A bounded cache of a float for each word. score takes a list of words, so that new words are scored together."""
 
     def __init__(self, score, most: int = 400_000, long: int = 64):
         self.score, self.most, self.long, self.known = score, most, long, {}
@@ -69,9 +69,11 @@ class WordScores:
 
         if len(self.known) > self.most:
             self.known.clear()
-        known, score = self.known, self.score
-        for w in set(words).difference(known):
-            if len(w) <= self.long:
-                known[w] = score(w)
+        known = self.known
+        new = list(set(words).difference(known))
+        if not new:
+            return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
+        scores = dict(zip(new, self.score(new).tolist()))
+        known.update((w, x) for w, x in scores.items() if len(w) <= self.long)
         get = known.get
-        return np.array([x if (x := get(w)) is not None else score(w) for w in words], np.float64)
+        return np.fromiter((x if (x := get(w)) is not None else scores[w] for w in words), np.float64, len(words))

@@ -48,8 +48,10 @@ class Model:
     def __init__(self, weights, thresholds: list[float], shares: dict[int, float]):
         self.weights, self.thresholds, self.shares, self._scores = weights, thresholds, shares, None
 
-    def word(self, w: str) -> float:
-        return float(self.weights[features(w)].mean())
+    def words(self, vocabulary: list[str]):
+        import numpy as np
+
+        return self.weights[np.array([features(w) for w in vocabulary])].mean(1)
 
     def tails(self, text: str | None) -> list[float]:
         """P(grade >= 1), P(grade >= 2) and so on."""
@@ -60,7 +62,7 @@ class Model:
             return [0.0] * max(1, len(self.thresholds))
         if self.weights is None:
             return [float(sum(p for g, p in self.shares.items() if g > 0))]
-        self._scores = self._scores or WordScores(self.word)
+        self._scores = self._scores or WordScores(self.words)
         z = self._scores.of(tokens).mean()
         return [float(1 / (1 + np.exp(min(t - z, 500.0)))) for t in self.thresholds]
 

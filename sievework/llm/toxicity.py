@@ -6,7 +6,6 @@ The class shares of the sample are set right to those of all labels. Null and em
 learn from, every score is the share of the toxic label (0 without labels). Texts are scored whole.
 """
 
-import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -24,11 +23,30 @@ def words(text: str | None) -> list[str]:
     return text.lower().split() if isinstance(text, str) else []
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a word's character n-grams, with marks at its ends, and of the word."""
-    w = f"<{word}>"
-    grams = {w, *(w[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(w) - n + 1))}
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in sorted(grams)]
+def subwords(vocabulary: list[str]):
+    """(buckets, owners): of all words' character n-grams, with marks at a word's ends, and of the words; owners are word numbers."""
+    import numpy as np
+
+    marked = "".join(f"<{w}>" for w in vocabulary)
+    codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary)) + 2
+    starts = np.cumsum(sizes) - sizes
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    place = np.arange(len(codes)) - starts[word]
+    room = sizes[word] - place
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    powers = np.cumprod(np.full(int(sizes.max()), factor))
+    hashes, owners = [np.add.reduceat(codes * powers[place], starts)], [np.arange(len(sizes), dtype=np.int32)]
+    gram = codes.copy()
+    for n in range(2, LONGEST + 1):
+        gram[: len(codes) - n + 1] = gram[: len(codes) - n + 1] * factor + codes[n - 1 :]
+        if n >= SHORTEST:
+            at = np.flatnonzero(room >= n)
+            hashes.append(gram[at] + np.uint64(n))
+            owners.append(word[at])
+    h = np.concatenate(hashes)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((h ^ (h >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int32), np.concatenate(owners)
 
 
 class Model:
@@ -38,8 +56,12 @@ class Model:
         self.value, self.bias, self.factor, self.constant = value, bias, factor, constant
         self._scores = None
 
-    def word(self, w: str) -> float:
-        return float(self.value[subwords(w)].mean())
+    def words(self, vocabulary: list[str]):
+        """The mean over each word's subwords."""
+        import numpy as np
+
+        flat, owner = subwords(vocabulary)
+        return np.bincount(owner, self.value[flat], len(vocabulary)) / np.bincount(owner, minlength=len(vocabulary))
 
     def score(self, text: str | None) -> float:
         import numpy as np
@@ -49,7 +71,7 @@ class Model:
             return 0.0
         if self.constant is not None:
             return self.constant
-        self._scores = self._scores or WordScores(self.word)
+        self._scores = self._scores or WordScores(self.words)
         at = np.arange(0, len(tokens), WINDOW)
         z = np.add.reduceat(self._scores.of(tokens), at) / np.diff([*at, len(tokens)]) + self.bias
         clean = -np.logaddexp(0, z).sum()
@@ -74,14 +96,9 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, float], seed: int
     if not 0 < y.sum() < len(y):
         return Model(None, 0.0, 1.0, float(shares.get(1, 0.0)))
     tokens, lengths = np.frombuffer(tokens, np.int32), np.frombuffer(lengths, np.int64)
-    flat, sizes = array("i"), array("l")
-    for w in number:
-        grams = subwords(w)
-        flat.extend(grams)
-        sizes.append(len(grams))
-    sizes = np.frombuffer(sizes, np.int64)
-    owner = np.repeat(np.arange(len(number), dtype=np.int32), sizes)
-    used, flat = np.unique(np.frombuffer(flat, np.int32), return_inverse=True)
+    flat, owner = subwords(list(number))
+    sizes = np.bincount(owner, minlength=len(number))
+    used, flat = np.unique(flat, return_inverse=True)
     flat = flat.astype(np.int32)
     per_doc = -(-lengths // WINDOW)
     ends = np.cumsum(lengths)
