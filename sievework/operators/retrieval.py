@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 K1, B = 1.2, 0.75
 
 
+def _count(term: str):
+    return F.size(F.filter("tokens", lambda x: x == F.lit(term)))
+
+
 def bm25_topk(docs: DataFrame, terms: list[str], by: str, k: int) -> DataFrame:
     """The k best documents of each group by BM25 (k1 1.2, b 0.75) over all documents; ties to the smaller id.
 
     Term counts stay in one row for each document, so nothing but one row of statistics and the ranking's local top-k moves.
     """
     tokens = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    counted = docs.select(by, "doc_id", tokens.alias("tokens")).select(by, "doc_id", F.size("tokens").alias("dl"), *[F.size(F.filter("tokens", lambda x, t=t: x == t)).alias(f"tf{i}") for i, t in enumerate(terms)])
+    counted = docs.select(by, "doc_id", tokens.alias("tokens")).select(by, "doc_id", F.size("tokens").alias("dl"), *[_count(t).alias(f"tf{i}") for i, t in enumerate(terms)])
     stats = counted.agg(F.count(F.lit(1)).alias("docs"), F.avg("dl").alias("avgdl"), *[F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"df{i}") for i in range(len(terms))])
     joined = counted.where(reduce(lambda a, b: a | b, [F.col(f"tf{i}") > 0 for i in range(len(terms))])).join(F.broadcast(stats))  # one row
     length = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
