@@ -9,6 +9,7 @@ A word's encoding is the only path that spells it; it is searched longest arc fi
 
 import hashlib
 import json
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame
 
 from .tokens import CACHED, LONG, SPACED, WHITE
 
+#: Bytes by which the next arcs are looked up.
+START = 4
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: The public split pattern of byte-level BPE files with use_regex; white space as the Unicode property.
 PRE_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
@@ -53,7 +56,13 @@ class Automaton:
             self._gadget(i, a, b, c)
             self.arcs[spell(x + y)] = c
         self.labels |= {i: s for s, i in self.arcs.items()}
-        self.longest = max(map(len, self.arcs))
+        self.four = {i: i.to_bytes(4, "little") for i in self.labels}
+        longer: dict[bytes, set[int]] = {}
+        for x in self.arcs:
+            if len(x) > START:
+                longer.setdefault(x[:START], set()).add(len(x))
+        self.longer = {x: sorted(s, reverse=True) for x, s in longer.items()}
+        self.options = lru_cache(1 << 17)(self._options)
         self.has_arc = lru_cache(1 << 18)(self._has_arc)
         self.lost_at = lru_cache(1 << 15)(self._lost_at)
         self.cache: dict[str, tuple[bytes, bytes]] = {}
@@ -66,6 +75,11 @@ class Automaton:
         self.after[a], self.after[c] = len(self.parent) - 1, to
         self.left[c], self.born[c] = a, i
 
+    def _options(self, start: bytes) -> tuple[tuple[int, int], ...]:
+        """(size, arc) of what may be spelled next, longest first; the arc is -1 if it takes more bytes than `start` to tell."""
+        short = [(k, self.arcs[start[:k]]) for k in range(len(start), 0, -1) if start[:k] in self.arcs]
+        return (*((k, -1) for k in self.longer.get(start, ())), *short)
+
     def _lost_at(self, state: int) -> dict[int, int]:
         """The arcs that a state and its parents lost, each with the earliest time."""
         out = {}
@@ -86,25 +100,27 @@ class Automaton:
         """The ids of a pre-split word."""
         if (whole := self.arcs.get(spelled)) is not None and len(spelled) == 1:
             return [whole]
-        n, arcs, longest, after, has_arc = len(spelled), self.arcs, self.longest, self.after, self.has_arc
-        path, ends, at, state, take = [], [0], 0, 0, min(longest, n)
+        n, arcs, options, after, has_arc = len(spelled), self.arcs, self.options, self.after, self.has_arc
+        path, at, state, room = [], 0, 0, n
         dead = set()
         while at < n:
-            for size in range(min(take, n - at), 0, -1):
-                token = arcs.get(spelled[at : at + size])
-                if token is not None and (at + size, token) not in dead and has_arc(state, token):
+            for size, token in options(spelled[at : at + START]):
+                if size > room:
+                    continue
+                if token < 0 and (token := arcs.get(spelled[at : at + size])) is None:
+                    continue
+                if (not state or has_arc(state, token)) and not (dead and (at + size, token) in dead):
                     path.append(token)
                     at += size
-                    ends.append(at)
-                    state, take = after[token], longest
+                    state, room = after[token], n - at
                     break
             else:
                 if not path:
                     raise ValueError("no path spells the word")
-                dead.add((at, path.pop()))
-                ends.pop()
-                take = at - ends[-1] - 1
-                at = ends[-1]
+                token = path.pop()
+                dead.add((at, token))
+                room = len(self.labels[token]) - 1
+                at -= room + 1
                 state = after[path[-1]] if path else 0
         return path
 
@@ -117,26 +133,41 @@ class Automaton:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.labels.__getitem__, ids))
 
+    def _pieces(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids and labels of chunks that are split alike wherever they stand; a word in a chunk is such a chunk itself."""
+        found = list(map(self.cache.get, chunks))
+        for i, got in enumerate(found):
+            if got is None:
+                found[i] = self._chunk(chunks[i])
+        return found
+
     def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
-        ids = [t for w in PRE_SPLIT.findall(chunk) for t in self.word(w.encode())]
-        return b"".join(t.to_bytes(4, "little") for t in ids), self.decode(ids)
+        body = chunk.rstrip(string.punctuation)
+        if not (body[1:] if body[:1] == " " else body).isalpha():
+            words = PRE_SPLIT.findall(chunk)
+        else:  # letters, then marks
+            words = (body, chunk[len(body) :]) if len(body) < len(chunk) else (chunk,)
+        if len(words) == 1:
+            ids = self.word(chunk.encode())
+            got = b"".join(map(self.four.__getitem__, ids)), self.decode(ids)
+        else:
+            both = self._pieces(words)
+            got = b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
+        if len(chunk) <= LONG:
+            self.cache[chunk] = got
+        return got
 
     def encode_bytes(self, text: str) -> tuple[bytes, bytes]:
         """The ids as little-endian unsigned 32-bit integers, and the labels of their arcs."""
-        out, cache, at = [], self.cache, 0
-        if len(cache) > CACHED:
-            cache.clear()
+        out, at = [], 0
+        if len(self.cache) > CACHED:
+            self.cache.clear()
         marks = list(self.split_added.finditer(text)) if self.split_added else []
         for m in [*marks, None]:
-            for chunk in SPACED.findall(text[at : m.start()] if m else text[at:] if at else text):
-                if (got := cache.get(chunk)) is None:
-                    got = self._chunk(chunk)
-                    if len(chunk) <= LONG:
-                        cache[chunk] = got
-                out.append(got)
+            out += self._pieces(SPACED.findall(text[at : m.start()] if m else text[at:] if at else text))
             if m:
                 i = self.added[m.group()]
-                out.append((i.to_bytes(4, "little"), self.labels[i]))
+                out.append((self.four[i], self.labels[i]))
                 at = m.end()
         return b"".join([x[0] for x in out]), b"".join([x[1] for x in out])
 
