@@ -16,8 +16,10 @@ from functools import lru_cache
 import regex
 from pyspark.sql import DataFrame
 
-from .tokens import CACHED, LONG, SPACED, WHITE
+from .tokens import LONG, SPACED, WHITE
 
+#: Chunks in the cache of a process (some 400 bytes each).
+CACHED = 500_000
 #: Bytes by which the next arcs are looked up.
 START = 4
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
