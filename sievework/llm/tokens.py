@@ -6,6 +6,8 @@ Texts for which that is not plain (special tokens, unusual characters) go to the
 
 import os
 import re
+import string
+from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -15,8 +17,16 @@ WHITE = "\t-\r \x85\xa0  -     　"
 SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: What keeps a text from being lower-cased and split by Python as the library does it.
 UNUSUAL = re.compile("[^\t\n\r -~\xa1-į]|<\\|")
-#: Chunks in the cache of a process; longer chunks than LONG characters are not kept.
-CACHED, LONG = 250_000, 64
+#: Chunks in the cache of a process, some 250 bytes each; longer chunks than LONG characters are not kept.
+CACHED, LONG = 1_000_000, 64
+
+
+def parts(chunk: str) -> tuple[str, ...]:
+    """A chunk of letters (after a space or none) and then ASCII marks, which both files split between the two; else the chunk."""
+    body = chunk.rstrip(string.punctuation)
+    if len(body) < len(chunk) and (body[1:] if body[:1] == " " else body).isalpha():
+        return body, chunk[len(body) :]
+    return (chunk,)
 
 
 class CachedTokenizer:
@@ -35,7 +45,10 @@ class CachedTokenizer:
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        lists = [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        ends = (4 * np.cumsum([len(x) for x in lists])).tolist()
+        flat = np.fromiter(chain.from_iterable(lists), "<u4").tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _chunks(self, text: str) -> list[str] | None:
         if self.words_only:
@@ -47,10 +60,15 @@ class CachedTokenizer:
             self.cache.clear()
         chunks = [self._chunks(t) if isinstance(t, str) else [] for t in texts]
         cache = self.cache
-        missing = list({c for x in chunks if x for c in x if c not in cache})
+        pieces = {c: parts(c) for x in chunks if x for c in x if c not in cache}
+        missing = list({p for ps in pieces.values() for p in ps if p not in cache})
+        new = dict(zip(missing, self._encode(missing)))
         extra = {}
-        for c, b in zip(missing, self._encode(missing)):
+        for c, b in new.items():
             (cache if len(c) <= LONG else extra)[c] = b
+        for c, ps in pieces.items():
+            if len(ps) > 1:
+                (cache if len(c) <= LONG else extra)[c] = b"".join([cache[p] if p in cache else new[p] for p in ps])
         if extra:
             extra = extra.get
             get = lambda c: cache.get(c) or extra(c, b"")
