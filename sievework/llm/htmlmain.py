@@ -2,9 +2,9 @@
 
 A text node belongs to the path of block tags (with class and id) from the root to it. For each path of a page the text length and
 the punctuation are summed and divided by its nodes; the two ratios are smoothed over neighbours in page order and fused by their
-product. Paths at or above a share of the page's mean are content. Elements that hold no article text by their tag or by a word of
-their class or id are left out; under article or main every other path counts as content. A heading is
-kept with the block after it. Null or empty html gives an empty text.
+product, times MAIN_WEIGHT under article or main. Paths whose mean is at or above a share of the page's mean are content, on every
+page. Elements that hold no article text by their tag or by a word of their class or id are left out before. A heading is kept with
+the block after it. Null or empty html gives an empty text.
 """
 
 import html as entities
@@ -26,7 +26,7 @@ CHROME_WORD = re.compile(
 )
 MAIN = {"article", "main"}
 PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？…]")
-SMOOTHING, SHARE = (0.25, 0.5, 0.25), 0.5
+SMOOTHING, SHARE, MAIN_WEIGHT = (0.25, 0.5, 0.25), 0.5, 2
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 
@@ -89,8 +89,6 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     found = blocks(page) if isinstance(page, str) and page else []
     if not found:
         return ""
-    if any(main for _, main, _ in found):
-        found = [x for x in found if x[1]]
     nodes: dict[str, list[float]] = {}
     for path, _, text in found:
         n = nodes.setdefault(path, [0, 0, 0])
@@ -100,12 +98,13 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     order = [nodes[path] for path, _, _ in found]
     near = [[order[max(0, i - 1)], order[i], order[min(len(order) - 1, i + 1)]] for i in range(len(order))]
     fused = [sum(w * n[1] / n[0] for w, n in zip(SMOOTHING, x)) * (0.5 + sum(w * n[2] / n[0] for w, n in zip(SMOOTHING, x))) for x in near]
+    fused = [f * MAIN_WEIGHT if main else f for f, (_, main, _) in zip(fused, found)]
     least = share * sum(fused) / len(fused)
-    best: dict[str, float] = {}
+    total: dict[str, float] = {}
     for (path, _, _), f in zip(found, fused):
-        best[path] = max(best.get(path, 0.0), f)
-    kept = {path for path, f in best.items() if f >= least}
-    chosen = [main or path in kept for path, main, _ in found]
+        total[path] = total.get(path, 0.0) + f
+    kept = {path for path, f in total.items() if f / nodes[path][0] >= least}
+    chosen = [path in kept for path, _, _ in found]
     for i in range(len(found) - 2, -1, -1):  # a heading goes with the block after it
         chosen[i] = chosen[i] or chosen[i + 1] and re.search(r"(?:^|/)h[1-6][^/]*$", found[i][0]) is not None
     return " ".join(text for keep, (_, _, text) in zip(chosen, found) if keep)

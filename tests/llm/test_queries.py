@@ -45,6 +45,17 @@ def test_html():
     assert main_text(page) == "A & B One two. Three" and main_text(None) == main_text("") == ""
 
 
+def test_html_paths_decide_under_article():
+    from sievework.llm.htmlmain import main_text
+
+    body = "".join(f"<p>Sentence {i}, of some length, with commas; it goes on and on, as body text does.</p>" for i in range(4))
+    menu = "<ul class='x1'>" + "".join(f"<li>Item {i}</li>" for i in range(12)) + "</ul>"
+    text = main_text(f"<body><article><h1>Title</h1>{body}{menu}</article></body>")
+    assert text.startswith("Title Sentence 0") and "Sentence 3" in text and "Item" not in text
+    text = main_text(f"<body><article><p>Teaser</p></article><div id='b'>{body}</div></body>")
+    assert all(f"Sentence {i}" in text for i in range(4))
+
+
 def test_ordinal():
     from sievework.llm.ordinal import fit
 
