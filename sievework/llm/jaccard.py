@@ -7,7 +7,8 @@ pair is counted only in the least of the buckets that both share, so no pair is
 links and a root within the tile, and components are found over these.
 
 A text of fewer than SIZE words has one shingle, all its words. Null and empty texts have none: they form one class and link to none.
-A null id takes part; a class's name is its smallest id, null if it has no other.
+A null id takes part; a class's name is its smallest id, null if it has no other. Ids may be null or repeated in any number of rows:
+rows are found again by a hash of id and text, never by the id alone.
 """
 
 from collections.abc import Iterator
@@ -104,8 +105,13 @@ def descend(nodes, rows, sketches, steps: int):
     return nodes, rows
 
 
+def row_key():
+    """A 64-bit name for a row, by doc_id (null too) and text."""
+    return F.xxhash64("doc_id", "text")
+
+
 def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, sid, n (shingles) and sketch of every document."""
+    """doc_id, row, sid, n (shingles) and sketch of every document."""
 
     def rows(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -113,12 +119,12 @@ def sets_of(docs: DataFrame) -> DataFrame:
         s = shingler()
         for pdf in batches:
             out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc_id, row, text in zip(pdf["doc_id"], pdf["row"], pdf["text"]):
                 x = s.shingles(text)
-                out.append((doc_id, set_id(x), len(x), s.sketch(x).tobytes()))
-            yield pd.DataFrame(out, columns=["doc_id", "sid", "n", "sketch"]).astype({"doc_id": "Int64"})
+                out.append((doc_id, row, set_id(x), len(x), s.sketch(x).tobytes()))
+            yield pd.DataFrame(out, columns=["doc_id", "row", "sid", "n", "sketch"]).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, sid long, n long, sketch binary")
+    return docs.select("doc_id", row_key().alias("row"), "text").mapInPandas(rows, "doc_id long, row long, sid long, n long, sketch binary")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -236,7 +242,7 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
 
     member = "tile long, key long, a int, b int, block int, sid long, keys array<long>"
     close = settled(tiles.mapInPandas(by_sketch, member), "close")
-    wanted = close.select("sid").distinct().join(classes.select("sid", "doc_id"), "sid")
+    wanted = close.select("sid").distinct().join(classes.select("sid", "row"), "sid")
 
     def texts(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -246,7 +252,7 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
             sets = [(sid, x.tobytes()) for sid, t in zip(pdf["sid"], pdf["text"]) if set_id(x := s.shingles(t)) == sid]
             yield pd.DataFrame(sets, columns=["sid", "elements"])
 
-    read = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("sid", "text")
+    read = docs.select(row_key().alias("row"), "text").join(wanted, "row").select("sid", "text")
     sets = read.mapInPandas(texts, "sid long, elements binary").groupBy("sid").agg(F.any_value("elements").alias("elements"))
 
     def exact(batches: Iterator) -> Iterator:
@@ -291,20 +297,29 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("sid", "label")
 
 
-def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id, group_id, n_copies (documents of the class), n_links (other classes linked) of every row of docs(doc_id, text)."""
+def _named(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """The rows of sets_of, and for each class: sid, doc_id and row (of its row with the smallest id, null last), n_copies, n_links, label (of its group)."""
     rows = settled(sets_of(docs), "sets")
-    classes = settled(rows.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_copies")), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    classes = rows.groupBy("sid").agg(first.alias("first"), F.max("n").alias("n"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_copies"))
+    classes = settled(classes.select("sid", "first.doc_id", "first.row", "n", "sketch", "n_copies"), "classes")
     found = links(docs, classes, buckets(classes.where("n > 0")), similarity)
     linked = found.groupBy("sid").agg(F.sum("links").alias("n_links")).join(components(found), "sid", "left")
-    named = classes.select("sid", "doc_id", "n_copies").join(linked, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    named = settled(named, "named")
+    named = classes.select("sid", "doc_id", "row", "n_copies").join(linked, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    return rows, settled(named, "named")
+
+
+def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id, group_id, n_copies (documents of the class), n_links (other classes linked) of every row of docs(doc_id, text)."""
+    rows, named = _named(docs, similarity)
     groups = named.groupBy("label").agg(F.min("doc_id").alias("group_id"))
     names = named.join(groups, "label").select("sid", F.col("doc_id").alias("class_id"), "group_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return rows.select("doc_id", "sid").join(names, "sid").select("doc_id", "class_id", "group_id", "n_copies", "n_links")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs that stay: of each group the row with the smallest id, with its columns."""
-    kept = join(docs, similarity).where(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))).drop("kept_id").dropDuplicates(["doc_id"])
+    """The rows of docs that stay: one of each group, with the smallest id (null last, then by set), with its columns."""
+    _, named = _named(docs, similarity)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sid", "row"))
+    kept = named.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias("kept_row"))
+    return docs.join(kept, row_key() == F.col("kept_row")).dropDuplicates(["kept_row"]).drop("kept_row")

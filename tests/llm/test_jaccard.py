@@ -68,6 +68,16 @@ def test_equals_brute_force(spark):
     assert abs(kept.count() - len({w[1] for w in want.values()})) <= 2
 
 
+def test_null_and_repeated_ids(spark):
+    text = lambda i: " ".join(f"{w}{i}" for w in "abcdefghijkl")
+    rows = [(None, text(i)) for i in range(20)] + [(7, text(i)) for i in range(20, 30)] + [(i, text(i)) for i in range(30, 40)]
+    rows += [(None, text(3)), (99, text(4)), (7, text(25)), (7, text(38)), (None, None), (None, None)]
+    kept = [tuple(r) for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(t or "" for _, t in kept) == sorted([text(i) for i in range(40)] + [""])
+    ids = {t: i for i, t in kept}
+    assert ids[text(3)] is None and ids[text(4)] == 99 and ids[text(25)] == ids[text(38)] == 7 and ids[text(39)] == 39
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert join(docs).count() == 0 and keep_one(docs.withColumn("x", F.lit(1))).count() == 0
