@@ -3,7 +3,8 @@
 Each of TABLES tables hashes a vector by HASHES Gaussian projections cut into cells of a width. A query visits its own bucket and the
 PROBES - 1 perturbed ones with the least sum of squared distances to the cell borders it would cross. Buckets are cut into blocks of
 bounded size; each block gives a query's nearest k + 1 of its vectors, and the tables' lists are merged. Queries that find fewer than k
-are compared with all vectors, in blocks. Equal vectors form one class that carries its k + 1 smallest ids, which is all that can count.
+are compared with all vectors, in blocks. Equal vectors form one class that carries its k + 1 smallest ids, which is all that can count;
+a row that is there twice counts once.
 The width comes from a sample of SAMPLE vectors; every vector is indexed. Vectors null, empty, zero, of another length than the
 smallest id's, or with null or non-finite components take no part, and neither do null ids. Ties go to the smaller id.
 """
@@ -31,8 +32,8 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 def classes_of(rows: DataFrame, keep: int) -> DataFrame:
     """A row for each distinct vector: class (its smallest id), ids (the `keep` smallest, ascending) and the vector."""
     smallest = Window.partitionBy("vector").orderBy("id")
-    few = rows.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= keep)
-    return few.groupBy("vector").agg(F.min("id").alias("class"), F.array_sort(F.array_distinct(F.collect_list("id"))).alias("ids"))
+    few = rows.select("id", "vector").distinct().withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= keep)
+    return few.groupBy("vector").agg(F.min("id").alias("class"), F.array_sort(F.collect_list("id")).alias("ids"))
 
 
 class Hashing:

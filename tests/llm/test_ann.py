@@ -37,6 +37,13 @@ def test_recall_and_order(spark):
     assert [v for _, v, _ in sorted(got[0])] == [v for v, _ in want[0]]
 
 
+def test_repeated_rows_of_equal_vectors(spark):
+    same = [1.0, 0.0]
+    rows = [(0, same, 1)] * 11 + [(i, same, 1) for i in range(1, 21)] * 2 + [(50, [0.0, 1.0], 1)]
+    got = sorted(tuple(r) for r in search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 100 == 0).collect())
+    assert got == [(0, i, i, 0.0) for i in range(1, 11)]
+
+
 def test_small_and_empty(spark):
     rows = [(0, [1.0, 0.0], 1), (7, [0.0, 1.0], 1), (3, [0.0, 1.0], 1)]
     got = [tuple(r) for r in search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 100 == 0).collect()]
