@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
@@ -33,3 +33,18 @@ def carry_forward(rows: DataFrame, group: str, order: str, text: str, term: str,
     last = F.max(F.when(F.col("hit"), F.col(order))).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     out = rows.select(group, order, hit.alias("hit")).withColumn("anchor", last)
     return out.withColumn("anchor", F.when(F.col(order) - F.col("anchor") <= limit, F.col("anchor")))
+
+
+def bounded_carry_forward(rows: DataFrame, group: str, order: str, is_text: Column, hit: Column, other: Column, limit: int) -> DataFrame:
+    """group, order, hit, other and anchor: the position of the last text row with a hit, on the next `limit` text rows without one.
+
+    A text row that names another entity ends it, unless it is itself a hit. Hits have no anchor. Rows that are no text neither get one
+    nor count. Null conditions count as false; `order` is unique in a group.
+    """
+    flags = {"is_text": is_text, "hit": hit, "other": other}
+    out = rows.select(group, order, *[F.coalesce(c, F.lit(False)).alias(n) for n, c in flags.items()])
+    event = F.when(F.col("is_text") & (F.col("hit") | F.col("other")), 1).otherwise(0)
+    out = out.withColumn("segment", F.sum(event).over(Window.partitionBy(group).orderBy(order)))
+    segment = Window.partitionBy(group, "segment", "is_text").orderBy(order)
+    out = out.withColumns({"place": F.row_number().over(segment) - 1, "start": F.first(F.when(F.col("hit"), F.col(order))).over(segment)})
+    return out.select(group, order, "hit", "other", F.when(F.col("is_text") & F.col("place").between(1, limit), F.col("start")).alias("anchor"))

@@ -1,6 +1,7 @@
 """Named queries over the driver's tables, each with SQL that gives the same rows."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievework.operators import retrieval, review, upsert
 from sievework.sources.tables import read
@@ -16,6 +17,11 @@ def anchor_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.carry_forward(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", "text", "the", 3)
 
 
+def anchor_bounded_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.lower("text")
+    return retrieval.bounded_carry_forward(read(spark, sf_dir, "conversations"), "conv_id", "turn", F.col("role") == "user", text.contains("the"), text.contains("que"), 3)
+
+
 def fill_missing_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     old = part.where("p_partkey % 3 <> 0").selectExpr("p_partkey", "p_name", "CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand")
@@ -46,7 +52,7 @@ def language_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.mode(read(spark, sf_dir, "documents"), "source", "lang")
 
 
-QUERIES = {f.__name__: f for f in (bm25_topk, anchor_carry_forward, fill_missing_only, upsert_replace, insert_if_absent, confusion_matrix, reviewer_agreement, language_mode)}
+QUERIES = {f.__name__: f for f in (bm25_topk, anchor_carry_forward, anchor_bounded_carry_forward, fill_missing_only, upsert_replace, insert_if_absent, confusion_matrix, reviewer_agreement, language_mode)}
 
 _BATCH = "old AS (SELECT p_partkey, p_name FROM part WHERE p_partkey % 3 <> 0), batch AS (SELECT p_partkey, upper(p_name) AS p_name FROM part WHERE p_partkey % 2 = 0)"
 ORACLE = {
@@ -64,6 +70,14 @@ ORACLE = {
         WITH h AS (SELECT conv_id, turn, coalesce(contains(lower(text), 'the'), false) AS hit FROM conversations),
         a AS (SELECT *, max(CASE WHEN hit THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor FROM h)
         SELECT conv_id, turn, hit, CASE WHEN turn - anchor <= 3 THEN anchor END AS anchor FROM a""",
+    "anchor_bounded_carry_forward": """
+        WITH h AS (SELECT conv_id, turn, coalesce(role = 'user', false) AS is_text, coalesce(contains(lower(text), 'the'), false) AS hit,
+                          coalesce(contains(lower(text), 'que'), false) AS other FROM conversations),
+        e AS (SELECT a.conv_id, a.turn, max(b.turn) AS event FROM h a JOIN h b ON a.conv_id = b.conv_id AND b.turn < a.turn AND b.is_text AND (b.hit OR b.other)
+              WHERE a.is_text AND NOT a.hit AND NOT a.other GROUP BY 1, 2),
+        n AS (SELECT e.conv_id, e.turn, event, count(*) AS steps FROM e JOIN h b ON b.conv_id = e.conv_id AND b.is_text AND b.turn > event AND b.turn <= e.turn GROUP BY 1, 2, 3)
+        SELECT h.conv_id, h.turn, h.hit, h.other, s.turn AS anchor FROM h LEFT JOIN n ON n.conv_id = h.conv_id AND n.turn = h.turn AND steps <= 3
+        LEFT JOIN h s ON s.conv_id = h.conv_id AND s.turn = event AND s.hit""",
     "fill_missing_only": """
         WITH old AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand FROM part WHERE p_partkey % 3 <> 0)
         SELECT o.p_partkey, o.p_name, coalesce(o.p_brand, b.p_brand) AS p_brand FROM old o LEFT JOIN part b USING (p_partkey)
