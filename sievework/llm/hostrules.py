@@ -16,10 +16,16 @@ WINDOW, LEAST_WORDS, MOST_REPEATED, MOST_SYMBOLS, MOST_LINES = 5, 10, 20, 10, 30
 LIMIT, BROADCAST_HOSTS, SALTS = 0.5, 50_000, 64
 RULES = ("base", "symbols", "lines")
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+MEASURED = [c.split()[0] for c in COUNTS.split(", ")]
 
 
-def measure(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a whole text."""
+def lines_of(text: str | None) -> list[str]:
+    """The lines of a text that have a word."""
+    return [x for x in text.split("\n") if x.strip(" \t\n\v\f\r")] if isinstance(text, str) else []
+
+
+def measure(text: str | None, lines: list[str] | None = None) -> tuple[int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a whole text; its lines_of may be given."""
     import numpy as np
 
     if not isinstance(text, str):
@@ -28,7 +34,7 @@ def measure(text: str | None) -> tuple[int, int, int, int, int]:
     n = len(words)
     chars = len(text) - sum(map(text.count, " \t\n\v\f\r"))
     symbols = sum(map(text.count, "#*$%&|<>"))
-    lines = [x for x in text.split("\n") if x.strip(" \t\n\v\f\r")]
+    lines = lines_of(text) if lines is None else lines
     number: dict[bytes, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
     repeated = 0
@@ -52,20 +58,21 @@ def measure(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def measured(docs: DataFrame, domain: str = "source") -> DataFrame:
-    """doc_id, domain, the five counts, and a failure flag for each rule."""
+    """doc_id, domain, the five counts, n_lines (with a word), and a failure flag for each rule."""
 
     def rows(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for pdf in batches:
-            counts = pd.DataFrame([measure(t) for t in pdf["text"]], columns=[c.split()[0] for c in COUNTS.split(", ")])
+            lines = list(map(lines_of, pdf["text"]))
+            counts = pd.DataFrame([(*measure(t, x), len(x)) for t, x in zip(pdf["text"], lines)], columns=[*MEASURED, "n_lines"])
             yield pd.concat([pdf[["doc_id", "domain"]].reset_index(drop=True), counts], axis=1)
 
-    out = docs.select("doc_id", F.col(domain).cast("string").alias("domain"), "text").mapInPandas(rows, f"doc_id long, domain string, {COUNTS}")
+    out = docs.select("doc_id", F.col(domain).cast("string").alias("domain"), "text").mapInPandas(rows, f"doc_id long, domain string, {COUNTS}, n_lines long")
     return out.withColumns({
         "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
         "symbols_failed": 100 * F.col("n_symbols") > MOST_SYMBOLS * F.col("word_chars"),
-        "lines_failed": 100 * F.col("n_dup_lines") > MOST_LINES * F.col("n_words"),
+        "lines_failed": 100 * F.col("n_dup_lines") > MOST_LINES * F.col("n_lines"),
     })
 
 
@@ -97,4 +104,4 @@ def judge(docs: DataFrame, domain: str = "source", limit: float = LIMIT) -> Data
         spread = hosts.withColumnRenamed("domain", "host").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rows = rows.withColumn("at", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
         joined = rows.join(spread, same & (F.col("at") == F.col("salt")))
-    return joined.select("doc_id", *[c.split()[0] for c in COUNTS.split(", ")], "base_failed", "host_kept", (~F.col("base_failed") & F.col("host_kept")).alias("kept"))
+    return joined.select("doc_id", *MEASURED, "base_failed", "host_kept", (~F.col("base_failed") & F.col("host_kept")).alias("kept"))

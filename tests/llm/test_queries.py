@@ -38,6 +38,19 @@ def test_base_counts(spark):
     assert rows.count() == spark.read.parquet(f"{DIR}/documents.parquet").count()
 
 
+def test_duplicate_lines_are_a_share_of_the_lines(spark):
+    from sievework.llm.hostrules import judge, measured
+
+    lined = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(6)] + ["one line", "one line", "one line", "one line"]
+    docs = [(i, "\n".join(lined), "bad") for i in range(6)] + [(i, "\n".join(lined[:7]), "good") for i in range(6, 12)] + [(12, None, "good")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    assert {r.doc_id: r.lines_failed for r in measured(docs).collect()} == {i: False for i in range(13)}  # 3 of 10
+    docs = docs.selectExpr("doc_id", "CASE WHEN source = 'bad' THEN concat(text, '\n', 'one line') ELSE text END AS text", "source")
+    assert {r.doc_id: r.lines_failed for r in measured(docs).collect()} == {i: i < 6 for i in range(13)}
+    kept = {r.doc_id: (r.base_failed, r.host_kept) for r in judge(docs).collect()}
+    assert all(kept[i] == (False, i >= 6) for i in range(12))
+
+
 def test_html():
     from sievework.llm.htmlmain import main_text
 
