@@ -5,11 +5,13 @@ PROBES - 1 perturbed ones with the least sum of squared distances to the cell bo
 bounded size; each block gives a query's nearest k + 1 of its vectors, and the tables' lists are merged. Queries that find fewer than k
 are compared with all vectors, in blocks. Equal vectors form one class that carries its k + 1 smallest ids, which is all that can count;
 a row that is there twice counts once.
-The width comes from a sample of SAMPLE vectors; every vector is indexed. Vectors null, empty, zero, of another length than the
-smallest id's, or with null or non-finite components take no part, and neither do null ids. Ties go to the smaller id.
+The width comes from a sample of SAMPLE vectors; every vector is indexed. Vectors are searched among those of their own length, one
+search for each length that a query has. Vectors null, empty, zero, or with null or non-finite components take no part, and neither do
+null ids. Ties go to the smaller id.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,30 +94,34 @@ def nearest(queries: list, ids, x, found: list, k: int) -> None:
         found.extend((qid, int(ids[i]), float(d[i])) for i in top[np.lexsort((ids[top], d[top]))][:k])
 
 
-def width_of(classes: DataFrame, k: int) -> tuple[int, float]:
-    """The dimension and the cell width, from a bounded sample."""
+def width_of(classes: DataFrame, k: int) -> float:
+    """The cell width, from a bounded sample."""
     import numpy as np
 
-    first = classes.orderBy("class").select(F.size("vector").alias("n")).first()
-    if first is None:
-        return 0, 1.0
-    got = classes.where(F.size("vector") == first.n).orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("vector").collect()
+    got = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("vector").collect()
+    if not got:
+        return 1.0
     x = np.array([r.vector for r in got], np.float64)
     d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0))
     d.sort(1)
     typical = float(np.median(d[:, min(k, len(x) - 1)]))
-    return first.n, WIDTH * (typical or 1.0)
+    return WIDTH * (typical or 1.0)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest found. is_query is a condition on a column named id."""
     rows = usable(vectors, vec_id, embedding)
     classes = settled(classes_of(rows, k + 1), "classes")
-    dimensions, width = width_of(classes, k)
-    classes = classes.where(F.size("vector") == dimensions)
-    asked = rows.where(is_query & (F.size("vector") == dimensions)).select("id", "vector").distinct()
+    asked = rows.where(is_query).select("id", "vector").distinct()
+    lengths = sorted(r.n for r in asked.select(F.size("vector").alias("n")).distinct().collect())
+    of_length = lambda df, n: df.where(F.size("vector") == n)
+    return reduce(DataFrame.union, [_search(of_length(classes, n), of_length(asked, n), n, k) for n in lengths or [1]])
+
+
+def _search(classes: DataFrame, asked: DataFrame, dimensions: int, k: int) -> DataFrame:
+    """What search gives, for classes and queries asked of one length."""
     distinct = settled(asked.groupBy("vector").agg(F.min("id").alias("query")), "queries")
-    hashing = Hashing(max(dimensions, 1), width)
+    hashing = Hashing(dimensions, width_of(classes, k))
 
     def index(batches: Iterator) -> Iterator:
         import numpy as np

@@ -44,6 +44,12 @@ def test_repeated_rows_of_equal_vectors(spark):
     assert got == [(0, i, i, 0.0) for i in range(1, 11)]
 
 
+def test_every_length_is_searched(spark):
+    rows = [(0, [1.0], 1), (1, [1.0, 0.0], 1), (2, [3.0], 1), (100, [0.0, 1.0], 1), (200, [1.0, 1.0, 1.0], 1), (5, [0.0, 2.0], 1)]
+    got = sorted(tuple(r) for r in search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 100 == 0).collect())
+    assert got == [(0, 1, 2, 2.0), (100, 1, 5, 1.0), (100, 2, 1, 2**0.5)]
+
+
 def test_small_and_empty(spark):
     rows = [(0, [1.0, 0.0], 1), (7, [0.0, 1.0], 1), (3, [0.0, 1.0], 1)]
     got = [tuple(r) for r in search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 100 == 0).collect()]
