@@ -1,6 +1,6 @@
 """Jaccard join on word shingles by chosen paths.
 
-Texts with equal shingle sets form one class. In each of RUNS runs the classes descend a tree: a node picks one or two tokens of a
+Texts with equal shingle sets form one class. The runs are as many as TARGET_RECALL takes, for a pair just similar enough. In each, the classes descend a tree: a node picks one or two tokens of a
 set's MinHash sketch by the node's own hash, and the child's name holds the token. Buckets over BUCKET classes are split further, to
 MAX_DEPTH; what is left is compared by brute force, in tiles of bounded size, first by sketch and then on the exact shingle sets. A
 pair is counted only in the least of the buckets that both share, so no pair is ever emitted: tiles give each class its number of
@@ -11,6 +11,8 @@ A null id takes part; a class's name is its smallest id, null if it has no other
 rows are found again by a hash of id and text, never by the id alone.
 """
 
+import itertools
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -19,12 +21,31 @@ from pyspark.sql import functions as F
 from .common import grouped, settled
 
 SIZE, SIMILARITY = 5, 0.8
-RUNS, FIRST_DEPTH, STEP, MAX_DEPTH, BUCKET, SKETCH, SEED = 10, 2, 2, 6, 64, 64, 23
+TARGET_RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, BUCKET, SKETCH, SEED = 0.995, 2, 2, 6, 64, 64, 23
 #: Classes in a block (a tile compares two), buckets over a block that may be broadcast, and the least similarity by sketch.
 TILE, HEAVY, LEAST_BY_SKETCH = 384, 100_000, 0.62
 CACHED = 300_000
 
 
+def expected_recall(runs: int, similarity: float) -> float:
+    """The chance that a pair passes the sketch filter and shares a bucket of MAX_DEPTH, over the sketch positions it may share."""
+    total = 0.0
+    for m in range(math.ceil(LEAST_BY_SKETCH * SKETCH), SKETCH + 1):
+        p, apart = m / SKETCH, 0.0
+        for _ in range(MAX_DEPTH):
+            lost = 1 - p + p * apart
+            apart = 0.75 * lost + 0.25 * lost * lost
+        total += math.comb(SKETCH, m) * similarity**m * (1 - similarity) ** (SKETCH - m) * (1 - apart**runs)
+    return total
+
+
+def runs_for(similarity: float, target: float = TARGET_RECALL) -> int:
+    """The fewest runs whose expected recall at the least similarity reaches the target."""
+    if expected_recall(1 << 20, similarity) < target:
+        raise ValueError(f"no number of runs reaches recall {target} at similarity {similarity}")
+    return next(n for n in itertools.count(1) if expected_recall(n, similarity) >= target)
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles, and MinHash sketches of them."""
 
@@ -127,14 +148,14 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", row_key().alias("row"), "text").mapInPandas(rows, "doc_id long, row long, sid long, n long, sketch binary")
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """sid and key: the final buckets, of two classes or more, of classes(sid, sketch)."""
+def buckets(classes: DataFrame, runs: int) -> DataFrame:
+    """sid and key: the final buckets of some runs, of two classes or more, of classes(sid, sketch)."""
 
     def first(batches: Iterator) -> Iterator:
-        yield from _extend(batches, FIRST_DEPTH, True)
+        yield from _extend(batches, FIRST_DEPTH, runs)
 
     def further(batches: Iterator) -> Iterator:
-        yield from _extend(batches, STEP, False)
+        yield from _extend(batches, STEP)
 
     schema, done, depth = "sid long, key long", [], FIRST_DEPTH
     rows = classes.select("sid", "sketch").mapInPandas(first, schema)
@@ -155,7 +176,8 @@ def buckets(classes: DataFrame) -> DataFrame:
     return settled(out.select("sid", "key").distinct(), "leaves")
 
 
-def _extend(batches: Iterator, steps: int, roots: bool) -> Iterator:
+def _extend(batches: Iterator, steps: int, runs: int = 0) -> Iterator:
+    """Children of the rows' nodes, or with runs, of their roots."""
     import numpy as np
     import pandas as pd
 
@@ -163,9 +185,9 @@ def _extend(batches: Iterator, steps: int, roots: bool) -> Iterator:
         if len(pdf):
             sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint32).reshape(len(pdf), SKETCH)
             rows = np.arange(len(pdf))
-            if roots:
-                nodes = np.repeat(_mix(np.arange(1, RUNS + 1, dtype=np.uint64) * np.uint64(7919)), len(pdf))
-                rows = np.tile(rows, RUNS)
+            if runs:
+                nodes = np.repeat(_mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(7919)), len(pdf))
+                rows = np.tile(rows, runs)
             else:
                 nodes = pdf["key"].to_numpy(np.int64).view(np.uint64)
             nodes, rows = descend(nodes, rows, sketches, steps)
@@ -303,7 +325,7 @@ def _named(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     classes = rows.groupBy("sid").agg(first.alias("first"), F.max("n").alias("n"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_copies"))
     classes = settled(classes.select("sid", "first.doc_id", "first.row", "n", "sketch", "n_copies"), "classes")
-    found = links(docs, classes, buckets(classes.where("n > 0")), similarity)
+    found = links(docs, classes, buckets(classes.where("n > 0"), runs_for(similarity)), similarity)
     linked = found.groupBy("sid").agg(F.sum("links").alias("n_links")).join(components(found), "sid", "left")
     named = classes.select("sid", "doc_id", "row", "n_copies").join(linked, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     return rows, settled(named, "named")

@@ -78,6 +78,27 @@ def test_null_and_repeated_ids(spark):
     assert ids[text(3)] is None and ids[text(4)] == 99 and ids[text(25)] == ids[text(38)] == 7 and ids[text(39)] == 39
 
 
+def test_runs_reach_the_target_recall():
+    import numpy as np
+    import pandas as pd
+
+    from sievework.llm import jaccard as j
+
+    runs, rng, pairs = j.runs_for(0.8), np.random.default_rng(5), 3000
+    assert j.expected_recall(runs, 0.8) >= j.TARGET_RECALL > j.expected_recall(runs - 1, 0.8)
+    sketches = []
+    for _ in range(pairs):  # 80 of 100 elements shared
+        x = rng.integers(0, 1 << 63, 100, np.uint64)
+        sketches += [j.shingler().sketch(x[:90]), j.shingler().sketch(np.concatenate([x[:80], x[90:]]))]
+    rows = pd.DataFrame({"sid": range(2 * pairs), "sketch": [s.tobytes() for s in sketches]})
+    nodes = next(iter(j._extend([rows], j.MAX_DEPTH, runs)))
+    keys = nodes.groupby("sid")["key"].agg(set)
+    near = [(sketches[i] == sketches[i + 1]).mean() >= j.LEAST_BY_SKETCH for i in range(0, 2 * pairs, 2)]
+    found = sum(ok and bool(keys.get(2 * i, set()) & keys.get(2 * i + 1, set())) for i, ok in enumerate(near))
+    print("recall", found / pairs, "of", pairs)
+    assert found >= (j.TARGET_RECALL - 0.004) * pairs
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert join(docs).count() == 0 and keep_one(docs.withColumn("x", F.lit(1))).count() == 0
