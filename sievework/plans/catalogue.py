@@ -40,6 +40,20 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.insert_absent(part.where("p_partkey % 3 <> 0"), batch, ["p_partkey"])
 
 
+def _sizes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Old rows and a batch that overlap by size and together hold every part."""
+    part = read(spark, sf_dir, "part")
+    return part.where("coalesce(p_size, 0) <= 30").select("p_partkey", "p_name"), part.where("p_size > 20").selectExpr("p_partkey", "upper(p_name) AS p_name")
+
+
+def upsert_replace_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.replace(*_sizes(spark, sf_dir), ["p_partkey"])
+
+
+def insert_if_absent_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.insert_absent(*_sizes(spark, sf_dir), ["p_partkey"])
+
+
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.confusion(read(spark, sf_dir, "labels"), "quality", "toxic")
 
@@ -52,7 +66,7 @@ def language_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.mode(read(spark, sf_dir, "documents"), "source", "lang")
 
 
-QUERIES = {f.__name__: f for f in (bm25_topk, anchor_carry_forward, anchor_bounded_carry_forward, fill_missing_only, upsert_replace, insert_if_absent, confusion_matrix, reviewer_agreement, language_mode)}
+QUERIES = {f.__name__: f for f in (bm25_topk, anchor_carry_forward, anchor_bounded_carry_forward, fill_missing_only, upsert_replace, insert_if_absent, upsert_replace_whole, insert_if_absent_whole, confusion_matrix, reviewer_agreement, language_mode)}
 
 _BATCH = "old AS (SELECT p_partkey, p_name FROM part WHERE p_partkey % 3 <> 0), batch AS (SELECT p_partkey, upper(p_name) AS p_name FROM part WHERE p_partkey % 2 = 0)"
 ORACLE = {
@@ -84,6 +98,8 @@ ORACLE = {
         UNION ALL SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM old)""",
     "upsert_replace": f"WITH {_BATCH} SELECT * FROM old WHERE p_partkey NOT IN (SELECT p_partkey FROM batch) UNION ALL SELECT * FROM batch",
     "insert_if_absent": f"WITH {_BATCH} SELECT * FROM old UNION ALL SELECT * FROM batch WHERE p_partkey NOT IN (SELECT p_partkey FROM old)",
+    "upsert_replace_whole": "SELECT p_partkey, CASE WHEN p_size > 20 THEN upper(p_name) ELSE p_name END AS p_name FROM part",
+    "insert_if_absent_whole": "SELECT p_partkey, CASE WHEN p_size > 30 THEN upper(p_name) ELSE p_name END AS p_name FROM part",
     "confusion_matrix": "SELECT quality AS truth, toxic AS guess, count(*) AS n FROM labels GROUP BY 1, 2",
     "reviewer_agreement": "SELECT lang, count(*) AS n, sum((quality = toxic)::INT)::BIGINT AS agreed, round(avg((quality = toxic)::INT), 6) AS rate FROM labels JOIN documents USING (doc_id) GROUP BY lang",
     "language_mode": """
