@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
+
 #: Labelled rows of each label value that a classifier is fitted on, at most.
 ROWS_PER_LABEL = 2500
 
@@ -19,26 +21,31 @@ def fitted(docs: DataFrame, labels: DataFrame, label: Column, fit, rows: int = R
     """fit(texts, labels, shares) on at most `rows` documents for each label value, by a hash order; shares: of each value among all labels.
 
     Only the chosen ids, a bounded number, are broadcast to the scan of the texts, and one task trains on that bounded sample; the
-    driver gets the model. Null labels and held-out rows take no part; a document with several labels has the largest.
+    driver gets the model. Null labels and held-out rows take no part; a document with several labels has the largest. With no text to
+    learn from (no labels, no documents, only empty texts), fit gets empty lists.
     """
-    ids = labels.select("doc_id", label.cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
+    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}  # one row for each grade
     chosen = [r for y in sorted(counts) for r in ids.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
     total = sum(counts.values())
     shares = {y: n / total for y, n in counts.items()}
     if not chosen:
-        return fit([], [], {})
+        return fit([], [], shares)
     few = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
-    picked = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text != ''").select("doc_id", "text", "y")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").where("text != ''").select("doc_id", "text", "y")
 
     def train(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
 
-        got = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "y": []}), *batches]).sort_values(["doc_id", "text"])
-        unique = {t: int(y) for t, y in zip(got["text"], got["y"])}
-        yield pd.DataFrame({"model": [pickle.dumps(fit(list(unique), list(unique.values()), shares))]})
+        held = {}  # of equal texts the label of the largest id
+        for batch in batches:
+            for doc_id, text, y in zip(*(c.to_pylist() for c in batch.columns)):
+                held[text] = max(held.get(text, (doc_id, y)), (doc_id, y))
+        texts = sorted(held, key=lambda t: (held[t], t))
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit(texts, [held[t][1] for t in texts], shares))]})
 
-    return pickle.loads(picked.repartition(1).mapInPandas(train, "model binary").first().model)
+    got = in_batches(picked.repartition(1), train, "model binary").first()
+    return pickle.loads(got.model) if got else fit([], [], shares)
 
 
 class Adam:
@@ -59,21 +66,24 @@ class Adam:
 
 
 class WordScores:
-    """A bounded cache of a float for each word. score takes a list of words, so that new words are scored together."""
+    """A bounded cache of a row of numbers for each word. score takes a list of words, so that new words are scored together."""
 
-    def __init__(self, score, most: int = 400_000, long: int = 64):
-        self.score, self.most, self.long, self.known = score, most, long, {}
+    def __init__(self, score, most_bytes: int = 64 << 20):
+        self.score, self.most_bytes, self.known, self.rows, self.held = score, most_bytes, {}, None, 0
 
     def of(self, words: list[str]):
         import numpy as np
 
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        new = list(set(words).difference(known))
-        if not new:
-            return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
-        scores = dict(zip(new, self.score(new).tolist()))
-        known.update((w, x) for w, x in scores.items() if len(w) <= self.long)
-        get = known.get
-        return np.fromiter((x if (x := get(w)) is not None else scores[w] for w in words), np.float64, len(words))
+        if self.held > self.most_bytes:
+            self.known, self.rows, self.held = {}, None, 0
+        known, n = self.known, len(self.known)
+        if new := list(set(words).difference(known)):
+            scores = self.score(new)
+            if self.rows is None or len(self.rows) < n + len(new):
+                grown = np.empty((2 * (n + len(new)), *scores.shape[1:]))
+                grown[:n] = 0 if self.rows is None else self.rows[:n]
+                self.rows = grown
+            self.rows[n : n + len(new)] = scores
+            known.update(zip(new, range(n, n + len(new))))
+            self.held += sum(map(len, new)) + 160 * len(new)
+        return self.rows[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]

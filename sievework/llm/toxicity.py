@@ -1,9 +1,11 @@
 """Toxicity by subword bags: the vectors of a window's character n-grams are averaged into a linear softmax of two classes.
 
-Vectors and softmax are trained jointly in numpy. A document is toxic unless each of its windows is clean, so its score is one less
-the product of the windows' clean probabilities (a few words of abuse in a long text count in full). Misspellings share n-grams.
-The class shares of the sample are set right to those of all labels. Null and empty texts score 0; with one class or no labels to
-learn from, every score is the share of the toxic label (0 without labels). Texts are scored whole.
+Vectors and softmax are trained jointly in numpy. A window is a word with the one after it (the last word of a text stands alone). A
+document is toxic unless each of its windows is clean, so its score is one less the product of the windows' clean probabilities (a few
+words of abuse in a long text count in full). Misspellings share n-grams. The class shares of the sample are set right to those of all
+labels. Null and empty texts score 0; with one class or no labels or documents to learn from, every other score is the share of the
+toxic label (0 without labels). Texts are scored whole; repeated rows score alike; an empty table gives no rows; ids may be null;
+columns but doc_id and text are not read.
 """
 
 from array import array
@@ -12,11 +14,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_rows, in_batches, kept_rows
 from .labelled import Adam, ROWS_PER_LABEL, WordScores, fitted, held_out
 
-BUCKETS, DIMENSIONS, WINDOW, SHORTEST, LONGEST = 1 << 17, 8, 2, 3, 5
+BUCKETS, DIMENSIONS, SHORTEST, LONGEST = 1 << 17, 8, 3, 5
 STEPS, RATE, FIRST_BIAS, DECAY = 120, 0.05, -6.0, 1e-6
 THRESHOLD = 0.3
+SCHEMA = "doc_id long, held_out boolean, score double"
 
 
 def words(text: str | None) -> list[str]:
@@ -72,8 +76,8 @@ class Model:
         if self.constant is not None:
             return self.constant
         self._scores = self._scores or WordScores(self.words)
-        at = np.arange(0, len(tokens), WINDOW)
-        z = np.add.reduceat(self._scores.of(tokens), at) / np.diff([*at, len(tokens)]) + self.bias
+        s = self._scores.of(tokens)
+        z = (s + np.append(s[1:], s[-1])) / 2 + self.bias
         clean = -np.logaddexp(0, z).sum()
         odds = self.factor * np.expm1(min(-clean, 500.0))
         return float(odds / (1 + odds))
@@ -97,29 +101,36 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, float], seed: int
         return Model(None, 0.0, 1.0, float(shares.get(1, 0.0)))
     tokens, lengths = np.frombuffer(tokens, np.int32), np.frombuffer(lengths, np.int64)
     flat, owner = subwords(list(number))
-    sizes = np.bincount(owner, minlength=len(number))
+    sizes = np.bincount(owner, minlength=len(number)).astype(np.float32)
     used, flat = np.unique(flat, return_inverse=True)
     flat = flat.astype(np.int32)
-    per_doc = -(-lengths // WINDOW)
-    ends = np.cumsum(lengths)
-    starts = np.concatenate([np.arange(e - n, e, WINDOW) for e, n in zip(ends, lengths)])
-    width = np.diff([*starts, len(tokens)])
-    first = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
+    by_bucket = np.argsort(flat, kind="stable")
+    owner_by_bucket, bucket_starts = owner[by_bucket], np.searchsorted(flat[by_bucket], np.arange(len(used)))
+    by_owner = np.argsort(owner, kind="stable")
+    flat_by_owner, owner_starts = flat[by_owner], np.searchsorted(owner[by_owner], np.arange(len(number)))
+    first = np.cumsum(lengths) - lengths
+    inner = np.full(len(tokens), np.float32(0.5))  # the part of a window that its second word has
+    inner[first + lengths - 1] = 0
+    inner = inner[:-1]
     rng = np.random.default_rng(seed)
-    vectors = Adam(rng.normal(0, 0.1, (len(used), DIMENSIONS)), RATE)
+    vectors = Adam(rng.normal(0, 0.1, (len(used), DIMENSIONS)).astype(np.float32), RATE)
     soft = Adam(np.stack([-(r := rng.normal(0, 0.3, DIMENSIONS)), r]), RATE)
     bias = Adam(np.array([FIRST_BIAS]), RATE)
     for _ in range(STEPS):
-        line = soft.x[1] - soft.x[0]
+        line = (soft.x[1] - soft.x[0]).astype(np.float32)
         value = vectors.x @ line
-        by_word = np.bincount(owner, value[flat]) / sizes
-        z = np.add.reduceat(by_word[tokens], starts) / width + bias.x[0]
-        p = 1 / (1 + np.exp(-z))
-        clean = np.add.reduceat(-np.logaddexp(0, z), first)
-        pull = np.where(y > 0, -1 / np.expm1(np.maximum(-clean, 1e-9)), 1.0) / len(y)
-        dz = p * np.repeat(pull, per_doc)
-        d_word = np.bincount(tokens, np.repeat(dz / width, width), len(number)) / sizes
-        d_value = np.bincount(flat, d_word[owner], len(used)) + DECAY * value
+        by_word = np.add.reduceat(value[flat_by_owner], owner_starts) / sizes
+        z = by_word[tokens]
+        z[:-1] += (z[1:] - z[:-1]) * inner
+        odds = np.exp(np.minimum(z + np.float32(bias.x[0]), 60))
+        clean = -np.add.reduceat(np.log1p(odds), first)
+        pull = np.where(y > 0, -1 / np.expm1(np.clip(-clean, 1e-9, 500.0)), 1.0) / len(y)
+        dz = (odds / (1 + odds)) * np.repeat(pull.astype(np.float32), lengths)
+        d_token = dz.copy()
+        d_token[:-1] -= dz[:-1] * inner
+        d_token[1:] += dz[:-1] * inner
+        d_word = (np.bincount(tokens, d_token, len(number)) / sizes).astype(np.float32)
+        d_value = np.add.reduceat(d_word[owner_by_bucket], bucket_starts) + np.float32(DECAY) * value
         d_line = vectors.x.T @ d_value
         vectors.step(np.outer(d_value, line))
         soft.step(np.stack([-d_line, d_line]))
@@ -136,21 +147,14 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_LABEL, thresh
     model = fitted(docs, labels, F.col("toxic"), fit, rows)
 
     def scored(batches: Iterator) -> Iterator:
-        for pdf in batches:
-            yield pdf[["doc_id", "held_out"]].assign(score=[model.score(t) for t in pdf["text"]])
+        for batch in batches:
+            yield arrow_rows([(model.score(t),) for t in batch.column("text").to_pylist()], SCHEMA, doc_id=batch.column("doc_id"), held_out=batch.column("held_out"))
 
-    out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInPandas(scored, "doc_id long, held_out boolean, score double")
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    return in_batches(read, scored, SCHEMA).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = ROWS_PER_LABEL) -> DataFrame:
-    """The rows of docs whose text scores under the threshold, with their columns."""
-    from pyspark.sql.types import StructType
-
+    """The rows of docs whose text scores under the threshold, with their columns; each row is judged by itself."""
     model = fitted(docs, labels, F.col("toxic"), fit, rows)
-
-    def kept(batches: Iterator) -> Iterator:
-        for pdf in batches:
-            yield pdf[[model.score(t) < threshold for t in pdf["text"]]]
-
-    return docs.mapInPandas(kept, StructType(docs.schema.fields))
+    return kept_rows(docs, "text", lambda t: model.score(t) < threshold)
