@@ -1,7 +1,12 @@
 """Host-level quality rules: failures of each rule are summed by domain, the rates shrunk by an empirical beta prior, verdicts joined back.
 
-The prior of a rule has the mean and variance of the domains' rates (method of moments). A domain with a shrunk rate over the limit
-for any rule is rejected with all its documents. Null texts have no words; a null domain is a domain of its own.
+The prior of a rule has the mean of all documents and the spread of the domains' rates beyond what chance gives them, each domain
+weighted by its documents. A domain is rejected, with all its documents, if for any rule its failure rate lies, with CONFIDENCE standard
+deviations of its beta posterior to spare, over both FACTOR times the rate of all documents and LEAST_RATE: small domains are spared by
+the prior, large bad ones are not. A domain that holds most documents sets the rate itself and is not rejected for it.
+
+Null texts have no words; a null domain is a domain of its own; repeated rows count and come back as often as they are there; an empty
+table gives no rows; ids may be null; texts are measured whole; columns but doc_id, text and the domain are not read.
 """
 
 from collections.abc import Iterator
@@ -9,11 +14,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import arrow_rows, in_batches, settled
 
 WINDOW, LEAST_WORDS, MOST_REPEATED, MOST_SYMBOLS, MOST_LINES = 5, 10, 20, 10, 30
-#: Shrunk rate of failures over which a domain is rejected, and most domains in a broadcast; more are joined by salted keys.
-LIMIT, BROADCAST_HOSTS, SALTS = 0.5, 50_000, 64
+#: What a domain's rate must exceed, and by how many standard deviations; most domains in a broadcast (more are joined by salted keys).
+FACTOR, LEAST_RATE, CONFIDENCE, BROADCAST_HOSTS, SALTS = 3.0, 0.2, 2.0, 50_000, 64
 RULES = ("base", "symbols", "lines")
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 MEASURED = [c.split()[0] for c in COUNTS.split(", ")]
@@ -60,15 +65,15 @@ def measure(text: str | None, lines: list[str] | None = None) -> tuple[int, int,
 def measured(docs: DataFrame, domain: str = "source") -> DataFrame:
     """doc_id, domain, the five counts, n_lines (with a word), and a failure flag for each rule."""
 
-    def rows(batches: Iterator) -> Iterator:
-        import pandas as pd
+    schema = f"doc_id long, domain string, {COUNTS}, n_lines long"
 
-        for pdf in batches:
-            lines = list(map(lines_of, pdf["text"]))
-            counts = pd.DataFrame([(*measure(t, x), len(x)) for t, x in zip(pdf["text"], lines)], columns=[*MEASURED, "n_lines"])
-            yield pd.concat([pdf[["doc_id", "domain"]].reset_index(drop=True), counts], axis=1)
+    def rows(batches: Iterator) -> Iterator:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            counts = [(*measure(t, lines := lines_of(t)), len(lines)) for t in texts]
+            yield arrow_rows(counts, schema, doc_id=batch.column("doc_id"), domain=batch.column("domain"))
 
-    out = docs.select("doc_id", F.col(domain).cast("string").alias("domain"), "text").mapInPandas(rows, f"doc_id long, domain string, {COUNTS}, n_lines long")
+    out = in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(domain).cast("string").alias("domain"), "text"), rows, schema)
     return out.withColumns({
         "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
         "symbols_failed": 100 * F.col("n_symbols") > MOST_SYMBOLS * F.col("word_chars"),
@@ -76,27 +81,40 @@ def measured(docs: DataFrame, domain: str = "source") -> DataFrame:
     })
 
 
-def host_verdicts(rows: DataFrame, limit: float = LIMIT) -> DataFrame:
+def host_verdicts(rows: DataFrame, factor: float = FACTOR, least_rate: float = LEAST_RATE, confidence: float = CONFIDENCE) -> DataFrame:
     """domain, n, a shrunk rate for each rule, and host_kept."""
     hosts = rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"{r}_failed").cast("long")).alias(r) for r in RULES])
-    rate = {r: F.col(r) / F.col("n") for r in RULES}
-    prior = hosts.agg(*[f(rate[r]).alias(f"{r}_{k}") for r in RULES for k, f in (("mean", F.avg), ("var", F.var_pop))]).first()
-    shrunk = {}
+    n = F.col("n")
+    total = hosts.agg(F.sum("n").alias("n"), F.count("n").alias("hosts"), F.sum(n * n).alias("n2"), *[F.sum(r).alias(r) for r in RULES]).first()
+    mean = {r: (total[r] or 0) / (total["n"] or 1) for r in RULES}
+    spread = hosts.agg(*[F.sum(n * (F.col(r) / n - mean[r]) ** 2).alias(r) for r in RULES]).first()
+    columns, limits = {}, []
     for r in RULES:
-        mean, var = prior[f"{r}_mean"], prior[f"{r}_var"]
-        if mean is None or not 0 < mean < 1:
-            shrunk[r] = rate[r]
-            continue
-        strength = max(1.0, min(mean * (1 - mean) / var - 1, 1e6)) if var else 1e6
-        shrunk[r] = (F.col(r) + mean * strength) / (F.col("n") + strength)
-    out = hosts.select("domain", "n", *[shrunk[r].alias(f"{r}_rate") for r in RULES])
-    return out.withColumn("host_kept", F.greatest(*[F.col(f"{r}_rate") for r in RULES]) <= limit)
+        m = mean[r]
+        strength = prior_strength(m, spread[r] or 0.0, total["n"] or 0, total["hosts"], total["n2"] or 0)
+        rate = (F.col(r) + m * strength) / (n + strength)
+        columns[f"{r}_rate"] = rate
+        limits.append(rate - confidence * F.sqrt(rate * (1 - rate) / (n + strength + 1)) > max(factor * m, least_rate))
+    out = hosts.withColumns(columns)
+    return out.withColumn("host_kept", ~(limits[0] | limits[1] | limits[2])).select("domain", "n", *columns, "host_kept")
+
+
+def prior_strength(mean: float, spread: float, n: int, hosts: int, n2: int) -> float:
+    """The prior's weight in documents, 1 to a million: spread is the sum over hosts of n * (rate - mean)^2, n2 that of n^2.
+
+    Under a beta prior of this weight w, the expected spread is m(1-m) * ((hosts - 1) + (n - n2/n - hosts + 1) / (w + 1)).
+    """
+    variance, free = mean * (1 - mean), n - n2 / n - hosts + 1 if n else 0
+    if variance <= 0 or free <= 0:
+        return 1e6 if variance <= 0 else 1.0
+    excess = spread / variance - (hosts - 1)
+    return min(max(free / excess - 1, 1.0), 1e6) if excess > 0 else 1e6
 
 
-def judge(docs: DataFrame, domain: str = "source", limit: float = LIMIT) -> DataFrame:
+def judge(docs: DataFrame, domain: str = "source", **limits: float) -> DataFrame:
     """doc_id, the counts, base_failed, host_kept and kept of every row of docs(doc_id, text, domain)."""
     rows = settled(measured(docs, domain), "hostrules")
-    hosts = settled(host_verdicts(rows, limit).select("domain", "host_kept"), "hosts")
+    hosts = settled(host_verdicts(rows, **limits).select("domain", "host_kept"), "hosts")
     same = F.col("domain").eqNullSafe(F.col("host"))
     if hosts.count() <= BROADCAST_HOSTS:
         joined = rows.join(F.broadcast(hosts.withColumnRenamed("domain", "host")), same)
