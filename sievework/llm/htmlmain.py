@@ -2,9 +2,13 @@
 
 A text node belongs to the path of block tags (with class and id) from the root to it. For each path of a page the text length and
 the punctuation are summed and divided by its nodes; the two ratios are smoothed over neighbours in page order and fused by their
-product, times MAIN_WEIGHT under article or main. Paths whose mean is at or above a share of the page's mean are content, on every
-page. Elements that hold no article text by their tag or by a word of their class or id are left out before. A heading is kept with
-the block after it. Null or empty html gives an empty text.
+product. A path is content if its mean reaches a share of the page's mean, or of LEAST where that is less. Marks in the page are only priors, which
+multiply the fused value: MAIN_WEIGHT under article or main, CHROME_WEIGHT under an element with a word of CHROME_WORD in its class, id or
+role. Elements whose tag holds no text of an article (CHROME, RAW) are no nodes. A heading is kept with the block after it.
+
+Null, empty and broken html never fails: what cannot be read as a tag is text, open elements end with the page. Null or empty html gives
+an empty text; very long pages are read whole; repeated rows give equal rows; an empty table gives no rows; ids may be null; columns but
+page_id, url and html are not read.
 """
 
 import html as entities
@@ -12,6 +16,9 @@ import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import arrow_rows, in_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -19,26 +26,27 @@ RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 CHROME = {"head", "nav", "header", "footer", "aside", "form", "button", "menu", "dialog"}
-#: A word of a class, id or role that marks an element as no article text.
+#: A word of a class, id or role that speaks against article text.
 CHROME_WORD = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|sidebar\w*|side|nav|navbar|navigation|menu\w*|breadcrumbs?|header|masthead|footer|foot|cookie\w*|consent|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe|signup|login|share\w*|social|related|recommend\w*|widget|comments?|commentlist|disqus|replies|reply|respond|form|search|pagination|pager|complementary|contentinfo)(?:$|[\s_-]|list|box|\d)",
     re.I,
 )
 MAIN = {"article", "main"}
 PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？…]")
-SMOOTHING, SHARE, MAIN_WEIGHT = (0.25, 0.5, 0.25), 0.5, 2
+SMOOTHING, SHARE, LEAST, MAIN_WEIGHT, CHROME_WEIGHT = (0.25, 0.5, 0.25), 0.5, 16.0, 20.0, 0.01
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 
-def blocks(page: str) -> list[tuple[str, bool, str]]:
-    """(path, under article or main, text) of each text block outside of left-out elements, in page order."""
+def blocks(page: str) -> list[tuple[str, float, str]]:
+    """(path, prior, text) of each text block outside of left-out elements, in page order."""
     out, stack, held, at, skipped = [], [], [], 0, 0
 
     def flush():
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            out.append(("/".join(x[1] for x in stack), any(x[0] in MAIN for x in stack), text))
+            prior = (MAIN_WEIGHT if any(x[0] in MAIN for x in stack) else 1.0) * (CHROME_WEIGHT if any(x[3] for x in stack) else 1.0)
+            out.append(("/".join(x[1] for x in stack), prior, text))
 
     def pop():
         nonlocal skipped
@@ -75,9 +83,9 @@ def blocks(page: str) -> list[tuple[str, bool, str]]:
             pop()
         if attributes.endswith("/") and tag not in {"p", "div", "article"} and tag in INLINE:
             continue
-        bad = tag in CHROME or bool(names and tag not in {"html", "body"} | MAIN and CHROME_WORD.search(names))
-        stack.append((tag, f"{tag}.{names}" if names else tag, bad))
-        skipped += bad
+        against = bool(names and tag not in {"html", "body"} | MAIN and CHROME_WORD.search(names))
+        stack.append((tag, f"{tag}.{names}" if names else tag, tag in CHROME, against))
+        skipped += tag in CHROME
     if not skipped:
         held.append(page[at:])
         flush()
@@ -98,8 +106,8 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     order = [nodes[path] for path, _, _ in found]
     near = [[order[max(0, i - 1)], order[i], order[min(len(order) - 1, i + 1)]] for i in range(len(order))]
     fused = [sum(w * n[1] / n[0] for w, n in zip(SMOOTHING, x)) * (0.5 + sum(w * n[2] / n[0] for w, n in zip(SMOOTHING, x))) for x in near]
-    fused = [f * MAIN_WEIGHT if main else f for f, (_, main, _) in zip(fused, found)]
-    least = share * sum(fused) / len(fused)
+    fused = [f * prior for f, (_, prior, _) in zip(fused, found)]
+    least = share * max(sum(fused) / len(fused), LEAST)
     total: dict[str, float] = {}
     for (path, _, _), f in zip(found, fused):
         total[path] = total.get(path, 0.0) + f
@@ -114,8 +122,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """The main text of every row of pages(page_id, url, html) (SCHEMA)."""
 
     def texts(batches: Iterator) -> Iterator:
-        for pdf in batches:
-            text = [main_text(h) for h in pdf["html"]]
-            yield pdf[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
+        for batch in batches:
+            text = [main_text(h) for h in batch.column("html").to_pylist()]
+            yield arrow_rows([(t, len(t)) for t in text], SCHEMA, page_id=batch.column("page_id"), url=batch.column("url"))
 
-    return pages.select("page_id", "url", "html").mapInPandas(texts, SCHEMA)
+    return in_batches(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), texts, SCHEMA)
