@@ -1,9 +1,10 @@
 """URL verdicts by Bloom filter cascades that are exact over the corpus's own keys.
 
-A url's keys are its host and each domain above it, each with the path cut to each length that a rule's path has. Level 0 holds the listed
-keys; level 1 the keys of the corpus that level 0 wrongly passes; level 2 the listed keys that level 1 wrongly passes; and so on until
+A url's keys are its host and the domains above it, of no more labels than a rule's host, each with the path cut to each length that a
+rule's path has, so a url has a bounded number of keys. Level 0 holds the listed keys; level 1 the keys of the corpus that level 0 wrongly passes; level 2 the listed keys that level 1 wrongly passes; and so on until
 none is left. Over these keys membership is exact, and no join is needed. The share that level 0 passes wrongly falls as the corpus
-grows, so the collected false positives stay about as many as the rules. Null urls and urls without :// have no keys and are allowed.
+grows, so the collected false positives stay about as many as the rules. Null urls and urls without :// have no keys and are allowed. Rules that clash or lack a path raise an error. Repeated rows get equal
+verdicts; an empty table gives no rows; ids may be null; columns but page_id and url are not read.
 """
 
 import math
@@ -14,10 +15,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_rows, in_batches
+
 URL = re.compile(r"(?s)^.*?://([^/?#]*)([^?#]*)")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Expected false positives of level 0 over the corpus, and keys counted for each url.
-EXPECTED, KEYS_PER_URL = 1000, 16
+#: Expected false positives of level 0 over the corpus.
+EXPECTED = 1000
 SCHEMA = "page_id long, host string, path string, rule string, verdict string"
 
 
@@ -69,12 +72,13 @@ def parts(url: str | None) -> tuple[str, str]:
     return (m[1].translate(LOWER), m[2]) if m else ("", "")
 
 
-def keys(host: str, path: str, lengths: list[int]) -> list[str]:
-    """A url's keys, longest first."""
+def keys(host: str, path: str, lengths: list[int], labels: int) -> list[str]:
+    """A url's keys, longest first: of its host's last 1 to `labels` labels, and of the path cut to the lengths."""
     if not host:
         return []
-    labels = host.split(".")
-    hosts = [".".join(labels[i:]) for i in range(len(labels))]
+    last = host.rsplit(".", labels)
+    last = last if len(last) <= labels else last[1:]
+    hosts = [".".join(last[i:]) for i in range(len(last))]
     return sorted({h + path[:n] for h in hosts for n in lengths if n <= len(path)}, key=lambda k: (-len(k), k))
 
 
@@ -84,28 +88,25 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     if listed["allow"] & listed["block"] or any("/" not in k or a not in listed for a, k in rules):
         raise ValueError("rules clash or are malformed")
     lengths = sorted({len(k) - k.index("/") for _, k in rules})
-    rate = min(0.01, EXPECTED / (KEYS_PER_URL * max(1, pages.count())))
+    labels = max((k[: k.index("/")].count(".") + 1 for _, k in rules), default=0)
+    rate = min(0.01, EXPECTED / max(1, pages.count() * labels * len(lengths)))
     firsts = {a: Bloom(x, rate, 0 if a == "allow" else 1 << 32) for a, x in listed.items()}
 
     def passing(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        for pdf in batches:
-            mine = {k for u in pdf["url"] for k in keys(*parts(u), lengths)}
-            yield pd.DataFrame([(a, k) for a, first in firsts.items() for k in mine if k not in listed[a] and k in first], columns=["action", "key"])
+        for batch in batches:
+            mine = {k for u in batch.column("url").to_pylist() for k in keys(*parts(u), lengths, labels)}
+            yield arrow_rows([(a, k) for a, first in firsts.items() for k in mine if k not in listed[a] and k in first], "action string, key string")
 
-    wrong = pages.select("url").mapInPandas(passing, "action string, key string").distinct().collect()
+    wrong = in_batches(pages.select("url"), passing, "action string, key string").distinct().collect()
     cascades = {a: Cascade(listed[a], firsts[a], {r.key for r in wrong if r.action == a}) for a in listed}
 
     def verdicts(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for page_id, url in zip(pdf["page_id"], pdf["url"]):
+            for url in batch.column("url").to_pylist():
                 host, path = parts(url)
-                found = next(((k, a) for k in keys(host, path, lengths) for a, c in cascades.items() if k in c), (None, "allow"))
-                rows.append((page_id, host, path, *found))
-            yield pd.DataFrame(rows, columns=["page_id", "host", "path", "rule", "verdict"]).astype({"page_id": "Int64"})
+                found = next(((k, a) for k in keys(host, path, lengths, labels) for a, c in cascades.items() if k in c), (None, "allow"))
+                rows.append((host, path, *found))
+            yield arrow_rows(rows, SCHEMA, page_id=batch.column("page_id"))
 
-    return pages.select(F.col("page_id"), "url").mapInPandas(verdicts, SCHEMA)
+    return in_batches(pages.select(F.col("page_id").cast("long").alias("page_id"), "url"), verdicts, SCHEMA)
