@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing, with exact distances.
 
 Each of TABLES tables hashes a vector by HASHES Gaussian projections cut into cells of a width. A query visits its own bucket and the
-PROBES - 1 perturbed ones with the least sum of squared distances to the cell borders it would cross. Buckets are cut into blocks of
-bounded size; each block gives a query's nearest k + 1 of its vectors, and the tables' lists are merged. Queries that find fewer than k
-are compared with all vectors, in blocks. Equal vectors form one class that carries its k + 1 smallest ids, which is all that can count;
-a row that is there twice counts once.
-The width comes from a sample of SAMPLE vectors; every vector is indexed. Vectors are searched among those of their own length, one
-search for each length that a query has. Vectors null, empty, zero, or with null or non-finite components take no part, and neither do
-null ids. Ties go to the smaller id.
+PROBES - 1 perturbed ones with the least sum of squared distances to the cell borders it would cross. The vectors and the queries of a
+bucket are both cut into blocks of bounded size; each pair of blocks gives its queries' nearest k + 1, and the tables' lists are merged.
+Queries that find fewer than k are compared with all vectors, in blocks too. Equal vectors form one class that carries its k + 1 smallest
+ids, which is all that can count; a row that is there twice counts once.
+
+The width comes from a sample of SAMPLE vectors; every vector is indexed, in double precision. Vectors are searched among those of their
+own length, one search for each length that a query has. Vectors null, empty, zero, or with null or non-finite components take no part,
+and neither do null ids. Ties go to the smaller id. An id that stands with several vectors is a query with each of them, whose answers are
+merged, and a candidate with each; in an answer it counts once, at its nearest. An empty table, or none with a query, gives no rows.
+Columns but the id and the vector are not read.
 """
 
 from collections.abc import Iterator
@@ -19,23 +22,27 @@ from pyspark.sql import functions as F
 from .common import grouped, settled
 
 TABLES, HASHES, PROBES, WIDTH, SAMPLE, SEED = 5, 5, 24, 1.5, 2000, 11
-#: Vectors in a block, and buckets of more vectors that may be broadcast with their number of blocks.
-BLOCK, HEAVY = 2048, 100_000
-FALLBACK = 1024
-PAIRS = "query long, class long, score double"
+#: Vectors and queries in a block, and buckets of more than a block that may be broadcast with their numbers of blocks.
+BLOCK, QUERIES, HEAVY = 512, 256, 100_000
+#: Vectors in a block of the search of all.
+WIDE = 1 << 15
+PAIRS = "query long, class long, least long, score double"
+MEMBER = "kind int, node long, least long, vector array<double>"
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
+    """id and vector of the distinct rows that take part."""
     e = F.col("vector")
     good = (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
-    return vectors.select(F.col(vec_id).alias("id"), F.col(embedding).cast("array<float>").alias("vector")).where(F.col("id").isNotNull() & e.isNotNull() & good)
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("vector"))
+    return rows.where(F.col("id").isNotNull() & e.isNotNull() & good).withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))).distinct()
 
 
 def classes_of(rows: DataFrame, keep: int) -> DataFrame:
-    """A row for each distinct vector: class (its smallest id), ids (the `keep` smallest, ascending) and the vector."""
+    """A row for each distinct vector: class (a number), least (its smallest id), ids (the `keep` smallest, ascending) and the vector."""
     smallest = Window.partitionBy("vector").orderBy("id")
-    few = rows.select("id", "vector").distinct().withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= keep)
-    return few.groupBy("vector").agg(F.min("id").alias("class"), F.array_sort(F.collect_list("id")).alias("ids"))
+    few = rows.select("id", "vector").withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= keep)
+    return few.groupBy("vector").agg(F.min("id").alias("least"), F.array_sort(F.collect_list("id")).alias("ids")).withColumn("class", F.monotonically_increasing_id())
 
 
 class Hashing:
@@ -53,7 +60,9 @@ class Hashing:
         self.moves = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)))
 
     def at(self, x, t: int):
-        return x @ self.a[t] / self.width + self.b[t]
+        import numpy as np
+
+        return np.clip(x @ self.a[t] / self.width + self.b[t], -1e15, 1e15)
 
     @staticmethod
     def key(cells, t: int):
@@ -84,43 +93,74 @@ class Hashing:
         return self.key(cell[:, None, :] + self.moves[best], t)
 
 
-def nearest(queries: list, ids, x, found: list, k: int) -> None:
-    """Appends (query id, class, distance) of each query's k nearest of the rows x, ties to the smaller class."""
+def nearest(queries: list, classes, least, x, found: list, k: int) -> None:
+    """Appends (query, class, its least id, distance) of each query's k nearest of the rows x, ties to the smaller least id."""
     import numpy as np
 
-    for qid, q in queries:
-        d = np.sqrt(((x - q) ** 2).sum(1))
+    for query, q in queries:
+        with np.errstate(over="ignore"):
+            d = np.sqrt(((x - q) ** 2).sum(1))
         top = np.arange(len(d)) if len(d) <= k else np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
-        found.extend((qid, int(ids[i]), float(d[i])) for i in top[np.lexsort((ids[top], d[top]))][:k])
+        found.extend((query, int(classes[i]), int(least[i]), float(d[i])) for i in top[np.lexsort((least[top], d[top]))][:k])
 
 
 def width_of(classes: DataFrame, k: int) -> float:
     """The cell width, from a bounded sample."""
     import numpy as np
 
-    got = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("vector").collect()
+    got = classes.orderBy(F.xxhash64("vector"), "class").limit(SAMPLE).select("vector").collect()
     if not got:
         return 1.0
     x = np.array([r.vector for r in got], np.float64)
-    d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0))
+    with np.errstate(over="ignore", invalid="ignore"):
+        d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0))
     d.sort(1)
     typical = float(np.median(d[:, min(k, len(x) - 1)]))
-    return WIDTH * (typical or 1.0)
+    return WIDTH * (typical if 0 < typical < float("inf") else 1.0)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest found. is_query is a condition on a column named id."""
     rows = usable(vectors, vec_id, embedding)
     classes = settled(classes_of(rows, k + 1), "classes")
-    asked = rows.where(is_query).select("id", "vector").distinct()
+    asked = settled(rows.where(is_query).select("id", "vector"), "asked")
     lengths = sorted(r.n for r in asked.select(F.size("vector").alias("n")).distinct().collect())
     of_length = lambda df, n: df.where(F.size("vector") == n)
     return reduce(DataFrame.union, [_search(of_length(classes, n), of_length(asked, n), n, k) for n in lengths or [1]])
 
 
+def _compared(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """PAIRS of each query's k + 1 nearest: queries and vectors (MEMBER) meet where their column key is equal."""
+
+    def visit(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        found: list = []
+        for g in grouped(batches, "key"):
+            kind = g["kind"].to_numpy()
+            n = int((kind == 0).sum())
+            if 0 < n < len(g):
+                g = g.iloc[np.argsort(kind, kind="stable")]
+                x = np.stack(g["vector"]).astype(np.float64)
+                node, least = g["node"].to_numpy(), g["least"].to_numpy()
+                nearest(list(zip(node[:n].tolist(), x[:n])), node[n:], least[n:], x[n:], found, k + 1)
+            if len(found) > 50_000:
+                yield pd.DataFrame(found, columns=["query", "class", "least", "score"])
+                found = []
+        yield pd.DataFrame(found, columns=["query", "class", "least", "score"])
+
+    columns = ["key", "kind", "node", "least", "vector"]
+    both = queries.select(*columns).union(vectors.select(*columns))
+    pairs = both.repartition("key").sortWithinPartitions("key", "kind").mapInPandas(visit, PAIRS)
+    order = Window.partitionBy("query").orderBy("score", "least", "class")
+    return pairs.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
+
+
 def _search(classes: DataFrame, asked: DataFrame, dimensions: int, k: int) -> DataFrame:
     """What search gives, for classes and queries asked of one length."""
-    distinct = settled(asked.groupBy("vector").agg(F.min("id").alias("query")), "queries")
+    distinct = settled(classes.join(asked.select("vector").distinct(), "vector", "left_semi").select(F.lit(0).alias("kind"), F.col("class").alias("node"), "least", "vector"), "queries")
+    members = classes.select(F.lit(1).alias("kind"), F.col("class").alias("node"), "least", "vector")
     hashing = Hashing(dimensions, width_of(classes, k))
 
     def index(batches: Iterator) -> Iterator:
@@ -143,74 +183,43 @@ def _search(classes: DataFrame, asked: DataFrame, dimensions: int, k: int) -> Da
                     n = keys.shape[1]
                     yield pdf.loc[pdf.index.repeat(n)].assign(bucket=keys.ravel())
 
-    indexed = classes.select(F.col("class").alias("id"), "vector").mapInPandas(index, "id long, vector array<float>, bucket long")
-    probing = distinct.select(F.col("query").alias("id"), "vector").mapInPandas(probe, "id long, vector array<float>, bucket long")
-    sizes = settled(indexed.groupBy("bucket").count(), "buckets")
-    block = max(BLOCK, (sizes.agg(F.sum("count")).first()[0] or 0) // HEAVY)  # so at most HEAVY buckets hold more
-    heavy = F.broadcast(sizes.where(F.col("count") > block).select("bucket", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    blocks = F.coalesce(F.col("blocks"), F.lit(1))
-    cut = indexed.join(heavy, "bucket", "left").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    sent = probing.join(heavy, "bucket", "left").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cols = [F.xxhash64("bucket", "block").alias("key"), "id", "vector"]
-    both = sent.select(F.lit(0).alias("kind"), *cols).union(cut.select(F.lit(1).alias("kind"), *cols))
-
-    def visit(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        found: list = []
-        for g in grouped(batches, "key"):
-            kind = g["kind"].to_numpy()
-            n = int((kind == 0).sum())
-            if 0 < n < len(g):
-                g = g.iloc[np.argsort(kind, kind="stable")]
-                x = np.stack(g["vector"]).astype(np.float64)
-                ids = g["id"].to_numpy()
-                nearest(list(zip(ids[:n].tolist(), x[:n])), ids[n:], x[n:], found, k + 1)
-            if len(found) > 50_000:
-                yield pd.DataFrame(found, columns=["query", "class", "score"])
-                found = []
-        yield pd.DataFrame(found, columns=["query", "class", "score"])
-
-    def best(pairs: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query").orderBy("score", "class")
-        return pairs.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
-
-    found = settled(best(both.repartition("key").sortWithinPartitions("key", "kind").mapInPandas(visit, PAIRS)), "found")
-    held = found.join(classes.select("class", "ids"), "class").withColumn("vec_id", F.explode("ids"))
-    listed = settled(held.select("query", "vec_id", "score"), "held")
-    short = listed.groupBy("query").count().where(F.col("count") > k).select("query")
-    missing = distinct.join(short, "query", "left_anti").select("query", "vector")
-    lists = [listed.join(missing.select("query"), "query", "left_anti")]
-    while True:  # queries with too few candidates, FALLBACK at a time, against all vectors
-        few = missing.orderBy("query").limit(FALLBACK).collect()
-        if not few:
-            break
-        lists.append(_all(classes, [(r.query, r.vector) for r in few], k, best))
-        missing = missing.where(F.col("query") > few[-1].query)
-    every = lists[0]
-    for more in lists[1:]:
-        every = every.union(more)
-    short_list = every.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).where(F.col("n") <= k + 1)
-    answers = short_list.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("list"))
-    salted = distinct.join(answers, "query").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15)))).select("vector", "salt", "list")
-    out = asked.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")).join(salted, ["vector", "salt"])
-    own = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("id")), 1, k)
-    out = out.select(F.col("id").alias("query_id"), F.posexplode(own).alias("at", "hit"))
+    indexed, probing = members.mapInPandas(index, f"{MEMBER}, bucket long"), distinct.mapInPandas(probe, f"{MEMBER}, bucket long")
+    sizes = settled(indexed.groupBy("bucket").agg(F.count(F.lit(1)).alias("vectors")).join(probing.groupBy("bucket").agg(F.count(F.lit(1)).alias("queries")), "bucket"), "buckets")
+    most = sizes.agg(F.sum("vectors"), F.sum("queries")).first()
+    block, few = max(BLOCK, (most[0] or 0) // HEAVY), max(QUERIES, (most[1] or 0) // HEAVY)  # so at most HEAVY buckets hold more of either
+    cuts = [F.ceil(F.col("vectors") / block).cast("int").alias("v_cuts"), F.ceil(F.col("queries") / few).cast("int").alias("q_cuts")]
+    heavy = F.broadcast(sizes.where((F.col("vectors") > block) | (F.col("queries") > few)).select("bucket", *cuts))
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """rows in one block of their own kind, once for each block of the other."""
+        n = {c: F.coalesce(F.col(c), F.lit(1)) for c in (own, other)}
+        rows = rows.join(heavy, "bucket", "left").withColumn(f"{own}_at", F.pmod(F.xxhash64("node"), n[own]).cast("int"))
+        return rows.withColumn(f"{other}_at", F.explode(F.sequence(F.lit(0), n[other] - 1))).withColumn("key", F.xxhash64("bucket", "v_cuts_at", "q_cuts_at"))
+
+    found = settled(_compared(dealt(probing, "q_cuts", "v_cuts"), dealt(indexed, "v_cuts", "q_cuts"), k), "found")
+    ids = classes.select("class", "ids")
+
+    def listed(pairs: DataFrame) -> DataFrame:
+        return pairs.join(ids, "class").select("query", F.explode("ids").alias("vec_id"), "score").groupBy("query", "vec_id").agg(F.min("score").alias("score"))
+
+    held = settled(listed(found), "held")
+    enough = held.groupBy("query").count().where(F.col("count") > k).select(F.col("query").alias("node"))
+    missing = settled(distinct.join(enough, "node", "left_anti"), "missing")
+    if n := missing.count():  # queries with too few candidates, against all vectors, in blocks
+        v_cuts, q_cuts = -(-classes.count() // WIDE), -(-n // QUERIES)
+        at = lambda cuts: F.pmod(F.xxhash64("node"), F.lit(cuts)).cast("int")
+        every = lambda cuts: F.explode(F.sequence(F.lit(0), F.lit(cuts - 1)))
+        key = F.xxhash64("v_at", "q_at").alias("key")
+        asking = missing.withColumn("q_at", at(q_cuts)).withColumn("v_at", every(v_cuts)).select("*", key)
+        all_of = members.withColumn("v_at", at(v_cuts)).withColumn("q_at", every(q_cuts)).select("*", key)
+        more = listed(_compared(asking, all_of, k))
+        held = held.join(missing.select(F.col("node").alias("query")), "query", "left_anti").union(more)
+    short = held.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).where(F.col("n") <= k + 1)
+    answers = short.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("list"))
+    lists = distinct.join(answers, distinct["node"] == answers["query"]).select("vector", "list")
+    salted = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    out = asked.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")).join(salted, ["vector", "salt"]).select("id", "list")
+    merged = out.groupBy("id").agg(F.flatten(F.collect_list(F.filter("list", lambda x: x["vec_id"] != F.col("id")))).alias("list"))  # lists of k + 1
+    nearest_of = F.aggregate(F.array_sort("list"), F.array().cast("array<struct<score:double,vec_id:bigint>>"), lambda a, x: F.when((F.size(a) < k) & ~F.exists(a, lambda y: y["vec_id"] == x["vec_id"]), F.concat(a, F.array(x))).otherwise(a))
+    out = merged.select(F.col("id").alias("query_id"), F.posexplode(nearest_of).alias("at", "hit"))
     return out.select("query_id", (F.col("at") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
-
-
-def _all(classes: DataFrame, queries: list, k: int, best) -> DataFrame:
-    def compare(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        asked = [(i, np.array(v, np.float64)) for i, v in queries]
-        for pdf in batches:
-            found: list = []
-            if len(pdf):
-                nearest(asked, pdf["class"].to_numpy(), np.stack(pdf["vector"]).astype(np.float64), found, k + 1)
-            yield pd.DataFrame(found, columns=["query", "class", "score"])
-
-    pairs = best(classes.select("class", "vector").mapInPandas(compare, PAIRS))
-    return pairs.join(classes.select("class", "ids"), "class").withColumn("vec_id", F.explode("ids")).select("query", "vec_id", "score")
