@@ -1,14 +1,17 @@
 """Jaccard join on word shingles by chosen paths.
 
-Texts with equal shingle sets form one class. The runs are as many as TARGET_RECALL takes, for a pair just similar enough. In each, the classes descend a tree: a node picks one or two tokens of a
-set's MinHash sketch by the node's own hash, and the child's name holds the token. Buckets over BUCKET classes are split further, to
-MAX_DEPTH; what is left is compared by brute force, in tiles of bounded size, first by sketch and then on the exact shingle sets. A
-pair is counted only in the least of the buckets that both share, so no pair is ever emitted: tiles give each class its number of
-links and a root within the tile, and components are found over these.
-
-A text of fewer than SIZE words has one shingle, all its words. Null and empty texts have none: they form one class and link to none.
-A null id takes part; a class's name is its smallest id, null if it has no other. Ids may be null or repeated in any number of rows:
-rows are found again by a hash of id and text, never by the id alone.
+Texts with equal shingle sets form one class. The runs are as many as TARGET_RECALL takes, for a pair just similar enough. In each, the
+classes descend a tree: a node picks one or two tokens of a set's MinHash sketch by the node's own hash, and the child's name holds the
+token. Buckets over BUCKET classes are split further, to MAX_DEPTH; what is left is compared by brute force, in tiles of bounded size,
+first by sketch (which may lose FILTER_SHARE of what the target allows to be lost) and then on the exact shingle sets. A pair is counted
+only in the least of the buckets that both share, so no pair is ever emitted: tiles give each class its number of links and a root within
+the tile, and components are found over these.
+
+A text of fewer than SIZE words has one shingle, all its words. Null and empty texts have none: they form one class and link to none. A
+null id takes part; a class's name is its smallest id, null if it has no other. Ids may be null or repeated in any number of rows, with
+any texts: rows are found again by a hash of id and text, never by the id alone. Very long texts are read whole; an empty table gives no
+rows; join reads no column but doc_id and text, keep_one returns all columns, whatever their names. Names of rows and sets are 64-bit
+hashes.
 """
 
 import itertools
@@ -18,19 +21,31 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, settled
+from .common import arrow_rows, grouped, in_batches, settled
 
 SIZE, SIMILARITY = 5, 0.8
 TARGET_RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, BUCKET, SKETCH, SEED = 0.995, 2, 2, 6, 64, 64, 23
-#: Classes in a block (a tile compares two), buckets over a block that may be broadcast, and the least similarity by sketch.
-TILE, HEAVY, LEAST_BY_SKETCH = 384, 100_000, 0.62
+#: Classes in a block (a tile compares two), buckets over a block that may be broadcast, and salts for the members of hot groups.
+TILE, HEAVY, SALTS = 384, 100_000, 32
+#: The part of the pairs the target allows to be lost that the sketch filter may lose.
+FILTER_SHARE = 0.1
 CACHED = 300_000
 
 
-def expected_recall(runs: int, similarity: float) -> float:
+def least_shared(similarity: float, target: float = TARGET_RECALL) -> int:
+    """The most sketch positions that may be asked of a pair, so that one just similar enough is lost by it no oftener than FILTER_SHARE allows."""
+    lost = 0.0
+    for m in range(SKETCH + 1):
+        lost += math.comb(SKETCH, m) * similarity**m * (1 - similarity) ** (SKETCH - m)
+        if lost > FILTER_SHARE * (1 - target):
+            return m
+    return SKETCH
+
+
+def expected_recall(runs: int, similarity: float, target: float = TARGET_RECALL) -> float:
     """The chance that a pair passes the sketch filter and shares a bucket of MAX_DEPTH, over the sketch positions it may share."""
     total = 0.0
-    for m in range(math.ceil(LEAST_BY_SKETCH * SKETCH), SKETCH + 1):
+    for m in range(least_shared(similarity, target), SKETCH + 1):
         p, apart = m / SKETCH, 0.0
         for _ in range(MAX_DEPTH):
             lost = 1 - p + p * apart
@@ -41,9 +56,7 @@ def expected_recall(runs: int, similarity: float) -> float:
 
 def runs_for(similarity: float, target: float = TARGET_RECALL) -> int:
     """The fewest runs whose expected recall at the least similarity reaches the target."""
-    if expected_recall(1 << 20, similarity) < target:
-        raise ValueError(f"no number of runs reaches recall {target} at similarity {similarity}")
-    return next(n for n in itertools.count(1) if expected_recall(n, similarity) >= target)
+    return next(n for n in itertools.count(1) if expected_recall(n, similarity, target) >= target)
 
 
 class Shingler:
@@ -134,18 +147,15 @@ def row_key():
 def sets_of(docs: DataFrame) -> DataFrame:
     """doc_id, row, sid, n (shingles) and sketch of every document."""
 
-    def rows(batches: Iterator) -> Iterator:
-        import pandas as pd
+    schema = "doc_id long, row long, sid long, n long, sketch binary"
 
+    def rows(batches: Iterator) -> Iterator:
         s = shingler()
-        for pdf in batches:
-            out = []
-            for doc_id, row, text in zip(pdf["doc_id"], pdf["row"], pdf["text"]):
-                x = s.shingles(text)
-                out.append((doc_id, row, set_id(x), len(x), s.sketch(x).tobytes()))
-            yield pd.DataFrame(out, columns=["doc_id", "row", "sid", "n", "sketch"]).astype({"doc_id": "Int64"})
+        for batch in batches:
+            sets = map(s.shingles, batch.column("text").to_pylist())
+            yield arrow_rows([(set_id(x), len(x), s.sketch(x).tobytes()) for x in sets], schema, doc_id=batch.column("doc_id"), row=batch.column("row"))
 
-    return docs.select("doc_id", row_key().alias("row"), "text").mapInPandas(rows, "doc_id long, row long, sid long, n long, sketch binary")
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text"), rows, schema)
 
 
 def buckets(classes: DataFrame, runs: int) -> DataFrame:
@@ -253,13 +263,15 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
     members = members.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")}).withColumn("tile", F.xxhash64("key", "a", "b"))
     tiles = members.select("tile", "key", "a", "b", "block", "sid", "keys", "sketch").repartition("tile").sortWithinPartitions("tile")
 
+    least = least_shared(similarity)
+
     def by_sketch(batches: Iterator) -> Iterator:
         import numpy as np
 
         for g in grouped(batches, "tile"):
             if len(g) > 1:
                 s = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(len(g), SKETCH)
-                pairs = _owned(g, lambda i, s=s: (s == s[i]).mean(1) >= LEAST_BY_SKETCH)
+                pairs = _owned(g, lambda i, s=s: (s == s[i]).sum(1) >= least)
                 yield g[pairs.any(0) | pairs.any(1)].drop(columns="sketch")
 
     member = "tile long, key long, a int, b int, block int, sid long, keys array<long>"
@@ -334,8 +346,11 @@ def _named(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
 def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, group_id, n_copies (documents of the class), n_links (other classes linked) of every row of docs(doc_id, text)."""
     rows, named = _named(docs, similarity)
-    groups = named.groupBy("label").agg(F.min("doc_id").alias("group_id"))
-    names = named.join(groups, "label").select("sid", F.col("doc_id").alias("class_id"), "group_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    linked = named.where(F.col("n_links").isNotNull())
+    groups = linked.groupBy("label").agg(F.min("doc_id").alias("group_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    linked = linked.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int")).join(groups, ["label", "salt"])
+    every = named.where(F.col("n_links").isNull()).withColumn("group_id", F.col("doc_id")).unionByName(linked.drop("salt"))
+    names = every.select("sid", F.col("doc_id").alias("class_id"), "group_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return rows.select("doc_id", "sid").join(names, "sid").select("doc_id", "class_id", "group_id", "n_copies", "n_links")
 
 
@@ -343,5 +358,6 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that stay: one of each group, with the smallest id (null last, then by set), with its columns."""
     _, named = _named(docs, similarity)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sid", "row"))
-    kept = named.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias("kept_row"))
-    return docs.join(kept, row_key() == F.col("kept_row")).dropDuplicates(["kept_row"]).drop("kept_row")
+    key = max(["kept_row", *docs.columns], key=len) + "_"  # longer than any column of docs
+    kept = named.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias(key))
+    return docs.join(kept, row_key() == F.col(key)).dropDuplicates([key]).drop(key)

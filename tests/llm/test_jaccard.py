@@ -93,7 +93,7 @@ def test_runs_reach_the_target_recall():
     rows = pd.DataFrame({"sid": range(2 * pairs), "sketch": [s.tobytes() for s in sketches]})
     nodes = next(iter(j._extend([rows], j.MAX_DEPTH, runs)))
     keys = nodes.groupby("sid")["key"].agg(set)
-    near = [(sketches[i] == sketches[i + 1]).mean() >= j.LEAST_BY_SKETCH for i in range(0, 2 * pairs, 2)]
+    near = [(sketches[i] == sketches[i + 1]).sum() >= j.least_shared(0.8) for i in range(0, 2 * pairs, 2)]
     found = sum(ok and bool(keys.get(2 * i, set()) & keys.get(2 * i + 1, set())) for i, ok in enumerate(near))
     print("recall", found / pairs, "of", pairs)
     assert found >= (j.TARGET_RECALL - 0.004) * pairs
