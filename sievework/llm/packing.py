@@ -3,14 +3,17 @@
 A fixed number of bins is open. Their free spaces are the set bits of one integer, so the fullest bin that still takes a piece is
 the lowest set bit at or above the piece's length. When a bin must be opened and none may be, the fullest is closed.
 Each input partition packs its own rows, without a shuffle; only its last open bins may stay part-filled.
-Null texts are empty (their end id alone); an empty table gives no rows; repeated rows are packed once each.
+Null texts are empty (their end id alone); an empty table gives no rows; repeated rows are packed once each; null ids stay null; very
+long texts are cut into pieces of the capacity; columns but doc_id and text are not read.
 """
 
 import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .common import arrow_rows, in_batches
 from .tokens import tokenizer
 
 CAPACITY, OPEN_BINS, END_ID = 4096, 512, 1
@@ -62,19 +65,18 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     end = end_id.to_bytes(4, "little")
 
     def pack(batches: Iterator) -> Iterator:
-        import pandas as pd
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 40
         fit, tok = BestFit(capacity, open_bins), tokenizer(tokenizer_path)
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for doc_id, ids in zip(pdf["doc_id"], tok.ids(list(pdf["text"]))):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tok.ids(batch.column("text").to_pylist())):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * at : 4 * (at + capacity)]
                     b, offset = fit.place(len(part) // 4)
                     rows.append((doc_id, piece, at, len(part) // 4, zlib.crc32(part), base + b, offset))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
+            yield arrow_rows(rows, SCHEMA)
 
-    return docs.select("doc_id", "text").mapInPandas(pack, SCHEMA)
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), pack, SCHEMA)

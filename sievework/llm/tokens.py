@@ -7,7 +7,6 @@ Texts for which that is not plain (special tokens, unusual characters) go to the
 import os
 import re
 import string
-from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -17,8 +16,10 @@ WHITE = "\t-\r \x85\xa0  -     　"
 SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: What keeps a text from being lower-cased and split by Python as the library does it.
 UNUSUAL = re.compile("[^\t\n\r -~\xa1-į]|<\\|")
-#: Chunks in the cache of a process, some 250 bytes each; longer chunks than LONG characters are not kept.
-CACHED, LONG = 1_000_000, 64
+#: Bytes that the cache of a process may take, what an entry takes beside its chunk and ids, and the longest chunk that is kept.
+CACHE_BYTES, ENTRY_BYTES, LONG = 96 << 20, 200, 64
+#: A piece of plain Latin letters, after a space or none: neither file splits it, so that the library's model may be asked for it alone.
+LETTERS = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u0148\u014a-\u017e]+")
 
 
 def parts(chunk: str) -> tuple[str, ...]:
@@ -29,26 +30,56 @@ def parts(chunk: str) -> tuple[str, ...]:
     return (chunk,)
 
 
-class CachedTokenizer:
-    """ids(texts) gives each text's ids as little-endian unsigned 32-bit integers."""
+def byte_characters() -> dict[str, int]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class CachedTokenizer(dict):
+    """ids(texts) gives each text's ids as little-endian unsigned 32-bit integers. As a dict, it holds the ids of chunks met before."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words_only = self.library.normalizer is not None
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        self.as_characters = {b: c for c, b in byte_characters().items()}
+        self.four = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.held = 0
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece; of plain letters from the library's model alone, past its splitting and its records of places."""
+        if not LETTERS.fullmatch(piece):
+            return self._whole(piece)
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.as_characters)
+        elif piece[0] == " ":
+            piece = "\u0120" + piece[1:]
+        four = self.four
+        return b"".join([four[t.id] for t in self.model.tokenize(piece)])
+
+    def _whole(self, text: str) -> bytes:
         import numpy as np
 
-        lists = [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
-        ends = (4 * np.cumsum([len(x) for x in lists])).tolist()
-        flat = np.fromiter(chain.from_iterable(lists), "<u4").tobytes()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        pieces = parts(chunk)
+        ids = self._piece(chunk) if len(pieces) == 1 else b"".join([self[p] for p in pieces])
+        if len(chunk) <= LONG:
+            if self.held > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[chunk] = ids
+            self.held += ENTRY_BYTES + len(ids)
+        return ids
 
     def _chunks(self, text: str) -> list[str] | None:
         if self.words_only:
@@ -56,26 +87,8 @@ class CachedTokenizer:
         return None if any(s in text for s in self.special) else SPACED.findall(text)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        chunks = [self._chunks(t) if isinstance(t, str) else [] for t in texts]
-        cache = self.cache
-        pieces = {c: parts(c) for x in chunks if x for c in x if c not in cache}
-        missing = list({p for ps in pieces.values() for p in ps if p not in cache})
-        new = dict(zip(missing, self._encode(missing)))
-        extra = {}
-        for c, b in new.items():
-            (cache if len(c) <= LONG else extra)[c] = b
-        for c, ps in pieces.items():
-            if len(ps) > 1:
-                (cache if len(c) <= LONG else extra)[c] = b"".join([cache[p] if p in cache else new[p] for p in ps])
-        if extra:
-            extra = extra.get
-            get = lambda c: cache.get(c) or extra(c, b"")
-        else:
-            get = cache.__getitem__
-        whole = iter(self._encode([t for t, x in zip(texts, chunks) if x is None]))
-        return [next(whole) if x is None else b"".join(map(get, x)) for x in chunks]
+        chunks = (self._chunks(t) if isinstance(t, str) else [] for t in texts)
+        return [self._whole(t) if x is None else b"".join(map(self.__getitem__, x)) for t, x in zip(texts, chunks)]
 
 
 _loaded: dict[str, CachedTokenizer] = {}
