@@ -4,7 +4,10 @@ Before any merge the automaton has one state with an arc to itself for each byte
 state s after a is copied to s' without the arc b, arcs a now lead to s', and each state with an arc a gets an arc c to where b led
 from s. A copy is stored as its parent and the one arc it lost, at time i. An arc t from state p is there if nothing lost since
 p's root blocks it: not t itself, nor, up to t's own merge, the left part t came from, and so on down the left parts.
-A word's encoding is the only path that spells it; it is searched longest arc first, positions proved dead are not tried again.
+The automaton is deterministic: each prefix of a word is spelled by exactly one path. So one pass over a word's bytes, by a table of the
+transitions met so far, gives each byte position its state and the arc that led there; the word's encoding is read back from its end.
+Null texts have no ids; an empty table gives no rows; repeated rows give equal rows; ids may be null; very long texts are encoded whole;
+columns but doc_id and text are not read.
 """
 
 import hashlib
@@ -15,25 +18,21 @@ from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .tokens import LONG, SPACED, WHITE
+from .common import arrow_rows, in_batches
+from .tokens import LONG, SPACED, WHITE, byte_characters
 
 #: Chunks in the cache of a process (some 400 bytes each).
 CACHED = 500_000
-#: Bytes by which the next arcs are looked up.
-START = 4
+#: Bytes by which the next arcs are looked up, transitions in the table of a process, and the state that stands for none.
+START, TRANSITIONS, NONE = 4, 1 << 19, -1
+ENCODED = "doc_id long, ids binary, decoded string"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: The public split pattern of byte-level BPE files with use_regex; white space as the Unicode property.
 PRE_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 
-def byte_characters() -> dict[str, int]:
-    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class Automaton:
     """Compiled merges of a byte-level BPE file. encode(text) gives ids; decode(ids) the arcs' labels, as bytes."""
 
@@ -65,7 +64,7 @@ class Automaton:
                 longer.setdefault(x[:START], set()).add(len(x))
         self.longer = {x: sorted(s, reverse=True) for x, s in longer.items()}
         self.options = lru_cache(1 << 17)(self._options)
-        self.has_arc = lru_cache(1 << 18)(self._has_arc)
+        self.table: dict[int, int] = {}
         self.lost_at = lru_cache(1 << 15)(self._lost_at)
         self.cache: dict[str, tuple[bytes, bytes]] = {}
 
@@ -90,40 +89,42 @@ class Automaton:
             state = self.parent[state]
         return out
 
-    def _has_arc(self, state: int, token: int) -> bool:
-        lost, until = self.lost_at(state), len(self.parent)
-        while token >= 0:
-            if lost.get(token, until + 1) <= until:
-                return False
-            token, until = self.left[token], self.born[token]
-        return True
+    def _step(self, state: int, token: int) -> int:
+        """The state that an arc leads to, NONE if the state has lost it; entered in the table."""
+        lost, until, part = self.lost_at(state), len(self.parent), token
+        to = self.after[token]
+        while part >= 0:
+            if lost.get(part, until + 1) <= until:
+                to = NONE
+                break
+            part, until = self.left[part], self.born[part]
+        if len(self.table) >= TRANSITIONS:
+            self.table.clear()
+        self.table[state << 20 | token] = to
+        return to
 
     def word(self, spelled: bytes) -> list[int]:
         """The ids of a pre-split word."""
-        if (whole := self.arcs.get(spelled)) is not None and len(spelled) == 1:
-            return [whole]
-        n, arcs, options, after, has_arc = len(spelled), self.arcs, self.options, self.after, self.has_arc
-        path, at, state, room = [], 0, 0, n
-        dead = set()
-        while at < n:
+        n, arcs, options, table = len(spelled), self.arcs, self.options, self.table.get
+        states, came = [NONE] * (n + 1), [0] * (n + 1)
+        states[0] = 0
+        for at in range(n):
+            state, row = states[at], states[at] << 20
             for size, token in options(spelled[at : at + START]):
-                if size > room:
+                end = at + size
+                if end > n or states[end] != NONE:
                     continue
-                if token < 0 and (token := arcs.get(spelled[at : at + size])) is None:
+                if token < 0 and (token := arcs.get(spelled[at:end])) is None:
                     continue
-                if (not state or has_arc(state, token)) and not (dead and (at + size, token) in dead):
-                    path.append(token)
-                    at += size
-                    state, room = after[token], n - at
-                    break
-            else:
-                if not path:
-                    raise ValueError("no path spells the word")
-                token = path.pop()
-                dead.add((at, token))
-                room = len(self.labels[token]) - 1
-                at -= room + 1
-                state = after[path[-1]] if path else 0
+                if (to := table(row | token)) is None:
+                    to = self._step(state, token)
+                if to != NONE:
+                    states[end], came[end] = to, token
+        path, labels = [], self.labels
+        while n:
+            path.append(came[n])
+            n -= len(labels[came[n]])
+        path.reverse()
         return path
 
     def encode(self, text: str) -> list[int]:
@@ -185,32 +186,28 @@ def automaton(path: str) -> Automaton:
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """docs(doc_id, text) with ids (binary, unsigned 32-bit little-endian) and decoded (string). A null text is empty."""
+    """docs(doc_id, text) as doc_id, ids (binary, unsigned 32-bit little-endian) and decoded (string)."""
 
     def encode(batches: Iterator) -> Iterator:
-        import pandas as pd
-
         auto = automaton(tokenizer_path)
-        for pdf in batches:
-            both = [auto.encode_bytes(t) if isinstance(t, str) else (b"", b"") for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [x[0] for x in both], "decoded": [x[1].decode("utf-8", "replace") for x in both]})
+        for batch in batches:
+            both = (auto.encode_bytes(t) if t is not None else (b"", b"") for t in batch.column("text").to_pylist())
+            yield arrow_rows([(ids, text.decode("utf-8", "replace")) for ids, text in both], ENCODED, doc_id=batch.column("doc_id"))
 
-    return docs.select("doc_id", "text").mapInPandas(encode, "doc_id long, ids binary, decoded string")
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), encode, ENCODED)
 
 
 def digest_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Digests of encode_documents, taken where the ids are made (SCHEMA)."""
 
     def digest(batches: Iterator) -> Iterator:
-        import pandas as pd
-
         auto = automaton(tokenizer_path)
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for doc_id, t in zip(pdf["doc_id"], pdf["text"]):
-                ids, text = auto.encode_bytes(t) if isinstance(t, str) else (b"", b"")
+            for t in batch.column("text").to_pylist():
+                ids, text = auto.encode_bytes(t) if t is not None else (b"", b"")
                 text = text.decode("utf-8", "replace").encode()
-                rows.append((doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()))
+            yield arrow_rows(rows, SCHEMA, doc_id=batch.column("doc_id"))
 
-    return docs.select("doc_id", "text").mapInPandas(digest, SCHEMA)
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), digest, SCHEMA)
