@@ -1,4 +1,4 @@
-"""Agreement of two reviewers and small group summaries."""
+"""Small group summaries of labels."""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -8,11 +8,6 @@ def confusion(rows: DataFrame, truth: str, guess: str) -> DataFrame:
     return rows.groupBy(F.col(truth).alias("truth"), F.col(guess).alias("guess")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def agreement(rows: DataFrame, by: str, one: str, other: str) -> DataFrame:
-    same = (F.col(one) == F.col(other)).cast("int")
-    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum(same).alias("agreed"), F.round(F.avg(same), 6).alias("rate"))
-
-
 def mode(rows: DataFrame, by: str, value: str) -> DataFrame:
     """The commonest value of each group, ties to the smaller; counted before the window, so it sees few rows."""
     order = Window.partitionBy(by).orderBy(F.desc("n"), value)

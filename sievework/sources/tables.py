@@ -1,7 +1,20 @@
-"""Tables of a data folder."""
+"""Tables of a data folder, and folders for what a query writes."""
+
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir). Only a local session may have none set."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/sievework-{name}-{uuid.uuid4().hex}"

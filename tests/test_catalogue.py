@@ -2,21 +2,31 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from sievework.plans.catalogue import ORACLE, QUERIES
 
 DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_equals_sql(spark, name):
+@pytest.fixture(scope="module")
+def tables():
     import duckdb
 
     con = duckdb.connect()
     for f in os.listdir(DIR):
         con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{DIR}/{f}'")
-    got = entry.queries()[name](spark, DIR)
+    return con
+
+
+def plain(value):
+    return repr(round(value, 9) + 0.0) if isinstance(value, float) else str(value)
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_equals_sql(spark, tables, name):
+    got = QUERIES[name](spark, DIR)
     columns = sorted(got.columns)
-    want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE[name]})").fetchall()
-    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.select(*columns).collect())
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    want = tables.execute(f"SELECT {quoted} FROM ({ORACLE[name]})").fetchall()
+    rows = got.select(*[f"`{c}`" for c in columns]).collect()
+    assert sorted(tuple(map(plain, r)) for r in rows) == sorted(tuple(map(plain, r)) for r in want)
