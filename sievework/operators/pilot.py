@@ -224,3 +224,24 @@ def changed_rows(before: DataFrame, after: DataFrame, key: str, columns: list[st
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
     return after.join(b, key).where(~same).select(key)
+
+
+def round_extractions(extractions: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Extractions that are not rejected, with the section of their chunk where there is one."""
+    return extractions.where("status <> 'rejected'").join(chunks.select("chunk_id", "section"), "chunk_id", "left")
+
+
+def corpus_sheet(extractions: DataFrame, targets: DataFrame, works: DataFrame) -> DataFrame:
+    """A row to check for each pair of raw and conflicting extractions: its values and evidence, block 1 for conflicts, a short citation."""
+    rows = extractions.where(F.col("status").isin("raw", "conflict")).join(targets.select("entity_id", "entity"), "entity_id")
+    joined = lambda c, sep: F.array_join(F.array_sort(F.collect_set(c)), sep)
+    pairs = rows.groupBy(*KEY, "entity").agg(joined("value_cat", " | ").alias("model_value"), joined("evidence", SEVERAL).alias("evidence"), F.bool_or(F.col("status") == "conflict").alias("_c"))
+    cited = works.select("work_id", F.concat(F.when(F.length(squish("title")) > 70, F.concat(F.substring(squish("title"), 1, 67), F.lit("..."))).otherwise(squish("title")), F.lit(" ("), F.col("year").cast("string"), F.lit(")")).alias("citation"))
+    return pairs.join(cited, "work_id").withColumns({"case": F.when(F.col("_c"), "conflict").otherwise("extracted"), "block": F.when(F.col("_c"), "1").otherwise("2")}).drop("_c")
+
+
+def vocabulary_sheet(attributes: DataFrame, values: DataFrame) -> DataFrame:
+    """Attributes still open with the number and list of their observed values, in the order in which to decide: words, numbers, new ones."""
+    seen = values.groupBy("attribute_id").agg(F.count(F.lit(1)).alias("n_values"), F.array_join(F.array_sort(F.collect_set("value")), ";").alias("observed"))
+    group = F.when(F.col("origin") == "to_define", 3).when(F.col("kind") == "numeric", 2).otherwise(1)
+    return attributes.where("status <> 'closed'").join(seen, "attribute_id", "left").select("attribute_id", "kind", "n_values", F.coalesce("observed", F.lit("")).alias("observed"), group.alias("group"))

@@ -515,3 +515,26 @@ def changed_rows(spark, sf_dir):
 def candidate_passages(spark, sf_dir):
     out = retrieval.candidates(_chunks(spark, sf_dir).withColumn("section", F.lit("Notes")), ["thonti", "que"], [["der"]], ["an", " el"])
     return out.select("work_id", "chunk_id", "kind", "anchor", "score")
+
+
+@query("SELECT l_orderkey AS chunk_id, l_partkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS section FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag <> 'R'")
+def round_extractions(spark, sf_dir):
+    e = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS chunk_id", "l_partkey", "CASE l_returnflag WHEN 'R' THEN 'rejected' ELSE 'raw' END AS status")
+    chunks = read(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").selectExpr("o_orderkey AS chunk_id", "o_orderpriority AS section")
+    return pilot.round_extractions(e, chunks).drop("status")
+
+
+@query("""WITH e AS (SELECT l_orderkey AS work_id, o_custkey AS entity_id, l_linestatus AS attribute_id, l_returnflag AS v, 's' || l_linenumber AS s, l_tax > 0.06 AS conflict FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_discount < 0.08)
+    SELECT work_id, entity_id, attribute_id, c_name AS entity, string_agg(DISTINCT v, ' | ' ORDER BY v) AS model_value, string_agg(DISTINCT s, ' || ' ORDER BY s) AS evidence, CASE WHEN bool_or(conflict) THEN 'conflict' ELSE 'extracted' END AS "case", CASE WHEN bool_or(conflict) THEN '1' ELSE '2' END AS block, 'Order ' || work_id || ' (1990)' AS citation
+    FROM e JOIN customer ON c_custkey = entity_id GROUP BY 1, 2, 3, 4""")
+def corpus_check_sheet(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    e = read(spark, sf_dir, "lineitem").join(o, F.col("o_orderkey") == F.col("l_orderkey")).selectExpr("l_orderkey AS work_id", "o_custkey AS entity_id", "l_linestatus AS attribute_id", "l_returnflag AS value_cat", "concat('s', l_linenumber) AS evidence", "CASE WHEN l_discount >= 0.08 THEN 'rejected' WHEN l_tax > 0.06 THEN 'conflict' ELSE 'raw' END AS status")
+    return pilot.corpus_sheet(e, read(spark, sf_dir, "customer").selectExpr("c_custkey AS entity_id", "c_name AS entity"), o.selectExpr("o_orderkey AS work_id", "concat(' Order  ', o_orderkey) AS title", "1990 AS year"))
+
+
+@query(f"""WITH {_MEASURED}, s AS (SELECT attribute_id, count(*) AS n_values, string_agg(DISTINCT value, ';' ORDER BY value) AS observed FROM (SELECT DISTINCT attribute_id, value FROM m WHERE value IS NOT NULL) GROUP BY 1),
+    a(attribute_id, kind, g) AS (VALUES ('SMALL', 'categorical', 1), ('LARGE', 'numeric', 2), ('NEW', 'numeric', 3)) SELECT attribute_id, kind, n_values, coalesce(observed, '') AS observed, g AS "group" FROM a LEFT JOIN s USING (attribute_id)""")
+def vocabulary_sheet(spark, sf_dir):
+    attributes = spark.createDataFrame([("SMALL", "categorical", "sheet", "review"), ("LARGE", "numeric", "sheet", "review"), ("NEW", "numeric", "to_define", "review"), ("ECONOMY", "categorical", "sheet", "closed")], "attribute_id string, kind string, origin string, status string")
+    return pilot.vocabulary_sheet(attributes, _measured(spark, sf_dir).select("attribute_id", "value").where("value IS NOT NULL").distinct())
