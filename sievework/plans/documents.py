@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sievework.functions import text
-from sievework.operators import extraction, pilot, retrieval, segmentation
+from sievework.operators import extraction, model, pilot, retrieval, segmentation
 from sievework.sources.tables import read
 
 from .registry import query
@@ -538,3 +538,43 @@ def corpus_check_sheet(spark, sf_dir):
 def vocabulary_sheet(spark, sf_dir):
     attributes = spark.createDataFrame([("SMALL", "categorical", "sheet", "review"), ("LARGE", "numeric", "sheet", "review"), ("NEW", "numeric", "to_define", "review"), ("ECONOMY", "categorical", "sheet", "closed")], "attribute_id string, kind string, origin string, status string")
     return pilot.vocabulary_sheet(attributes, _measured(spark, sf_dir).select("attribute_id", "value").where("value IS NOT NULL").distinct())
+
+
+@query("""SELECT p_partkey AS attribute_id, CASE WHEN p_type = 'PROMO' THEN '{"value_num": "number"}' ELSE '{"value_cat": ["' || p_name || '", "' || p_brand || '"]}' END AS shape FROM part""")
+def value_shapes(spark, sf_dir):
+    a = read(spark, sf_dir, "part").selectExpr("p_partkey AS attribute_id", "CASE p_type WHEN 'PROMO' THEN 'numeric' ELSE 'categorical' END AS kind", "concat(p_name, ' ; ', p_brand) AS accepted")
+    return model.value_shapes(a)
+
+
+@query("SELECT p_partkey AS k, 'Title: ' || p_name || CASE WHEN p_size > 10 THEN chr(10) || 'Year: ' || p_size ELSE '' END || CASE WHEN p_size > 20 THEN chr(10) || 'DOI: ' || p_brand ELSE '' END || chr(10) || 'Abstract: ' || p_type AS prompt FROM part")
+def triage_prompts(spark, sf_dir):
+    prompt = model.triage_prompt(F.col("p_name"), F.when(F.col("p_size") > 10, F.col("p_size")), F.when(F.col("p_size") > 20, F.col("p_brand")), F.col("p_type"))
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), prompt.alias("prompt"))
+
+
+@query("""WITH c AS (SELECT DISTINCT l_orderkey AS work_id, l_suppkey AS entity_id, l_partkey AS a FROM lineitem), k AS (SELECT *, (row_number() OVER (PARTITION BY work_id, entity_id ORDER BY a) - 1) // 8 AS call FROM c),
+    l AS (SELECT work_id, entity_id, call, string_agg('- ' || p_name || CASE WHEN p_size > 25 THEN ': ' || p_brand ELSE '' END, chr(10) ORDER BY a) AS lines FROM k JOIN part ON p_partkey = a GROUP BY 1, 2, 3)
+    SELECT work_id, entity_id, call, 'Entity: E' || entity_id || chr(10) || 'Attributes:' || chr(10) || lines || chr(10) || 'Passage:' || chr(10) || o_orderpriority AS prompt FROM l JOIN orders ON o_orderkey = work_id""")
+def shared_prompts(spark, sf_dir):
+    c = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS work_id", "l_suppkey AS entity_id", "concat('E', l_suppkey) AS entity", "l_orderkey AS chunk_id", "l_partkey AS attribute_id", "CAST(NULL AS STRING) AS anchor")
+    attributes = read(spark, sf_dir, "part").selectExpr("p_partkey AS attribute_id", "p_name AS name", "CASE WHEN p_size > 25 THEN p_brand END AS rule")
+    out = model.shared_prompts(c, read(spark, sf_dir, "orders").selectExpr("o_orderkey AS chunk_id", "o_orderpriority AS text"), attributes)
+    return out.select("work_id", "entity_id", "call", "prompt")
+
+
+@query("SELECT DISTINCT l_orderkey AS work_id FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def contexts_needed(spark, sf_dir):
+    return model.contexts_needed(read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("work_id")), read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("work_id")))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 30 THEN 'http://' || p_partkey WHEN p_size > 10 THEN 'http://d/' || p_size END AS page_url FROM part")
+def pages_filled(spark, sf_dir):
+    works = read(spark, sf_dir, "part").selectExpr("p_partkey", "concat('D', p_size) AS doi", "CASE WHEN p_size > 30 THEN concat('http://', p_partkey) END AS page_url")
+    found = read(spark, sf_dir, "part").where("p_size > 10").selectExpr("concat('d', p_size) AS doi", "concat('http://d/', p_size) AS url")
+    return model.filled_pages(works, found).select("p_partkey", "page_url")
+
+
+@query("SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus <> 'F'")
+def second_batch(spark, sf_dir):
+    answers = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag = 'A' AS found", "CASE l_linestatus WHEN 'F' THEN 's' END AS evidence")
+    return model.second_batch(answers).select("l_orderkey", "l_partkey", "l_linenumber")

@@ -163,3 +163,29 @@ def test_candidates_prefer_accounts_and_keep_a_table(spark):
     assert len(got[1]) == 4 and "c5" in got[1] and "c4" not in got[1]
     few = {r.chunk_id: r.anchor for r in retrieval.candidates(chunks.where("ord < 5"), ["Hyla raniceps"], [["Bufo ictericus"]], ["snout"]).where("work_id = 1").collect()}
     assert few == {"c2": "Hyla raniceps was seen"}
+
+
+def test_store_opens_with_all_tables_and_later_columns(spark, tmp_path):
+    from sievework.sources import schema
+
+    spark.createDataFrame([("w", "10.1/x")], "work_id string, doi string").write.parquet(f"{tmp_path}/work.parquet")
+    tables = schema.opened(spark, str(tmp_path))
+    assert set(tables) == set(schema.TABLES) and all(set(keys) <= set(tables[n].columns) for n, (_, keys) in schema.TABLES.items())
+    row = tables["work"].first()
+    assert row.doi == "10.1/x" and row.document_type is None and tables["chunk"].count() == 0
+    assert schema.opened(spark, str(tmp_path))["work"].count() == 1
+    assert schema.shaped(spark.createDataFrame([("w", "1999")], "work_id string, year string"), "work").first().year == 1999
+    with pytest.raises(ValueError, match="colour"):
+        schema.shaped(spark.createDataFrame([("w", "red")], "work_id string, colour string"), "work")
+
+
+def test_batches_are_priced_before_they_are_sent(spark):
+    from sievework.operators import model
+
+    prompts = spark.createDataFrame([("m", "x" * 3500)] * 10, "model string, prompt string")
+    prices = spark.createDataFrame([("m", 2.0, 10.0)], "model string, input double, output double")
+    assert model.batch_within(prompts, 0, prices, 1.0) == pytest.approx((10 * 1000 * 2 + 10 * 250 * 10) / 1e6 * 0.5)
+    with pytest.raises(ValueError, match="limit"):
+        model.batch_within(prompts, 0, prices, 0.001)
+    with pytest.raises(ValueError, match="price"):
+        model.batch_within(prompts.withColumn("model", F.lit("n")), 0, prices, 1.0)
