@@ -164,3 +164,41 @@ def descriptor(columns: dict[str, list[str]], core: str, id_column: str, term: s
 
     order = [core, *(n for n in columns if n != core)]
     return '<?xml version="1.0" encoding="UTF-8"?><archive xmlns="http://rs.tdwg.org/dwc/text/">' + "".join(map(part, order)) + "</archive>"
+
+
+def audited(sheets: dict[str, DataFrame], valid: str = "Taxonomy") -> DataFrame:
+    """All findings of a workbook's sheets, summed: texts, line breaks, ids and names, unknown ids, remarks, fragile ids, values without id."""
+    found = []
+    for name, d in sheets.items():
+        columns = [c for c in ("taxonID", "scientificName", "eventID", "collectionCode", "measurementValue") if c in d.columns]
+        if columns:
+            found.append(text_findings(d, name, columns))
+        found.append(control_findings(d, name))
+        if {"taxonID", "measurementValue"} <= set(d.columns):
+            found.append(value_without_id_findings(d, name))
+        if any(c in d.columns for c in ("measurementAccuracy", "measurementUnit", "measurementMethod")):
+            found.append(remark_findings(d, name))
+        if "eventID" in d.columns and name == "GeneralInformation":
+            found.append(fragile_id_findings(d, name))
+    rows = lambda need, make: [make(d, n) for n, d in sheets.items() if set(need) <= set(d.columns)]
+    if pairs := rows(("taxonID", "scientificName"), lambda d, n: d.select(F.lit(n).alias("sheet"), "row_no", "taxonID", F.col("scientificName").alias("name"))):
+        found.append(id_name_findings(reduce(DataFrame.unionByName, pairs)))
+    others = [d.select(F.lit(n).alias("sheet"), "row_no", "taxonID") for n, d in sheets.items() if n != valid and "taxonID" in d.columns]
+    if others and valid in sheets:
+        found.append(orphan_findings(reduce(DataFrame.unionByName, others), sheets[valid]))
+    return summed_findings(reduce(DataFrame.unionByName, found))
+
+
+def migrated(sheets: dict[str, DataFrame], folder: str) -> dict[str, int]:
+    """The archive of a workbook: taxon, occurrence and mof as tab separated files, and meta.xml; gives the rows written of each."""
+    from sievework.sources.sinks import write_text, write_tsv
+
+    parts = {
+        "taxon": taxa(sheets["Taxonomy"]),
+        "occurrence": occurrences(sheets["GeneralInformation"]),
+        "mof": measurements(habitat_measurements(sheets["Habitat"]), morphology_measurements(sheets["Morphology_DWC"]), diet_measurements(sheets["Diet_DWC"])),
+    }
+    for name, df in parts.items():
+        write_tsv(df, f"{folder}/{name}", quote_all=name == "mof")
+    write_text(f"{folder}/meta.xml", descriptor({n: df.columns for n, df in parts.items()}, "taxon", "taxonID"))
+    return {n: df.count() for n, df in parts.items()}

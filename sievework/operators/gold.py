@@ -90,3 +90,17 @@ def confusion_counts(answers: DataFrame, truth: str, answer: str) -> DataFrame:
     out = answers.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in n.items()])
     rate = lambda x, y: F.when(F.col(x) + F.col(y) > 0, F.col(x) / (F.col(x) + F.col(y)))
     return out.withColumns({"sensitivity": rate("tp", "fn"), "specificity": rate("tn", "fp")})
+
+
+def review_sheet(queue: DataFrame) -> DataFrame:
+    """The columns a reviewer sees, with a blank verdict and correction."""
+    return queue.select("extraction_id", "queue", "entity_id", "attribute_id", "value_num", "value_cat", "confidence").withColumns({"verdict": F.lit(""), "corrected": F.lit("")})
+
+
+def metrics(limits: DataFrame, agreed: DataFrame, covered: DataFrame) -> DataFrame:
+    """One row of what a release reports: attributes decided automatically and in full review, mean agreement, share of pairs with data."""
+    a = limits.agg(F.count_if(F.col("decision") == "automatic").alias("automatic"), F.count_if(F.col("decision") == "full_review").alias("full_review"))
+    b = agreed.agg(F.avg("agreement").alias("agreement"), F.sum("n").alias("n_gold_pairs"))
+    c = covered.agg(F.sum("with_data").alias("with_data"), F.sum("wanted").alias("wanted"))
+    one = F.broadcast  # each side is one row
+    return a.crossJoin(one(b)).crossJoin(one(c)).withColumn("coverage", F.col("with_data") / F.col("wanted"))

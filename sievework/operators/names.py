@@ -140,3 +140,16 @@ def decision_template(cases: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n_lines")).alias("n"), "name", spelling.alias("s"), "conflict")))
     out = cases.groupBy("entity_id").agg(ordered.alias("l"))
     return out.select("entity_id", F.array_join(F.transform("l", lambda x: x["s"]), " | ").alias("spellings"), F.col("l")[0]["conflict"].alias("conflict"), F.lit(None).cast("string").alias("accepted_name"))
+
+
+def synchronised_aliases(cache: DataFrame, targets: DataFrame, source: str) -> DataFrame:
+    """Distinct aliases of targets from an authority's cache (name, synonym), empty ones and the accepted name left out."""
+    rows = targets.select("entity_id", "entity").distinct().join(cache.withColumn("synonym", squish("synonym")), F.col("entity") == F.col("name"))
+    rows = rows.where("synonym <> '' AND synonym <> entity").select("entity_id", F.col("synonym").alias("alias")).distinct()
+    return rows.withColumns({"source": F.lit(source), "work_doi": F.lit(None).cast("string")})
+
+
+def review_sheet(evidence: DataFrame) -> DataFrame:
+    """The evidence of doubtful aliases, most linked works first, with blank columns to decide in; for people, so in one order."""
+    blank = F.lit("")
+    return evidence.orderBy(F.desc("n_works_of_entity"), F.desc("n_works"), "entity", "alias").withColumns({"decision": blank, "work_doi": blank, "note": blank})

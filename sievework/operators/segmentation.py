@@ -185,3 +185,26 @@ def pending(works: DataFrame, done: DataFrame) -> DataFrame:
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """By name; a column that a part lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def account_chunks(lines: DataFrame) -> DataFrame:
+    """Accounts as chunks: the header, squished and 120 characters at most, as section; equal texts of a work are one chunk."""
+    rows = accounts(lines).select("work_id", F.lit("account").alias("kind"), F.when(F.length(squish("header")) > 120, F.concat(F.substring(squish("header"), 1, 117), F.lit("..."))).otherwise(squish("header")).alias("section"), "page", "account", "text")
+    first = rows.withColumn("_k", F.row_number().over(Window.partitionBy("work_id", "text").orderBy("account"))).where("_k = 1").drop("_k")
+    return first.withColumn("chunk_id", content_id("work_id", F.concat(F.lit("account:"), "text")))
+
+
+def with_accounts(chunks: DataFrame, lines: DataFrame) -> DataFrame:
+    """chunks with the accounts of the works that have none yet."""
+    open_ = lines.join(chunks.where("kind = 'account'").select("work_id").distinct(), "work_id", "left_anti")
+    return appended(chunks, account_chunks(open_).drop("chunk_id"), ["account"])
+
+
+def with_lost_text(chunks: DataFrame, lines: DataFrame) -> DataFrame:
+    """chunks with the paragraphs of lines that no chunk of their work holds."""
+    return appended(chunks, lost_paragraphs(lines, chunks).withColumns({"kind": F.lit("text"), "section": F.lit(None).cast("string")}), ["page", "par"])
+
+
+def rebuilt(chunks: DataFrame, new: DataFrame) -> DataFrame:
+    """chunks with all those of the works in `new` replaced; ids follow from work and text, so unchanged chunks keep theirs."""
+    return chunks.join(new.select("work_id").distinct(), "work_id", "left_anti").select(*chunks.columns).unionByName(new.select(*chunks.columns))

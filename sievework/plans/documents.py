@@ -578,3 +578,41 @@ def pages_filled(spark, sf_dir):
 def second_batch(spark, sf_dir):
     answers = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag = 'A' AS found", "CASE l_linestatus WHEN 'F' THEN 's' END AS evidence")
     return model.second_batch(answers).select("l_orderkey", "l_partkey", "l_linenumber")
+
+
+_ACCOUNTS = f"""{_LINES}, t AS (SELECT *, coalesce(line % 5 = 1 AND italic2, false) AND line <> 7 AND page * 10 + line <> 65 AS header, page * 10 + line = 65 AND line <> 7 AS refs, line = 7 AS title,
+      CASE WHEN line = 7 THEN 'KEY TO SPECIES' WHEN line % 5 = 1 AND italic2 THEN 'Hyla raniceps (Fig. ' || line || ')' ELSE text END AS tx FROM l WHERE NOT small),
+    e AS (SELECT *, max(refs::INT) OVER o AS ended FROM t WINDOW o AS (PARTITION BY work_id ORDER BY page, col, line)),
+    a AS (SELECT *, sum(header::INT) OVER o AS account, last_value(CASE WHEN header THEN 'open' WHEN title THEN 'shut' END IGNORE NULLS) OVER o AS event FROM e WHERE ended = 0 WINDOW o AS (PARTITION BY work_id ORDER BY page, col, line)),
+    j AS (SELECT work_id, account, arg_min(tx, (page, col, line)) AS header, regexp_replace(string_agg(tx, ' ' ORDER BY page, col, line), '(\\p{{Ll}})- (\\p{{Ll}})', '\\1\\2', 'g') AS text FROM a WHERE event = 'open' GROUP BY 1, 2),
+    d AS (SELECT work_id, text, arg_min(header, account) AS section, min(account) AS account FROM j GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_ACCOUNTS} SELECT work_id, section, text, substr(sha256(work_id || chr(1) || 'account:' || text), 1, 16) AS chunk_id FROM d")
+def account_chunks(spark, sf_dir):
+    return segmentation.account_chunks(_lines(spark, sf_dir)).select("work_id", "section", "text", "chunk_id")
+
+
+def _held(spark, sf_dir):
+    """Chunks of user turns; those of the first works count as accounts."""
+    return read(spark, sf_dir, "conversations").where("role = 'user' AND text IS NOT NULL").select(F.col("conv_id").alias("work_id"), F.col("turn").alias("ord"), F.when(F.col("conv_id") < 20, "account").otherwise("text").alias("kind"), F.lit(None).cast("string").alias("section"), "text", F.concat_ws("-", "conv_id", "turn").alias("chunk_id"))
+
+
+@query(f"""WITH {_ACCOUNTS}, h AS (SELECT conv_id AS work_id, turn AS ord, CASE WHEN conv_id < 20 THEN 'account' ELSE 'text' END AS kind FROM conversations WHERE role = 'user' AND text IS NOT NULL), la AS (SELECT work_id, max(ord) AS last FROM h GROUP BY 1)
+    SELECT work_id, ord, kind FROM h UNION ALL SELECT d.work_id, coalesce(last, 0) + row_number() OVER (PARTITION BY d.work_id ORDER BY account), 'account' FROM d LEFT JOIN la USING (work_id) WHERE d.work_id >= 20""")
+def chunks_with_accounts(spark, sf_dir):
+    return segmentation.with_accounts(_held(spark, sf_dir), _lines(spark, sf_dir)).select("work_id", "ord", "kind")
+
+
+@query("""WITH h AS (SELECT conv_id AS work_id, turn AS ord, role FROM conversations WHERE text IS NOT NULL), n AS (SELECT work_id, ord, 'new' AS kind FROM h WHERE role <> 'user' AND work_id < 30)
+    SELECT work_id, ord, CASE WHEN work_id < 20 THEN 'account' ELSE 'text' END AS kind FROM h WHERE role = 'user' AND work_id NOT IN (SELECT work_id FROM n) UNION ALL SELECT * FROM n""")
+def rebuilt_chunks(spark, sf_dir):
+    new = read(spark, sf_dir, "conversations").where("role <> 'user' AND conv_id < 30 AND text IS NOT NULL").select(F.col("conv_id").alias("work_id"), F.col("turn").alias("ord"), F.lit("new").alias("kind"), F.lit(None).cast("string").alias("section"), "text", F.concat_ws("-", "conv_id", "turn").alias("chunk_id"))
+    return segmentation.rebuilt(_held(spark, sf_dir), new).select("work_id", "ord", "kind")
+
+
+@query("""WITH c AS (SELECT conv_id, turn, text, turn % 4 = 1 AND conv_id < 50 AS m, turn % 5 <> 4 AND turn = 3 OR turn % 5 <> 4 AND regexp_matches(text, '(?i)(^|[^\\p{L}\\p{N}_])(stages?|gosner|est[aá]gios?)($|[^\\p{L}\\p{N}_])') AS s FROM (SELECT conv_id, turn, CASE WHEN turn = 3 THEN text || ' at Gosner 25' ELSE text END AS text FROM conversations WHERE text IS NOT NULL)),
+    a AS (SELECT conv_id, bool_or(m) AS any_m FROM c GROUP BY 1) SELECT conv_id AS work_id, substr(string_agg(text, chr(10) ORDER BY turn), 1, 12000) AS prompt, min(CASE WHEN m THEN 'methods' ELSE 'stage' END) AS basis FROM c JOIN a USING (conv_id) WHERE m OR (NOT any_m AND s) GROUP BY 1""")
+def context_prompts(spark, sf_dir):
+    c = _chunks(spark, sf_dir).withColumns({"section": F.when((F.col("ord") % 4 == 1) & (F.col("work_id") < 50), "Materials").otherwise(F.col("section")), "text": F.when(F.col("ord") == 3, F.concat("text", F.lit(" at Gosner 25"))).otherwise(F.col("text"))})
+    return extraction.context_prompts(c)

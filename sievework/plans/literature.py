@@ -459,3 +459,10 @@ def consolidated_verdict(spark, sf_dir):
 @query(f"SELECT doc_id, {_KEY.format("replace(text, 'ß', 'ss')")} AS key FROM documents WHERE text IS NOT NULL")
 def title_keys(spark, sf_dir):
     return read(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", text.title_key("text").alias("key"))
+
+
+@query(f"""SELECT DISTINCT p_partkey AS entity_id, p_type AS alias, 'A 1' AS source FROM (SELECT p_partkey, p_name FROM part) t JOIN (SELECT p_name, CASE WHEN p_size > 10 THEN p_type ELSE '' END AS p_type FROM part) s USING (p_name) WHERE p_type <> ''""")
+def synchronised_aliases(spark, sf_dir):
+    part = read(spark, sf_dir, "part")
+    cache = part.selectExpr("p_name AS name", "CASE WHEN p_size > 10 THEN concat(' ', p_type) ELSE ' ' END AS synonym").union(part.selectExpr("p_name", "p_name")).distinct()
+    return names.synchronised_aliases(cache, part.selectExpr("p_partkey AS entity_id", "p_name AS entity"), "A 1").select("entity_id", "alias", "source")

@@ -363,3 +363,20 @@ def dwc_published(spark, sf_dir):
 def dwc_gaps(spark, sf_dir):
     pairs = read(spark, sf_dir, "orders").selectExpr("o_custkey AS entity_id", "o_orderpriority AS attribute_id", "CASE o_orderstatus WHEN 'O' THEN 'not_searched' WHEN 'P' THEN 'searched_without_data' ELSE 'extracted' END AS state")
     return darwin_core.gaps(pairs, read(spark, sf_dir, "customer").selectExpr("c_custkey AS entity_id", "c_name AS entity"))
+
+
+def _workbook(spark, sf_dir):
+    d = _parts(spark, sf_dir, "CASE WHEN p_size < 45 THEN p_brand ELSE concat(p_brand, '  x') END AS taxonID", "p_name AS scientificName", "CASE WHEN p_size < 3 THEN ' ' ELSE p_type END AS measurementValue", "p_brand AS family", "p_type AS genus")
+    return {"Taxonomy": d.where("row_no < 300"), "Morphology_DWC": d.drop("family", "genus")}
+
+
+@query("""WITH d AS (SELECT p_partkey AS row_no, CASE WHEN p_size < 45 THEN p_brand ELSE p_brand || '  x' END AS id, p_name AS name, CASE WHEN p_size < 3 THEN ' ' ELSE p_type END AS v FROM part),
+    b AS (SELECT 'Taxonomy' AS sheet, * FROM d WHERE row_no < 300 UNION ALL SELECT 'Morphology_DWC', * FROM d), c AS (SELECT *, replace(id, '  ', ' ') AS sid FROM b),
+    u AS (SELECT *, row_number() OVER (PARTITION BY sid, name ORDER BY sheet, row_no) AS k FROM c), f AS (SELECT *, count(*) OVER (PARTITION BY sid) AS names, count(*) OVER (PARTITION BY name) AS ids FROM u WHERE k = 1),
+    o AS (SELECT sid, min(row_no) AS row_no FROM c WHERE sheet = 'Morphology_DWC' AND sid NOT IN (SELECT sid FROM c WHERE sheet = 'Taxonomy') GROUP BY 1),
+    a AS (SELECT sheet, row_no, 'taxonID' AS col, id AS value, 'double space' AS problem FROM b WHERE contains(id, '  ') UNION ALL SELECT sheet, row_no, 'measurementValue', v, 'space at an end' FROM b WHERE v = ' '
+      UNION ALL SELECT sheet, row_no, 'scientificName', sid || ' -> ' || name, 'id with several names' FROM f WHERE names > 1 UNION ALL SELECT sheet, row_no, 'taxonID', name || ' -> ' || sid, 'name with several ids' FROM f WHERE ids > 1
+      UNION ALL SELECT 'Morphology_DWC', row_no, 'taxonID', sid, 'unknown id' FROM o)
+    SELECT sheet, col AS "column", problem, value, count(*) AS n_cells, min(row_no) AS example_row FROM a GROUP BY 1, 2, 3, 4""")
+def audit_workbook(spark, sf_dir):
+    return darwin_core.audited(_workbook(spark, sf_dir))

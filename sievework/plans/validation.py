@@ -232,3 +232,20 @@ def triage_against_gold(spark, sf_dir):
     SELECT doc_id, lang FROM i WHERE k <= greatest(least(4, g), round_even(25 * g / n, 0))""")
 def stratified_sample(spark, sf_dir):
     return gold.stratified(read(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", 25, 4, 7, "doc_id")
+
+
+@query(f"""WITH {_E} SELECT extraction_id, 'conflict' AS queue, entity_id, '' AS verdict, '' AS corrected FROM e WHERE status = 'conflict'""")
+def review_sheet(spark, sf_dir):
+    queue = extractions(spark, sf_dir).where("status = 'conflict'").withColumn("queue", F.lit("conflict"))
+    return gold.review_sheet(queue).select("extraction_id", "queue", "entity_id", "verdict", "corrected")
+
+
+@query(f"""WITH {_E}, {_LIMITS}, g2 AS (SELECT work_id, entity_id, attribute_id, any_value(kind) AS kind, min(value_cat) AS a, max(value_cat) AS b FROM e GROUP BY 1, 2, 3 HAVING count(*) = 2),
+    sm AS (SELECT attribute_id, CASE WHEN kind = 'categorical' THEN lower(a) = lower(b) ELSE abs(a::DOUBLE - b::DOUBLE) <= 0.05 * (abs(a::DOUBLE) + abs(b::DOUBLE)) / 2 END AS same FROM g2), ag AS (SELECT attribute_id, count(*) AS n, avg(same::INT) AS agreement FROM sm GROUP BY 1)
+    SELECT (SELECT count(*) FROM l WHERE decision = 'automatic') AS automatic, (SELECT count(*) FROM l WHERE decision = 'full_review') AS full_review, (SELECT round(avg(agreement), 6) FROM ag) AS agreement, (SELECT sum(n)::BIGINT FROM ag) AS n_gold_pairs,
+    (SELECT round(count(*) FILTER (o_orderstatus IN ('F', 'P')) / count(*), 6) FROM customer JOIN orders ON c_custkey = o_custkey) AS coverage""")
+def release_metrics(spark, sf_dir):
+    kinds = spark.createDataFrame([("F", "numeric"), ("O", "categorical")], "attribute_id string, kind string")
+    agreed = gold.agreement(extractions(spark, sf_dir).select(*validation.KEY, F.col("value_cat").alias("value")), kinds)
+    out = gold.metrics(_limits(spark, sf_dir), agreed, coverage(spark, sf_dir))
+    return out.select("automatic", "full_review", F.round("agreement", 6).alias("agreement"), "n_gold_pairs", F.round("coverage", 6).alias("coverage"))

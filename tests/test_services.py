@@ -189,3 +189,15 @@ def test_batches_are_priced_before_they_are_sent(spark):
         model.batch_within(prompts, 0, prices, 0.001)
     with pytest.raises(ValueError, match="price"):
         model.batch_within(prompts.withColumn("model", F.lit("n")), 0, prices, 1.0)
+
+
+def test_archive_is_written_whole(spark, tmp_path):
+    taxonomy = spark.createDataFrame([(2, "t1", "A b", "F", "A"), (3, "t1", "A c", "F", "A")], "row_no long, taxonID string, scientificName string, family string, genus string")
+    general = spark.createDataFrame([(2, "t1", "V1", "10.1/x")], "row_no long, taxonID string, collectionCode string, eventID string")
+    habitat = spark.createDataFrame([(2, "t1", "pond", None, "e")], "row_no long, taxonID string, Habitat_type string, biome string, eventID string").withColumn("LocationID", F.lit(None).cast("string"))
+    morphology = spark.createDataFrame([(2, "t1", "snout", "round\nend", None, "d", "25", "e")], "row_no long, taxonID string, measurementType string, measurementValue string, measurementValue_original string, definition string, stage string, eventID string")
+    diet = spark.createDataFrame([(2, "t1", "algae", "12", "%", "3", "e")], "row_no long, taxonID string, measurementType string, measurementAccuracy string, organismQuantity string, organismQuantityType string, eventID string")
+    book = {"Taxonomy": taxonomy, "GeneralInformation": general, "Habitat": habitat, "Morphology_DWC": morphology, "Diet_DWC": diet}
+    assert darwin_core.migrated(book, str(tmp_path)) == {"taxon": 1, "occurrence": 1, "mof": 3}
+    mof = {r.measurementID: r for r in files.tsv(spark, f"{tmp_path}/mof").collect()}
+    assert mof["mof2"].measurementValue == "round\nend" and mof["mof3"].measurementType == "diet_item:algae" and "<core" in open(f"{tmp_path}/meta.xml").read()
