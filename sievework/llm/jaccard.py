@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, grouped, in_batches, settled
+from .common import arrow_rows, in_batches, settled
 
 SIZE, SIMILARITY = 5, 0.8
 TARGET_RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, BUCKET, SKETCH, SEED = 0.995, 2, 2, 6, 64, 64, 23
@@ -94,11 +94,12 @@ class Shingler:
     def sketch(self, shingles):
         import numpy as np
 
-        low = np.full(SKETCH, 0xFFFFFFFF, np.uint64)
-        for at in range(0, len(shingles), 1 << 15):
-            part = shingles[at : at + (1 << 15)]
-            low = np.minimum(low, ((part[:, None] * self.factors + self.terms) >> np.uint64(32)).min(0))
-        return low.astype(np.uint32)
+        low = np.full(SKETCH, 1 << 63, np.uint64) * np.uint64(2) - np.uint64(1)
+        for at in range(0, len(shingles), 4096):
+            hashed = self.factors[:, None] * shingles[at : at + 4096]
+            hashed += self.terms[:, None]
+            low = np.minimum(low, hashed.min(1))
+        return (low >> np.uint64(32)).astype(np.uint32)
 
 
 _own: list[Shingler] = []
@@ -204,28 +205,75 @@ def _extend(batches: Iterator, steps: int, runs: int = 0) -> Iterator:
             yield pd.DataFrame({"sid": pdf["sid"].to_numpy()[rows], "key": nodes.view(np.int64)})
 
 
-def _owned(g, similar):
-    """For each member of a tile, whether it has a pair there (by `similar`) whose least shared bucket is the tile's: a matrix."""
+def tiles_of(batches: Iterator, least_rows: int = 4096) -> Iterator:
+    """(batch, starts of its tiles) of batches sorted by their column `tile`; a batch holds whole tiles only."""
     import numpy as np
+    import pyarrow as pa
+
+    def cut(held: list):
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        tile = whole.column("tile").to_numpy()
+        return whole, np.concatenate([[0], np.flatnonzero(tile[1:] != tile[:-1]) + 1])
+
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= least_rows:
+            whole, starts = cut(held)
+            last = int(starts[-1])
+            if last:
+                yield whole.slice(0, last), starts[:-1]
+            held, n = [whole.slice(last)], 0 if last == 0 else whole.num_rows - last
+    if held:
+        whole, starts = cut(held)
+        yield whole, starts
+
+
+def members_of(batch) -> tuple:
+    """Arrays of a batch of tiles: key, block and whether the tile compares two blocks, and the flat keys of its rows with their ends."""
+    import numpy as np
+
+    of = {c: batch.column(c).to_numpy() for c in ("key", "block", "a", "b")}
+    keys = batch.column("keys")
+    ends = np.cumsum(np.append(0, keys.value_lengths().to_numpy()))
+    return of["key"], of["block"], of["a"] != of["b"], keys.flatten().to_numpy(), ends
+
 
-    key, block = g["key"].iloc[0], g["block"].to_numpy()
-    a, b = g["a"].iloc[0], g["b"].iloc[0]
-    keys = list(g["keys"])
-    width = max(map(len, keys))
-    low = np.full((len(g), width), np.iinfo(np.int64).max)
-    for i, k in enumerate(keys):
-        k = [x for x in k if x < key]
-        low[i, : len(k)] = k
-    out = np.zeros((len(g), len(g)), bool)
-    for i in range(len(g)):
-        mine = np.flatnonzero(similar(i)[i + 1 :]) + i + 1
-        if a != b:
-            mine = mine[block[mine] != block[i]]
-        if len(mine):
-            smaller = low[i][low[i] < key]
-            if len(smaller):
-                mine = mine[~np.isin(low[mine], smaller).any(1)]
-            out[i, mine] = True
+def owned(similar, lo: int, hi: int, members: tuple):
+    """The pairs (upper triangle of a matrix) of a tile's rows lo to hi that are similar, of different blocks if it compares two, and
+    share no key less than the tile's."""
+    import numpy as np
+
+    key, block, across, flat, ends = members
+    pairs = np.triu(similar, 1)
+    if across[lo]:
+        pairs &= block[lo:hi, None] != block[None, lo:hi]
+    if not pairs.any():
+        return pairs
+    keys = flat[ends[lo] : ends[hi]]
+    owner = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
+    less = keys < key[lo]
+    if less.any():
+        kinds, which, counts = np.unique(keys[less], return_inverse=True, return_counts=True)
+        shared = counts > 1
+        if shared.any():
+            use = shared[which]
+            held = np.zeros((hi - lo, int(shared.sum())), np.float32)
+            held[owner[less][use], (np.cumsum(shared) - 1)[which[use]]] = 1
+            pairs &= held @ held.T == 0
+    return pairs
+
+
+def alike(sketches):
+    """The number of positions in which each two sketches agree: a matrix."""
+    import numpy as np
+
+    out = np.empty((len(sketches), len(sketches)), np.uint8)
+    step = max(1, (1 << 16) // len(sketches))
+    for at in range(0, len(sketches), step):
+        out[at : at + step] = (sketches[at : at + step, None, :] == sketches[None, :, :]).sum(2, dtype=np.uint8)
     return out
 
 
@@ -267,15 +315,20 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
 
     def by_sketch(batches: Iterator) -> Iterator:
         import numpy as np
-
-        for g in grouped(batches, "tile"):
-            if len(g) > 1:
-                s = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(len(g), SKETCH)
-                pairs = _owned(g, lambda i, s=s: (s == s[i]).sum(1) >= least)
-                yield g[pairs.any(0) | pairs.any(1)].drop(columns="sketch")
+        import pyarrow as pa
+
+        for batch, bounds in tiles_of(batches):
+            members = members_of(batch)
+            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+            keep = np.zeros(batch.num_rows, bool)
+            for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), batch.num_rows]):
+                if hi - lo > 1:
+                    pairs = owned(alike(sketches[lo:hi]) >= least, lo, hi, members)
+                    keep[lo:hi] = pairs.any(0) | pairs.any(1)
+            yield batch.drop_columns(["sketch"]).filter(pa.array(keep))
 
     member = "tile long, key long, a int, b int, block int, sid long, keys array<long>"
-    close = settled(tiles.mapInPandas(by_sketch, member), "close")
+    close = settled(tiles.mapInArrow(by_sketch, member), "close")
     wanted = close.select("sid").distinct().join(classes.select("sid", "row"), "sid")
 
     def texts(batches: Iterator) -> Iterator:
@@ -289,31 +342,35 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
     read = docs.select(row_key().alias("row"), "text").join(wanted, "row").select("sid", "text")
     sets = read.mapInPandas(texts, "sid long, elements binary").groupBy("sid").agg(F.any_value("elements").alias("elements"))
 
+    schema = "sid long, root long, links long"
+
     def exact(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
-
-        for g in grouped(batches, "tile"):
-            if len(g) < 2:
-                continue
-            held = [np.frombuffer(x, np.uint64) for x in g["elements"]]
-            n = np.array(list(map(len, held)), np.float64)
-            both = overlaps(held).astype(np.float64)
-            pairs = _owned(g, lambda i, n=n, both=both: both[i] >= similarity * (n + n[i] - both[i]) - 1e-9)
-            if not pairs.any():
-                continue
-            pairs |= pairs.T
-            root = np.arange(len(g))
-            while True:
-                new = np.array([min(root[i], root[p].min()) if (p := pairs[i]).any() else root[i] for i in range(len(g))])
-                new = new[new]
-                if (new == root).all():
-                    break
-                root = new
-            sid, count = g["sid"].to_numpy(), pairs.sum(1)
-            yield pd.DataFrame({"sid": sid, "root": sid[root], "links": count})[count > 0]
-
-    return settled(close.join(sets, "sid").repartition("tile").sortWithinPartitions("tile").mapInPandas(exact, "sid long, root long, links long"), "links")
+        import pyarrow as pa
+
+        for batch, bounds in tiles_of(batches, 64):
+            members, sids = members_of(batch), batch.column("sid").to_numpy()
+            for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), batch.num_rows]):
+                if hi - lo < 2:
+                    continue
+                held = [np.frombuffer(x, np.uint64) for x in batch.column("elements").slice(lo, hi - lo).to_pylist()]
+                n = np.array(list(map(len, held)), np.float64)
+                both = overlaps(held).astype(np.float64)
+                pairs = owned(both >= similarity * (n[:, None] + n - both) - 1e-9, lo, hi, members)
+                if not pairs.any():
+                    continue
+                pairs |= pairs.T
+                sid, count, root = sids[lo:hi], pairs.sum(1), np.arange(hi - lo)
+                while True:
+                    new = np.minimum(root, np.where(pairs, root[None, :], hi - lo).min(1))
+                    new = new[new]
+                    if (new == root).all():
+                        break
+                    root = new
+                linked = count > 0
+                yield pa.RecordBatch.from_pydict({"sid": sid[linked], "root": sid[root[linked]], "links": count[linked].astype(np.int64)})
+
+    return settled(close.join(sets, "sid").repartition("tile").sortWithinPartitions("tile").mapInArrow(exact, schema), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
