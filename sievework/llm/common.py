@@ -61,11 +61,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/sievework-{name}-{uuid.uuid4().hex}"
 
 
+def until_exit(spark: SparkSession, path: str) -> None:
+    """Marks a written path to be removed when the driver ends; results are read from it until then."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again, which cuts its lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    until_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, in_batches, scratch
+from .common import arrow_rows, in_batches, scratch, until_exit
 from .tokens import tokenizer
 
 MAGIC, BLOCK, END_ID, SHARD_TOKENS = b"WVMX2\0\0\0", 512, 2, 1 << 22
@@ -294,4 +294,5 @@ def token_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     """Writes the shards to the shared folder and reads them back."""
     path = scratch(docs.sparkSession, "shards")
     write_shards(docs, tokenizer_path, path, end_id)
+    until_exit(docs.sparkSession, path)
     return read_shards(docs.sparkSession, path)
