@@ -11,14 +11,14 @@ from .registry import query
 ATTRIBUTES = [("F", "numeric", "R", 5.0, 45.0, None), ("O", "categorical", None, None, None, "7; 9;11 ;13"), ("X", "numeric", "A", None, 30.0, None)]
 _ATTRIBUTES = """attributes(attribute_id, kind, wanted, lowest, highest, accepted) AS (VALUES ('F', 'numeric', 'R', 5.0::DOUBLE, 45.0::DOUBLE, NULL),
     ('O', 'categorical', NULL, NULL, NULL, '7; 9;11 ;13'), ('X', 'numeric', 'A', NULL, 30.0, NULL))"""
-_E = """e AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS extraction_id, l_orderkey AS work_id, l_returnflag AS entity_id, l_linestatus AS attribute_id,
+_E = """e AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS INT) AS extraction_id, l_orderkey AS work_id, l_returnflag AS entity_id, l_linestatus AS attribute_id,
     CASE WHEN l_tax > 0 THEN l_quantity END AS value_num, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS value_cat, l_discount AS confidence, l_returnflag AS unit,
     CASE WHEN l_linestatus = 'F' THEN 'numeric' ELSE 'categorical' END AS kind, CASE WHEN l_tax < 0.07 THEN 'raw' WHEN l_tax < 0.08 THEN 'approved' ELSE 'conflict' END AS status FROM lineitem)"""
 
 
 def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(
-        "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS extraction_id", "l_orderkey AS work_id", "l_returnflag AS entity_id", "l_linestatus AS attribute_id",
+        "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey, '-', CAST(l_quantity AS INT)) AS extraction_id", "l_orderkey AS work_id", "l_returnflag AS entity_id", "l_linestatus AS attribute_id",
         "CASE WHEN l_tax > 0 THEN l_quantity END AS value_num", "CAST(CAST(l_quantity AS INT) AS STRING) AS value_cat", "l_discount AS confidence", "l_returnflag AS unit",
         "CASE WHEN l_linestatus = 'F' THEN 'numeric' ELSE 'categorical' END AS kind",
         "CASE WHEN l_tax < 0.07 THEN 'raw' WHEN l_tax < 0.08 THEN 'approved' ELSE 'conflict' END AS status", "CAST(NULL AS STRING) AS reason",
@@ -191,7 +191,7 @@ def review_queue(spark, sf_dir):
 
 def _reviews(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").where("l_discount >= 0.05").selectExpr(
-        "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS extraction_id", "l_returnflag AS reviewer", "l_shipdate AS at",
+        "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey, '-', CAST(l_quantity AS INT)) AS extraction_id", "l_returnflag AS reviewer", "l_shipdate AS at",
         "CASE WHEN l_discount < 0.07 THEN 'ok' WHEN l_discount < 0.09 THEN 'wrong' WHEN l_discount < 0.1 THEN 'ambiguous' ELSE '?' END AS verdict",
         "CASE WHEN l_quantity < 10 THEN l_linestatus WHEN l_quantity < 20 THEN '' END AS corrected")
 
@@ -205,7 +205,7 @@ def review_verdicts(spark, sf_dir):
 
 
 @query(f"""WITH {_E} SELECT o_orderstatus AS text, attribute_id, CASE WHEN l_quantity < 10 THEN l_linestatus ELSE value_cat END AS label, CASE WHEN l_discount < 0.07 THEN 'ok' ELSE 'wrong' END AS verdict
-    FROM e JOIN lineitem ON extraction_id = l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey JOIN orders ON o_orderkey = work_id WHERE l_discount >= 0.05 AND l_discount < 0.09""")
+    FROM e JOIN lineitem ON extraction_id = l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS INT) JOIN orders ON o_orderkey = work_id WHERE l_discount >= 0.05 AND l_discount < 0.09""")
 def training_export(spark, sf_dir):
     chunks = read(spark, sf_dir, "orders").selectExpr("o_orderkey AS chunk_id", "o_orderstatus AS text")
     return gold.training_rows(_reviews(spark, sf_dir).drop("reviewer", "at"), extractions(spark, sf_dir).withColumn("chunk_id", F.col("work_id")), chunks)
