@@ -12,7 +12,6 @@ def anchors(spark, rows, limit=3):
 
 
 def test_truth_table(spark):
-    """The first two tables are those of the reference's tests/teste_heranca.R."""
     plain, hit, other, figure = (True, False, False), (True, True, False), (True, False, True), (False, False, False)
     tables = [
         [hit, plain, plain, figure, plain, other, plain, plain],
