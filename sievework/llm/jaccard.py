@@ -405,7 +405,8 @@ def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows, named = _named(docs, similarity)
     linked = named.where(F.col("n_links").isNotNull())
     groups = linked.groupBy("label").agg(F.min("doc_id").alias("group_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    linked = linked.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int")).join(groups, ["label", "salt"])
+    # merged, not broadcast: salted rows are small on disk only
+    linked = linked.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int")).join(groups.hint("merge"), ["label", "salt"])
     every = named.where(F.col("n_links").isNull()).withColumn("group_id", F.col("doc_id")).unionByName(linked.drop("salt"))
     names = every.select("sid", F.col("doc_id").alias("class_id"), "group_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return rows.select("doc_id", "sid").join(names, "sid").select("doc_id", "class_id", "group_id", "n_copies", "n_links")
