@@ -2,8 +2,8 @@
 
 The prior of a rule has the mean of all documents and the spread of the domains' rates beyond what chance gives them, each domain
 weighted by its documents. A domain is rejected, with all its documents, if for any rule its failure rate lies, with CONFIDENCE standard
-deviations of its beta posterior to spare, over both FACTOR times the rate of all documents and LEAST_RATE: small domains are spared by
-the prior, large bad ones are not. A domain that holds most documents sets the rate itself and is not rejected for it.
+deviations of its beta posterior to spare, over both FACTOR times the rate of all documents (or half way from it to 1, if that is less, so
+that the limit can be reached) and LEAST_RATE: small domains are spared by the prior, large bad ones are not. A domain that holds most documents sets the rate itself and is not rejected for it.
 
 Null texts have no words; a null domain is a domain of its own; repeated rows count and come back as often as they are there; an empty
 table gives no rows; ids may be null; texts are measured whole; columns but doc_id, text and the domain are not read.
@@ -94,7 +94,7 @@ def host_verdicts(rows: DataFrame, factor: float = FACTOR, least_rate: float = L
         strength = prior_strength(m, spread[r] or 0.0, total["n"] or 0, total["hosts"], total["n2"] or 0)
         rate = (F.col(r) + m * strength) / (n + strength)
         columns[f"{r}_rate"] = rate
-        limits.append(rate - confidence * F.sqrt(rate * (1 - rate) / (n + strength + 1)) > max(factor * m, least_rate))
+        limits.append(rate - confidence * F.sqrt(rate * (1 - rate) / (n + strength + 1)) > max(min(factor * m, (1 + m) / 2), least_rate))
     out = hosts.withColumns(columns)
     return out.withColumn("host_kept", ~(limits[0] | limits[1] | limits[2])).select("domain", "n", *columns, "host_kept")
 
