@@ -16,7 +16,7 @@ hashes.
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +25,8 @@ from .common import arrow_rows, in_batches, settled
 
 SIZE, SIMILARITY = 5, 0.8
 TARGET_RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, BUCKET, SKETCH, SEED = 0.995, 2, 2, 6, 64, 64, 23
-#: Classes in a block (a tile compares two), buckets over a block that may be broadcast, and salts for the members of hot groups.
-TILE, HEAVY, SALTS = 384, 100_000, 32
+#: Classes in a block (a tile compares two), and salts for the members of hot groups.
+TILE, SALTS = 384, 32
 #: The part of the pairs the target allows to be lost that the sketch filter may lose.
 FILTER_SHARE = 0.1
 CACHED = 300_000
@@ -160,7 +160,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame, runs: int) -> DataFrame:
-    """sid and key: the final buckets of some runs, of two classes or more, of classes(sid, sketch)."""
+    """sid, key and count: the final buckets of some runs, of two classes or more (count of them), of classes(sid, sketch)."""
 
     def first(batches: Iterator) -> Iterator:
         yield from _extend(batches, FIRST_DEPTH, runs)
@@ -176,15 +176,15 @@ def buckets(classes: DataFrame, runs: int) -> DataFrame:
         last = depth >= MAX_DEPTH
         large = sizes.where(F.col("count") > BUCKET)
         if last or not large.take(1):
-            done.append(rows.join(sizes.select("key"), "key"))
+            done.append(rows.join(sizes, "key"))
             break
-        done.append(rows.join(sizes.where(F.col("count") <= BUCKET).select("key"), "key"))
+        done.append(rows.join(sizes.where(F.col("count") <= BUCKET), "key"))
         rows = rows.join(large.select("key"), "key").join(classes.select("sid", "sketch"), "sid").select("sid", "key", "sketch").mapInPandas(further, schema)
         depth += STEP
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return settled(out.select("sid", "key").distinct(), "leaves")
+    return settled(out.select("sid", "key", "count").distinct(), "leaves")
 
 
 def _extend(batches: Iterator, steps: int, runs: int = 0) -> Iterator:
@@ -267,7 +267,7 @@ def owned(similar, lo: int, hi: int, members: tuple):
 
 
 def alike(sketches):
-    """The number of positions in which each two sketches agree: a matrix."""
+    """The number of positions (under 256) in which each two sketches agree: a matrix."""
     import numpy as np
 
     out = np.empty((len(sketches), len(sketches)), np.uint8)
@@ -299,27 +299,26 @@ def overlaps(sets: list):
     return out
 
 
-def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: float) -> DataFrame:
-    """sid, root, links: within each tile, from exact sets."""
-    sizes = leaves.groupBy("key").count()
-    block = max(TILE, (leaves.count() // HEAVY) if HEAVY else TILE)  # so at most HEAVY buckets hold more
-    heavy = F.broadcast(sizes.where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    mine = leaves.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # as many as runs and branches give
-    members = mine.join(classes.select("sid", "sketch"), "sid").withColumn("key", F.explode("keys"))
-    blocks = F.coalesce(F.col("blocks"), F.lit(1))
-    members = members.join(heavy, "key", "left").withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, least: int, linked: Callable, shingles: Callable, width: int = SKETCH, tile: int = TILE) -> DataFrame:
+    """sid, root, links: within each tile, from exact sets.
+
+    docs: the rows, found by row_key; classes: sid, row, sketch (of `width` positions); leaves: sid, key and the key's count. Pairs that
+    agree in fewer than `least` positions are not compared; shingles(text) gives a set, linked(sizes of intersections, sums of the two
+    sizes) tells which pairs link.
+    """
+    mine = leaves.groupBy("sid").agg(F.collect_list(F.struct("key", F.ceil(F.col("count") / tile).cast("int").alias("blocks"))).alias("in"))  # as many as runs and branches give
+    members = mine.join(classes.select("sid", "sketch"), "sid").withColumn("at", F.explode("in")).select("sid", "sketch", F.col("in.key").alias("keys"), "at.key", "at.blocks")
+    members = members.withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")}).withColumn("tile", F.xxhash64("key", "a", "b"))
     tiles = members.select("tile", "key", "a", "b", "block", "sid", "keys", "sketch").repartition("tile").sortWithinPartitions("tile")
 
-    least = least_shared(similarity)
-
     def by_sketch(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch, bounds in tiles_of(batches):
             members = members_of(batch)
-            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, width)
             keep = np.zeros(batch.num_rows, bool)
             for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), batch.num_rows]):
                 if hi - lo > 1:
@@ -334,9 +333,8 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
     def texts(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        s = shingler()
         for pdf in batches:
-            sets = [(sid, x.tobytes()) for sid, t in zip(pdf["sid"], pdf["text"]) if set_id(x := s.shingles(t)) == sid]
+            sets = [(sid, x.tobytes()) for sid, t in zip(pdf["sid"], pdf["text"]) if set_id(x := shingles(t)) == sid]
             yield pd.DataFrame(sets, columns=["sid", "elements"])
 
     read = docs.select(row_key().alias("row"), "text").join(wanted, "row").select("sid", "text")
@@ -354,9 +352,8 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
                 if hi - lo < 2:
                     continue
                 held = [np.frombuffer(x, np.uint64) for x in batch.column("elements").slice(lo, hi - lo).to_pylist()]
-                n = np.array(list(map(len, held)), np.float64)
-                both = overlaps(held).astype(np.float64)
-                pairs = owned(both >= similarity * (n[:, None] + n - both) - 1e-9, lo, hi, members)
+                n = np.array(list(map(len, held)), np.int64)
+                pairs = owned(linked(overlaps(held).astype(np.int64), n[:, None] + n), lo, hi, members)
                 if not pairs.any():
                     continue
                 pairs |= pairs.T
@@ -367,8 +364,8 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, similarity: fl
                     if (new == root).all():
                         break
                     root = new
-                linked = count > 0
-                yield pa.RecordBatch.from_pydict({"sid": sid[linked], "root": sid[root[linked]], "links": count[linked].astype(np.int64)})
+                some = count > 0
+                yield pa.RecordBatch.from_pydict({"sid": sid[some], "root": sid[root[some]], "links": count[some].astype(np.int64)})
 
     return settled(close.join(sets, "sid").repartition("tile").sortWithinPartitions("tile").mapInArrow(exact, schema), "links")
 
@@ -394,9 +391,10 @@ def _named(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     classes = rows.groupBy("sid").agg(first.alias("first"), F.max("n").alias("n"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_copies"))
     classes = settled(classes.select("sid", "first.doc_id", "first.row", "n", "sketch", "n_copies"), "classes")
-    found = links(docs, classes, buckets(classes.where("n > 0"), runs_for(similarity)), similarity)
-    linked = found.groupBy("sid").agg(F.sum("links").alias("n_links")).join(components(found), "sid", "left")
-    named = classes.select("sid", "doc_id", "row", "n_copies").join(linked, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    linked = lambda both, sizes: both >= similarity * (sizes - both) - 1e-9
+    found = links(docs, classes, buckets(classes.where("n > 0"), runs_for(similarity)), least_shared(similarity), linked, lambda text: shingler().shingles(text))
+    grouped = found.groupBy("sid").agg(F.sum("links").alias("n_links")).join(components(found), "sid", "left")
+    named = classes.select("sid", "doc_id", "row", "n_copies").join(grouped, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     return rows, settled(named, "named")
 
 
@@ -417,5 +415,6 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     _, named = _named(docs, similarity)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sid", "row"))
     key = max(["kept_row", *docs.columns], key=len) + "_"  # longer than any column of docs
-    kept = named.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias(key))
-    return docs.join(kept, row_key() == F.col(key)).dropDuplicates([key]).drop(key)
+    kept = named.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias(key), F.col("first.doc_id").alias(f"{key}id"))
+    same = (row_key() == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(f"{key}id"))  # the hash alone would name two rows of 2^64 alike
+    return docs.join(kept, same).dropDuplicates([key, f"{key}id"]).drop(key, f"{key}id")
