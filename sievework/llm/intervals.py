@@ -69,14 +69,14 @@ def relations(sales: DataFrame, clicks: DataFrame, block: int = BLOCK) -> DataFr
     """sale_id, relation, n_pairs, overlap_slots, sessions_crc. sales and clicks are intervals: (sale_id,) client_id, first, last, is_open."""
     both = _sided(sales, 0, F.col("sale_id"), F.lit(0)).unionByName(_sided(clicks, 1, F.lit(0), F.crc32(F.col("first").cast("string").cast("binary"))))
     both = settled(both, "intervals")
-    # for each client, the shards in which intervals of a side start: as many as time has
-    occupied = both.groupBy("client_id").agg(*[F.array_sort(F.collect_set(F.when(F.col("side") == s, F.col("home")))).alias(f"of_{s}") for s in (0, 1)])
+    # for each client, the shards in which intervals of a side start: as many as time has; written, so that the join can split a hot client
+    occupied = settled(both.groupBy("client_id").agg(*[F.array_sort(F.collect_set(F.when(F.col("side") == s, F.col("home")))).alias(f"of_{s}") for s in (0, 1)]), "occupied")
     placed = both.join(occupied.hint("merge"), "client_id")
     partners = F.when(F.col("side") == 0, F.col("of_1")).otherwise(F.col("of_0"))
     later = F.filter(partners, lambda x: (x > F.col("home")) & (x <= floored(F.col("b"), SHARD)))
     placed = placed.where(F.size(partners) > 0).withColumn("shard", F.explode(F.concat(F.array("home"), later)))
     placed = settled(placed.select("client_id", "shard", "side", "name", "value", "a", "b", (F.col("shard") == F.col("home")).alias("starts")), "placed")
-    sizes = placed.groupBy("client_id", "shard").agg(*[F.sum((F.col("side") == s).cast("long")).alias(f"n_{s}") for s in (0, 1)]).where("n_0 > 0 AND n_1 > 0")
+    sizes = settled(placed.groupBy("client_id", "shard").agg(*[F.sum((F.col("side") == s).cast("long")).alias(f"n_{s}") for s in (0, 1)]).where("n_0 > 0 AND n_1 > 0"), "sizes")
     blocks = [F.ceil(F.col(f"n_{s}") / block).cast("int") for s in (0, 1)]
     mine, others = F.when(F.col("side") == 0, blocks[0]).otherwise(blocks[1]), F.when(F.col("side") == 0, blocks[1]).otherwise(blocks[0])
     dealt = placed.join(sizes.hint("merge"), ["client_id", "shard"]).withColumn("own", F.pmod(F.xxhash64("side", "name", "value", "a", "b"), mine).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
