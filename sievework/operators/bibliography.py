@@ -13,12 +13,16 @@ def title_similarity(a: Column | str, b: Column | str) -> Column:
     return _key_similarity(title_key(a), title_key(b))
 
 
-def _key_similarity(a: Column, b: Column) -> Column:
-    by_edits = 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+def _held(a: Column, b: Column) -> Column:
+    """What two known keys are like without counting edits: 1 if equal, CONTAINED if the shorter is long and stands in the longer, else 0."""
     short_in_long = F.when(F.length(a) <= F.length(b), F.contains(b, a)).otherwise(F.contains(a, b))
-    held = F.when((F.least(F.length(a), F.length(b)) >= LEAST_CONTAINED) & short_in_long, F.lit(CONTAINED)).otherwise(F.lit(0.0))
+    return F.when(a == b, F.lit(1.0)).when((F.least(F.length(a), F.length(b)) >= LEAST_CONTAINED) & short_in_long, F.lit(CONTAINED)).otherwise(F.lit(0.0))
+
+
+def _key_similarity(a: Column, b: Column) -> Column:
+    by_edits = F.when(a == b, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
     known = a.isNotNull() & b.isNotNull() & (a != "") & (b != "")
-    return F.when(known, F.greatest(by_edits, held)).otherwise(F.lit(0.0))
+    return F.when(known, F.greatest(by_edits, _held(a, b))).otherwise(F.lit(0.0))
 
 
 def author_agrees(authors: Column | str, surname: Column | str) -> Column:
@@ -41,18 +45,50 @@ def match_verdict(similarity: Column, year_gap: Column, author_ok: Column) -> Co
     )
 
 
+def _grams(key: Column) -> Column:
+    """The distinct pairs of neighbouring characters."""
+    at = F.when(F.length(key) > 1, F.sequence(F.lit(1), F.length(key) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(at, lambda i: F.substr(key, i, F.lit(2))))
+
+
 def best_candidates(references: DataFrame, candidates: DataFrame) -> DataFrame:
     """For each reference (ref_id, title, year, authors) the best of its own candidates (ref_id, cand_id, cand_title, cand_year, surname).
 
     Candidates come with the reference they were looked up for, so the join is on ref_id and no edit distance is taken across references.
+    Of candidates of one title only the nearest in time can be best, so a title is compared once for a reference, and keys are taken once
+    for each. One likely candidate of a reference gives a similarity that others must reach: by their lengths and pairs of characters, of
+    which an edit changes two at most, before edits are counted, and then up to that number of edits.
     """
-    pairs = references.join(candidates, "ref_id").withColumns({"_a": title_key("title"), "_b": title_key("cand_title")})
-    pairs = pairs.withColumns({"similarity": _key_similarity(F.col("_a"), F.col("_b")), "year_gap": F.abs(F.col("year") - F.col("cand_year")), "author_ok": author_agrees("authors", "surname")})
-    order = Window.partitionBy("ref_id").orderBy(F.desc("similarity"), F.asc_nulls_last("year_gap"), "cand_id")
-    best = pairs.drop("_a", "_b").withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
+    refs = references.withColumn("_a", title_key("title"))
+    near = F.struct(F.abs(F.col("year") - F.col("cand_year")).isNull(), F.abs(F.col("year") - F.col("cand_year")), "cand_id")
+    nearest = candidates.join(references.select("ref_id", "year"), "ref_id").groupBy("ref_id", "cand_title").agg(F.min_by(F.struct(*[c for c in candidates.columns if c not in ("ref_id", "cand_title")]), near).alias("_c"))
+    pairs = nearest.withColumn("_b", title_key("cand_title")).join(refs.select("ref_id", "_a"), "ref_id")
+    known = F.col("_a").isNotNull() & F.col("_b").isNotNull() & (F.col("_a") != "") & (F.col("_b") != "")
+    longer = F.greatest(F.length("_a"), F.length("_b"))
+    apart = F.abs(F.length("_a") - F.length("_b"))
+    pairs = pairs.withColumn("_held", F.when(known, _held(F.col("_a"), F.col("_b"))).otherwise(F.lit(0.0)))
+    pairs = pairs.withColumn("_likely", F.row_number().over(Window.partitionBy("ref_id").orderBy(F.desc("_held"), F.desc(known), apart / longer, "cand_title")) == 1)
+    full = F.when(known & F.col("_likely") & (F.col("_held") < 1), 1 - F.levenshtein("_a", "_b") / longer)
+    pairs = pairs.withColumn("_known", F.greatest("_held", full)).withColumn("_least", F.max("_known").over(Window.partitionBy("ref_id")))
+    most = F.floor((1 - F.col("_least")) * longer + 1e-9).cast("int")  # edits that still reach it
+    missing = lambda x, y: F.size(F.array_except(_grams(F.col(x)), _grams(F.col(y))))
+    able = (apart <= most) & ((most > longer / 3) | (F.greatest(missing("_a", "_b"), missing("_b", "_a")) <= 2 * most))
+    edits = F.when(known & ~F.col("_likely") & (F.col("_held") < 1) & able, edits_up_to("_a", "_b", most))
+    similarity = F.greatest("_known", F.when(edits >= 0, 1 - edits / longer))
+    scored = pairs.withColumn("similarity", similarity)
+    first = F.min_by(F.struct("cand_title", "_c", "similarity"), F.struct(-F.col("similarity"), F.abs(F.col("_y") - F.col("_c.cand_year")).isNull(), F.abs(F.col("_y") - F.col("_c.cand_year")), "_c.cand_id"))
+    best = scored.join(references.select("ref_id", F.col("year").alias("_y")), "ref_id").groupBy("ref_id").agg(first.alias("_f"))
+    best = best.select("ref_id", "_f.cand_title", "_f._c.*", "_f.similarity")
+    best = references.join(best, "ref_id").select(*references.columns, *[c for c in candidates.columns if c != "ref_id"], "similarity")
+    best = best.withColumns({"year_gap": F.abs(F.col("year") - F.col("cand_year")), "author_ok": author_agrees("authors", "surname")})
     return best.withColumn("verdict", match_verdict(F.col("similarity"), F.col("year_gap"), F.col("author_ok")))
 
 
+def edits_up_to(a: str, b: str, most: Column) -> Column:
+    """The edit distance, or -1 if it is more than `most`, found without counting further."""
+    return F.call_function("levenshtein", F.col(a), F.col(b), most)
+
+
 def distinct_references(references: DataFrame) -> DataFrame:
     """One row for each title key and year: the first known values by ref_id, and the number of entities."""
     rows = references.where("title IS NOT NULL").withColumn("key", F.concat_ws(" ", title_key("title"), F.coalesce(F.col("year").cast("string"), F.lit("NA"))))
@@ -84,7 +120,17 @@ def consolidated(first: str, first_doi: str, second: str, second_doi: str, third
 
 
 def enriched(references: DataFrame, candidates: DataFrame, least: float = 0.95) -> DataFrame:
-    """Best candidates whose null doi is filled from a twin: a candidate of the same reference with a like title, the same year and a doi."""
-    pairs = references.join(candidates, "ref_id").withColumn("_s", title_similarity("title", "cand_title"))
-    twin = pairs.where((F.col("_s") >= least) & (F.col("year") == F.col("cand_year")) & F.col("cand_doi").isNotNull()).groupBy("ref_id").agg(F.min_by("cand_doi", F.struct(-F.col("_s"), "cand_id")).alias("_doi"))
+    """Best candidates whose null doi is filled from a twin: a candidate of the same reference with a like title, the same year and a doi.
+
+    Only candidates of the reference's year are compared, each title once, and edits are counted only as far as `least` allows.
+    """
+    keyed = references.withColumn("_a", title_key("title")).select("ref_id", F.col("year").alias("cand_year"), "_a")
+    same = candidates.where("cand_doi IS NOT NULL").join(keyed, ["ref_id", "cand_year"]).groupBy("ref_id", "cand_title", "_a").agg(F.min_by("cand_doi", "cand_id").alias("cand_doi"), F.min("cand_id").alias("cand_id"))
+    same = same.withColumn("_b", title_key("cand_title"))
+    longer = F.greatest(F.length("_a"), F.length("_b"))
+    most = F.floor((1 - least) * longer + 1e-9).cast("int")
+    near = (F.col("_a") != "") & (F.col("_b") != "") & (F.abs(F.length("_a") - F.length("_b")) <= most)
+    like = F.when(near, F.when(F.col("_a") == F.col("_b"), F.lit(0)).otherwise(edits_up_to("_a", "_b", most)))
+    twins = same.withColumn("_s", F.when(like >= 0, 1 - like / longer)).where(F.col("_s") >= least)
+    twin = twins.groupBy("ref_id").agg(F.min_by("cand_doi", F.struct(-F.col("_s"), "cand_id")).alias("_doi"))
     return best_candidates(references, candidates).join(twin, "ref_id", "left").withColumn("cand_doi", F.coalesce("cand_doi", "_doi")).drop("_doi")

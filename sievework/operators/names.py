@@ -1,12 +1,12 @@
 """Alternative names of entities: where they come from, which may be used, and conflicts between names and ids."""
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import first_two_words, name_pattern, squish, truncated
 
+from .mentions import mentions
+
 ENDING = "(us|a|um|is|e)$"
 DECISIONS = ("global", "this_work_only", "never")
 
@@ -92,16 +92,12 @@ def mentioned(texts: DataFrame, names: list[str], text: str = "text") -> DataFra
 def alias_evidence(doubtful: DataFrame, works: DataFrame, links: DataFrame) -> DataFrame:
     """For each doubtful alias (entity_id, entity, alias): works that name it, those linked to the entity, other entities with the alias, and an example.
 
-    works (work_id, title, text) are searched once by one pattern of all aliases, a curated list; only works that hold one are compared with each.
+    works (work_id, title, text) are searched once by one automaton of all aliases; only hits move, each with the words around it.
     """
-    aliases = sorted({r.alias for r in doubtful.select("alias").distinct().collect() if r.alias})
-    if aliases:
-        works = works.where(F.col("text").rlike("(?i)" + r"\b(" + "|".join(map(re.escape, aliases)) + r")\b"))
     named = doubtful.where("alias IS NOT NULL")
-    pattern = F.concat(F.lit(r"(?i)\b"), escaped(F.col("alias")), F.lit(r"\b"))
-    hits = works.join(F.broadcast(named.select("alias").distinct().withColumn("_p", pattern)), F.expr("text rlike _p")).withColumn("_at", F.expr("length(text) - length(regexp_replace(text, concat('(?s)^.*?(?=', _p, ')'), '')) + 1"))
+    found = mentions(works, named.select(F.col("alias").alias("name")), ["work_id", "title", "text"]).where("whole_at IS NOT NULL").withColumnsRenamed({"name": "alias", "whole_at": "_at"})
     snippet = F.concat(truncated("title", 60), F.lit(": …"), squish(F.substr("text", F.greatest(F.lit(1), F.col("_at") - 150), F.least(F.col("_at") - 1, F.lit(150)) + F.length("alias") + 150)), F.lit("…"))
-    hits = hits.select("alias", "work_id", snippet.alias("example"))
+    hits = found.select("alias", "work_id", snippet.alias("example"))
     linked = named.join(hits, "alias").join(links.select("entity_id", "work_id", F.lit(1).alias("_l")).distinct(), ["entity_id", "work_id"], "left")
     seen = linked.groupBy("entity_id", "alias").agg(F.count(F.lit(1)).alias("n_works"), F.count("_l").alias("n_works_of_entity"), F.min_by("example", F.struct(F.col("_l").isNull(), "work_id")).alias("example"))
     others = named.groupBy("alias").agg(F.array_sort(F.collect_set("entity")).alias("_all"))

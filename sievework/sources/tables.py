@@ -18,3 +18,18 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/sievework-{name}-{uuid.uuid4().hex}"
+
+
+def until_exit(spark: SparkSession, path: str) -> str:
+    """Marks a written path to be removed when the driver ends; results are read from it until then."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again, so that it is computed once and survives lost executors."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    until_exit(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
