@@ -22,14 +22,14 @@ from .common import in_batches, settled
 from .radix import first_k
 
 LEAST_DOCUMENTS, SCALE, RANKS = 10, 1_000_000_000, 10
-#: Terms that a task counts before it passes them on, and sources in a block.
-COUNTED, BLOCK = 1 << 19, 256
+#: Terms that a task counts before it passes them on, sources in a block, and pairs of sources that are valued at once.
+COUNTED, BLOCK, PAIRS = 1 << 20, 256, 1 << 20
 #: Letters and all that is not ASCII, over UTF-8 bytes (so that only A-Z are lower-cased).
 TERM = rb"[a-z\x80-\xff]+"
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n_docs and n of every term of docs(text, lang, source). The term null stands for all the group's documents."""
+    """lang, source, term, n_docs and n of docs(text, lang, source), in several rows to be summed. The term null says that the group occurs."""
     pattern = re.compile(TERM)
 
     def counted(batches: Iterator) -> Iterator:
@@ -51,21 +51,19 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, *group in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
-                own = n_of.setdefault(tuple(group), Counter())
-                found = Counter(pattern.findall(text.encode("utf-8").lower()))
-                found[None] = 0  # the group itself
-                size -= len(own)
-                own.update(found)
-                docs_of.setdefault(tuple(group), Counter()).update(found.keys())
-                size += len(own)
+                n, of_docs = n_of.setdefault(tuple(group), Counter({None: 0})), docs_of.setdefault(tuple(group), Counter({None: 0}))
+                found = pattern.findall(text.encode("utf-8").lower())
+                size -= len(n)
+                n.update(found)
+                of_docs.update(set(found))
+                size += len(n)
             if size > COUNTED:
                 yield from out()
                 docs_of, n_of, size = {}, {}, 0
         yield from out()
 
     whole = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    rows = in_batches(whole, counted, "lang string, source string, term string, n_docs long, n long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    return in_batches(whole, counted, "lang string, source string, term string, n_docs long, n long")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -88,62 +86,81 @@ def both_terms(shares: DataFrame) -> DataFrame:
     def tiles(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         def f(p, q):
             return (p - q) ** 2 // (p + q)
 
-        state: dict = {"tile": None}
-
-        def add(rows: dict, lo: int, hi: int) -> None:
-            """Adds the pairs of one term's rows."""
-            number = state["number"]
-            at = np.array([number.setdefault((b, s), len(number)) for b, s in zip(rows["block"][lo:hi], rows["source"][lo:hi])], np.int64)
-            if len(number) > len(state["sums"]):
-                grown = np.zeros((2 * len(number), 2 * len(number)), np.int64)
-                grown[: len(state["sums"]), : len(state["sums"])] = state["sums"]
-                state["sums"] = grown
-            p, base = rows["p"][lo:hi], rows["base"][lo:hi]
-            value = f(p[:, None], p[None, :]) - f(p[:, None], base[None, :]) - f(base[:, None], p[None, :]) + f(base[:, None], base[None, :])
-            state["sums"][np.ix_(at, at)] += value
+        tile, number, sums = None, {}, None
 
         def out():
-            lang, i, j = state["tile"]
-            names = list(state["number"])
-            n = len(names)
+            """The sums of the tile's pairs; within a tile of two blocks, pairs of one block belong to that block's own tile."""
+            names = list(number)
             block = np.array([b for b, _ in names])
-            pairs = np.triu(np.ones((n, n), bool), 1)
-            if i != j:  # within one block, pairs belong to that block's own tile
+            n = len(names)
+            value = sums[:n, :n] + sums[:n, :n].T
+            pairs = np.triu(value != 0, 1)
+            if tile[1] != tile[2]:
                 pairs &= block[:, None] != block[None, :]
-            x, y = np.nonzero(pairs & (state["sums"][:n, :n] != 0))
+            x, y = np.nonzero(pairs)
             if len(x):
-                yield pa.RecordBatch.from_pydict({"lang": [lang] * len(x), "source": [names[k][1] for k in x], "other": [names[k][1] for k in y], "value": state["sums"][x, y]})
+                yield pa.RecordBatch.from_pydict({"lang": [tile[0]] * len(x), "source": [names[k][1] for k in x], "other": [names[k][1] for k in y], "value": value[x, y]})
+
+        def changes(part, columns):
+            """The places of a batch at which one of the columns differs from the row before."""
+            new = np.zeros(part.num_rows - 1, bool)
+            for c in columns:
+                new |= pc.not_equal(part.column(c).slice(1), part.column(c).slice(0, part.num_rows - 1)).to_numpy(zero_copy_only=False)
+            return np.flatnonzero(new) + 1
+
+        def add(part) -> None:
+            """Adds the pairs of a tile's whole terms."""
+            nonlocal sums
+            named = part.column("source").dictionary_encode()
+            block = part.column("block").to_numpy()
+            kinds, first, which = np.unique(named.indices.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+            at = np.array([number.setdefault((int(block[i]), named.dictionary[int(k)].as_py()), len(number)) for k, i in zip(kinds, first)], np.int64)[which]
+            if sums is None or len(number) > len(sums):
+                grown = np.zeros((2 * len(number), 2 * len(number)), np.int64)
+                if sums is not None:
+                    grown[: len(sums), : len(sums)] = sums
+                sums = grown
+            p, base = part.column("p").to_numpy(), part.column("base").to_numpy()
+            cuts = changes(part, ["term"])
+            ends = np.repeat([*cuts, part.num_rows], np.diff([0, *cuts, part.num_rows]))
+            count = ends - np.arange(part.num_rows) - 1  # each row meets those after it in its term
+            upto = np.cumsum(count)
+            lo = 0
+            while lo < part.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS)))
+                x = np.repeat(np.arange(lo, hi), count[lo:hi])
+                y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(np.append(0, count[lo : hi - 1])), count[lo:hi])
+                px, py, bx, by = p[x], p[y], base[x], base[y]
+                np.add.at(sums, (at[x], at[y]), f(px, py) - f(px, by) - f(bx, py) + f(bx, by))
+                lo = hi
 
         held = None
         for batch in batches:
-            rows = {c: batch.column(c).to_pylist() for c in ("lang", "i", "j", "term", "block", "source")} | {c: batch.column(c).to_numpy() for c in ("p", "base")}
-            if held:
-                rows = {c: np.concatenate([held[c], v]) if isinstance(v, np.ndarray) else held[c] + v for c, v in rows.items()}
-            keys = list(zip(rows["lang"], rows["i"], rows["j"], rows["term"]))
-            lo = 0
-            for hi in range(1, len(keys) + 1):
-                if hi == len(keys) or keys[hi] != keys[lo]:
-                    if hi == len(keys):
-                        break  # the last term may go on
-                    if keys[lo][:3] != state["tile"]:
-                        if state["tile"]:
-                            yield from out()
-                        state.update(tile=keys[lo][:3], number={}, sums=np.zeros((64, 64), np.int64))
-                    add(rows, lo, hi)
-                    lo = hi
-            held = {c: v[lo:] for c, v in rows.items()}
-        if held and len(held["lang"]):
-            last = held["lang"][0], held["i"][0], held["j"][0]
-            if last != state["tile"]:
-                if state["tile"]:
-                    yield from out()
-                state.update(tile=last, number={}, sums=np.zeros((64, 64), np.int64))
-            add(held, 0, len(held["lang"]))
-        if state["tile"]:
+            if not batch.num_rows:
+                continue
+            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            terms = changes(held, ["lang", "i", "j", "term"]) if held.num_rows > 1 else []
+            whole = int(terms[-1]) if len(terms) else 0  # the last term may go on
+            ready, held = held.slice(0, whole), held.slice(whole)
+            for part, key in _pieces(ready, changes):
+                if key != tile:
+                    if tile:
+                        yield from out()
+                    tile, number, sums = key, {}, None
+                add(part)
+        if held is not None:
+            for part, key in _pieces(held, changes):
+                if key != tile:
+                    if tile:
+                        yield from out()
+                    tile, number, sums = key, {}, None
+                add(part)
+        if tile:
             yield from out()
 
     rows = shares.withColumn("block", F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -153,12 +170,22 @@ def both_terms(shares: DataFrame) -> DataFrame:
     return sums.select("lang", F.least("source", "other").alias("source"), F.greatest("source", "other").alias("other"), "value").groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
 
 
+def _pieces(batch, changes):
+    """The parts of a batch that lie in one tile, each with the tile."""
+    cuts = [0, *(changes(batch, ["lang", "i", "j"]).tolist() if batch.num_rows > 1 else []), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo), tuple(batch.column(c)[lo].as_py() for c in ("lang", "i", "j"))
+
+
 def audit(docs: DataFrame, ranks: int = RANKS, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value, rank of docs(text, lang, source)."""
-    counts = settled(term_counts(docs), "terms")
-    terms = counts.where(F.col("term").isNotNull())
-    kept = settled(terms.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n_lang")).where(F.col("n_docs") >= least).drop("n_docs"), "kept")
-    used = settled(terms.select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "used")
+    by = Window.partitionBy("lang", "term")
+    counts = term_counts(docs).repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    counts = counts.withColumns({"of_docs": F.sum("n_docs").over(by), "n_lang": F.sum("n").over(by)}).where(F.col("term").isNull() | (F.col("of_docs") >= least))
+    counts = settled(counts.drop("n_docs", "of_docs"), "terms")
+    used = counts.where(F.col("term").isNotNull())
+    kept = used.select("lang", "term", "n_lang").distinct()
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n_lang").alias("all_lang"))
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("all"))
     groups = counts.where(F.col("term").isNull()).select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
