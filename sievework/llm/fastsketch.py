@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, in_batches, settled
-from .jaccard import CACHED, components, links, row_key, set_id
+from .jaccard import CACHED, TILE, components, links, row_key, set_id
 
 WORDS, BINS, ROWS, SEED = 3, 100, 5, 29
 PERCENT = 85
@@ -141,14 +141,14 @@ def banded(classes: DataFrame) -> DataFrame:
     return settled(bands.join(bands.groupBy("key").count().where("count > 1"), "key").select("sid", "key", "count"), "leaves")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of docs(doc_id, text)."""
     rows = settled(sketched(docs), "sets")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     classes = rows.where("n > 0").groupBy("sid").agg(first.alias("first"), F.any_value("sketch").alias("sketch"))
     classes = settled(classes.select("sid", "first.doc_id", "first.row", "sketch"), "classes")
     linked = lambda both, sizes: 100 * both >= percent * (sizes - both)
-    found = links(docs, classes, banded(classes), LEAST, linked, lambda text: sketcher().shingles(text), BINS)
+    found = links(docs, classes, banded(classes), LEAST, linked, lambda text: sketcher().shingles(text), BINS, tile)
     named = classes.select("sid", "doc_id").join(components(found), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     names = settled(named.select("sid", "label").join(least, "label").select("sid", "component_id"), "names")
