@@ -7,11 +7,13 @@ Look-up tables are curated lists; where a key stands twice in one, the row with
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import first_two_words, hyphens, id_key, is_blank, squish, swapped_neighbours
 
+from .scan import scanned
+
 EMPTY = "(empty)"
 #: Columns that identify a record; a running number there is a slip of filling down.
 IDENTITY = ("scientificName", "eventID", "collectionCode", "bibliographicCitation", "Source of information")
@@ -126,7 +128,10 @@ def repaired_ids(ids: DataFrame, valid: DataFrame) -> DataFrame:
     left = every.withColumn("k", third).withColumn("d", F.explode(shifts)).withColumn("shift", F.explode(shifts))
     left = left.select("taxonID", "k", _part("taxonID", F.length("taxonID") + F.col("d"), F.col("shift")).alias("s")).where("s <> ''").distinct()
     right = known.withColumn("k", third).select("good", "k", _part("good", F.length("good"), F.lit(0)).alias("s")).where("s <> ''")
-    near = left.join(right, ["k", "s"]).select("taxonID", "good").distinct().union(every.where(F.length("taxonID") <= 4).join(F.broadcast(known.where(F.length("good") < 3)), F.length("good") < 3))  # few such texts exist
+    near = left.join(right, ["k", "s"]).select("taxonID", "good").distinct()
+    sizes = F.explode(F.sequence(F.greatest(F.lit(0), F.length("taxonID") - 2), F.least(F.lit(2), F.length("taxonID") + 2)))  # texts too short to have parts
+    short = every.where(F.length("taxonID") <= 4).withColumn("n", sizes).join(known.where(F.length("good") < 3).withColumn("n", F.length("good")), "n")
+    near = near.union(short.select("taxonID", "good"))
     close = only(near.where(F.levenshtein("taxonID", "good") <= 2), "_near")
     out = out.join(swapped, "taxonID", "left").join(close, "taxonID", "left")
     return out.select("taxonID", "scientificName", F.coalesce("_name", "_swap", "_near").alias("repaired"))
@@ -153,12 +158,14 @@ def repointed(d: DataFrame, moves: DataFrame, sheet: str) -> DataFrame:
 
 
 def continued(d: DataFrame, sheet: str, columns=("eventID", "taxonID", "bibliographicCitation")) -> DataFrame:
-    """Blank cells of rows with a voucher take the last filled cell above, on one sheet. The fill runs down the whole sheet in one order."""
+    """Blank cells of rows with a voucher take the last filled cell above, on one sheet. The sheet is scanned in parts, in the order of its rows."""
     if sheet != "GeneralInformation" or "collectionCode" not in d.columns:
         return d
-    above = Window.orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
-    fill = {c: F.when(is_blank(c) & ~is_blank("collectionCode"), F.coalesce(F.last(F.when(~is_blank(c), F.col(c)), ignorenulls=True).over(above), F.col(c))).otherwise(F.col(c)) for c in _present(d, columns)}
-    return d.withColumns(fill)
+    columns = _present(d, columns)
+    filled = d.withColumns({f"filled_{c}": F.when(~is_blank(c), F.col(c)) for c in columns})
+    above = scanned(filled, ["row_no"], carried={f"above_{c}": f"filled_{c}" for c in columns})
+    fill = {c: F.when(is_blank(c) & ~is_blank("collectionCode"), F.coalesce(f"above_{c}", c)).otherwise(F.col(c)) for c in columns}
+    return above.withColumns(fill).select(*d.columns)
 
 
 def authorship_split(d: DataFrame) -> DataFrame:

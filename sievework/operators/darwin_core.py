@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.functions.text import EN_DASH, MINUS, number, squish
 
 from .correction import IDENTITY, autofill_findings, text_columns
+from .scan import scanned
 from .targets import first_rows
 
 HABITAT = ("HabitatPosition", "Habitat_type", "HabitatHydroperiod", "maximumDephInMeters", "HabitatMarginalVegetation", "HabitatAquaticVegetation", "behavior", "Vegetation_cover")
@@ -76,16 +77,37 @@ def summed_findings(findings: DataFrame) -> DataFrame:
     return findings.where("row_no IS NOT NULL").groupBy("sheet", "column", "problem", "value").agg(F.count(F.lit(1)).alias("n_cells"), F.min("row_no").alias("example_row"))
 
 
+#: What holds for every taxon of the group (fixed values).
+GROUP = {"kingdom": "Animalia", "phylum": "Chordata", "class": "Amphibia", "order": "Anura", "taxonRank": "species"}
+
+
+def _of(d: DataFrame, *names: str) -> Column:
+    """The first of these columns that a sheet has, else null."""
+    return next((F.col(f"`{n}`") for n in names if n in d.columns), F.lit(None).cast("string"))
+
+
 def taxa(d: DataFrame) -> DataFrame:
-    """The first row of each id, with the constants of the group."""
-    constants = {"kingdom": "Animalia", "phylum": "Chordata", "class": "Amphibia", "order": "Anura", "taxonRank": "species", "nomenclaturalCode": "ICZN"}
-    return first_rows(d, ["taxonID"], ["row_no"]).select("taxonID", "scientificName", "family", "genus", *[F.lit(v).alias(k) for k, v in constants.items()])
+    """The first row of each id, with the constants of the group, whom the name follows, and the first description as a remark."""
+    first = first_rows(d, ["taxonID"], ["row_no"])
+    own = {"scientificNameAuthorship": _of(d, "scientificNameAuthorship"), "family": F.col("family"), "genus": F.col("genus")}
+    more = {"nameAccordingTo": _of(d, "nameAccordingToID"), "nomenclaturalCode": F.lit("ICZN"), "taxonRemarks": _of(d, "FIRST TADPOLE-DESCRIPTION")}
+    columns = own | {k: F.lit(v) for k, v in GROUP.items()} | more
+    return first.select("taxonID", "scientificName", *[c.alias(k) for k, c in columns.items()])
+
+
+def published_taxa(targets: DataFrame, according_to: str) -> DataFrame:
+    """The taxa of the published measurements, from the target list (entity_id, entity, family)."""
+    constants = [F.lit(v).alias(k) for k, v in GROUP.items()]
+    return targets.select(F.col("entity_id").alias("taxonID"), F.col("entity").alias("scientificName"), "family", *constants, F.lit(according_to).alias("nameAccordingTo"))
 
 
 def occurrences(d: DataFrame) -> DataFrame:
-    """occurrenceID is the id and the row's place in its sheet. The place is a global order, over a spreadsheet's rows."""
-    place = F.row_number().over(Window.orderBy("row_no"))
-    return d.select(F.concat("taxonID", F.lit("|"), place.cast("string")).alias("occurrenceID"), "taxonID", F.col("collectionCode").alias("catalogNumber"), F.lit("tadpole").alias("lifeStage"), "eventID")
+    """Vouchers and where they come from. occurrenceID is the id and the row's place in its sheet, by a scan over its parts; the voucher
+    stands under the sheet's collectionCode."""
+    numbered = scanned(d, ["row_no"], number="place_")
+    places = {c: _of(d, c) for c in ("country", "stateProvince", "municipality", "locality")} | {"higherGeography": _of(d, "higherGeography (biome)"), "bibliographicCitation": _of(d, "bibliographicCitation"), "eventID": _of(d, "eventID")}
+    occurrence = F.concat(F.coalesce("taxonID", F.lit("NA")), F.lit("|"), F.col("place_").cast("string"))
+    return numbered.select(occurrence.alias("occurrenceID"), "taxonID", F.col("collectionCode").alias("catalogNumber"), F.lit("tadpole").alias("lifeStage"), *[c.alias(k) for k, c in places.items()], F.lit(None).cast("string").alias("occurrenceRemarks"))
 
 
 def verbatim(c: Column | str) -> Column:
@@ -104,33 +126,61 @@ def remark_value(c: Column | str, key: str) -> Column:
     return F.nullif(F.regexp_extract(c, rf"(?:^|; ){key}=([^;]*)", 1), F.lit(""))
 
 
+MEASUREMENT = ("row_no", "taxonID", "measurementType", "measurementValue", "measurementUnit", "organismQuantity", "organismQuantityType", "measurementMethod", "measurementRemarks", "bibliographicCitation", "eventID")
+
+
+def _measured(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Rows in the columns of MEASUREMENT; those not given are null, row_no, taxonID and eventID the sheet's."""
+    own = {c: F.col(c) for c in ("row_no", "taxonID", "eventID")}
+    every = {c: F.lit(None).cast("string") for c in MEASUREMENT} | own | columns
+    return rows.select(*[every[c].alias(c) for c in MEASUREMENT], *(["place_"] if "place_" in rows.columns else []))
+
+
 def habitat_measurements(d: DataFrame, columns=HABITAT) -> DataFrame:
-    """A measurement for each filled habitat cell; the column is its type, depth is in metres."""
+    """A measurement for each filled habitat cell; the column is its type, depth is in metres. place_ is the column's place."""
     columns = [c for c in columns if c in d.columns]
     original = lambda c: F.col(f"{c}_original") if f"{c}_original" in d.columns else F.lit(None).cast("string")
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("t"), F.col(c).alias("v"), original(c).alias("o")) for c in columns]))
-    rows = d.withColumn("_c", cells).where("_c.v IS NOT NULL")
-    note = F.concat(remarks(origin=F.lit("Habitat"), biome=F.col("biome"), locationID=F.col("LocationID")), verbatim(F.col("_c.o")))
-    return rows.select("row_no", "taxonID", F.col("_c.t").alias("measurementType"), F.col("_c.v").alias("measurementValue"), F.when(F.col("_c.t") == "maximumDephInMeters", "m").alias("measurementUnit"), note.alias("measurementRemarks"), "eventID")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("t"), F.col(c).alias("v"), original(c).alias("o"), F.lit(i).alias("i")) for i, c in enumerate(columns)]))
+    rows = d.withColumn("_c", cells).where("_c.v IS NOT NULL").withColumn("place_", F.col("_c.i"))
+    note = F.concat(remarks(origin=F.lit("Habitat"), biome=_of(d, "biome", "HigherGeography (biome)"), locationID=_of(d, "LocationID")), verbatim(F.col("_c.o")))
+    unit = F.when(F.col("_c.t") == "maximumDephInMeters", "m")
+    return _measured(rows, measurementType=F.col("_c.t"), measurementValue=F.col("_c.v"), measurementUnit=unit, measurementRemarks=note, bibliographicCitation=_of(d, "Source of information"))
+
+
+def character_column(d: DataFrame) -> str:
+    """The column that holds a character's code: measurementType, or that right after the definition, which has no name of its own."""
+    if "MeasurementOrFact" not in d.columns:
+        return "measurementType"
+    at = d.columns.index("MeasurementOrFact") + 1
+    if at == len(d.columns):
+        raise ValueError("no column with the characters' codes after MeasurementOrFact")
+    return d.columns[at]
 
 
 def morphology_measurements(d: DataFrame) -> DataFrame:
-    note = F.concat(remarks(origin=F.lit("Morphology"), definition=F.col("definition"), stage=F.col("stage")), verbatim("measurementValue_original"))
-    return d.where("measurementValue IS NOT NULL").select("row_no", "taxonID", "measurementType", "measurementValue", F.lit(None).cast("string").alias("measurementUnit"), note.alias("measurementRemarks"), "eventID")
+    """A measurement for each row with a value; definition, stage and the value before correction go to the remark."""
+    note = F.concat(remarks(origin=F.lit("Morphology"), definition=_of(d, "definition", "MeasurementOrFact"), stage=_of(d, "stage", "DevelopmentalStages")), verbatim(_of(d, "measurementValue_original")))
+    rows = d.where("measurementValue IS NOT NULL")
+    kept = {c: _of(d, c) for c in ("organismQuantity", "organismQuantityType", "measurementMethod")}
+    return _measured(rows, measurementType=F.col(f"`{character_column(d)}`"), measurementValue=F.col("measurementValue"), measurementRemarks=note, bibliographicCitation=_of(d, "Source of information"), **kept)
 
 
 def diet_measurements(d: DataFrame) -> DataFrame:
-    """Diet sheets hold the item as type, the figure as accuracy, the unit as quantity; they are turned to their places."""
+    """Diet sheets hold the item as type, the figure as accuracy, its unit as quantity, how it was counted as value and the number of
+    animals as type of quantity; they are turned to their places."""
     kind = F.concat(F.lit("diet_item:"), F.coalesce("measurementType", F.lit("NA")))
-    note = remarks(origin=F.lit("Diet"), examined=F.col("organismQuantityType"))
-    return d.where("measurementAccuracy IS NOT NULL").select("row_no", "taxonID", kind.alias("measurementType"), F.col("measurementAccuracy").alias("measurementValue"), F.col("organismQuantity").alias("measurementUnit"), note.alias("measurementRemarks"), "eventID")
+    note = remarks(origin=F.lit("Diet"), examined=F.col("organismQuantityType"), stage=_of(d, "DevelopmentalStage"))
+    animals = F.col("organismQuantityType")
+    rows = d.where("measurementAccuracy IS NOT NULL")
+    return _measured(rows, measurementType=kind, measurementValue=F.col("measurementAccuracy"), measurementUnit=F.col("organismQuantity"), organismQuantity=animals, organismQuantityType=F.when(animals.isNotNull(), "individuals"), measurementMethod=_of(d, "measurementValue"), measurementRemarks=note)
 
 
 def measurements(*parts: DataFrame) -> DataFrame:
-    """All parts with an id by part, row and type."""
-    rows = reduce(DataFrame.unionByName, [p.withColumn("_part", F.lit(i)) for i, p in enumerate(parts)])
-    place = F.row_number().over(Window.orderBy("_part", "row_no", "measurementType"))
-    return rows.withColumn("measurementID", F.concat(F.lit("mof"), place.cast("string"))).drop("_part", "row_no")
+    """All parts with an id by part, row and place of the cell, numbered by a scan."""
+    place = lambda p: F.col("place_") if "place_" in p.columns else F.lit(0)
+    rows = reduce(DataFrame.unionByName, [p.withColumns({"part_no": F.lit(i), "place_": place(p)}) for i, p in enumerate(parts)])
+    out = scanned(rows, ["part_no", "row_no", "place_"], number="number_")
+    return out.select(F.concat(F.lit("mof"), F.col("number_").cast("string")).alias("measurementID"), *[c for c in MEASUREMENT if c != "row_no"])
 
 
 def with_notes(rows: DataFrame, notes: DataFrame) -> DataFrame:
@@ -140,17 +190,36 @@ def with_notes(rows: DataFrame, notes: DataFrame) -> DataFrame:
     return out.withColumn("measurementRemarks", F.when(F.col("_note").isNull(), F.col("measurementRemarks")).otherwise(F.concat("measurementRemarks", F.lit("; note="), "_note"))).drop("_note")
 
 
-def published(extractions: DataFrame, works: DataFrame, targets: DataFrame) -> DataFrame:
-    """Approved extractions as measurements, with their evidence in the remark; confidence to three places."""
-    note = remarks(evidence=F.col("evidence"), confidence=F.round("confidence", 3), origin=F.col("origin"))
-    rows = extractions.where("status = 'approved'").join(works.select("work_id", "doi"), "work_id").join(targets.select("entity_id"), "entity_id")
-    value = F.coalesce(F.col("value_num").cast("string"), "value_cat")
-    return rows.select(F.col("extraction_id").alias("measurementID"), F.col("entity_id").alias("taxonID"), F.col("attribute_id").alias("measurementType"), value.alias("measurementValue"), note.alias("measurementRemarks"), F.col("doi").alias("eventID"))
+def plain_number(c: Column) -> Column:
+    """A number as text; whole numbers without a point."""
+    return F.regexp_replace(c.cast("string"), r"\.0$", "")
+
+
+def published(extractions: DataFrame, works: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Approved extractions as measurements, with where they come from in the remark.
+
+    extractions: work_id, extraction_id, entity_id, attribute_id, value_num, value_cat, unit, stage, temperature, setting, n, dispersion,
+    evidence, confidence, extractor, model_version, prompt_version, origin, primary_doi, page, name_in_article, at, status; works: work_id,
+    doi; attributes: attribute_id, name. An attribute that is not listed has no name; a word goes before a number.
+    """
+    rows = extractions.where("status = 'approved'").join(works.select("work_id", "doi"), "work_id").join(attributes.select("attribute_id", F.col("name").alias("_name")), "attribute_id", "left")
+    by = F.when(F.col("model_version").isNull(), F.col("extractor")).otherwise(F.concat("extractor", F.lit(" ("), "model_version", F.lit("; prompt "), F.coalesce("prompt_version", F.lit("NA")), F.lit(")")))
+    known = lambda c: F.coalesce(c.cast("string"), F.lit("NA"))
+    source = F.concat(known(F.col("doi")), F.lit(" p."), known(F.col("page")))
+    note = remarks(stage=F.col("stage"), temperature_C=plain_number(F.col("temperature")), setting=F.col("setting"), n=plain_number(F.col("n")), name_in_article=F.col("name_in_article"), confidence=F.round("confidence", 3), source=source, primary_source=F.coalesce("primary_doi", "doi"))
+    note = F.concat(note, F.lit('; verbatim="'), F.replace(F.coalesce("evidence", F.lit("NA")), F.lit('"'), F.lit("'")), F.lit('"'))
+    return rows.select(
+        F.col("extraction_id").alias("measurementID"), F.col("entity_id").alias("taxonID"), F.col("_name").alias("measurementType"), F.col("attribute_id").alias("measurementTypeID"),
+        F.coalesce("value_cat", plain_number(F.col("value_num"))).alias("measurementValue"), F.col("unit").alias("measurementUnit"), F.col("dispersion").alias("measurementAccuracy"),
+        F.date_format("at", "yyyy-MM-dd").alias("measurementDeterminedDate"), by.alias("measurementDeterminedBy"),
+        F.concat(F.lit("assisted extraction from the literature; origin of the value: "), known(F.col("origin"))).alias("measurementMethod"), note.alias("measurementRemarks"),
+    )
 
 
 def gaps(pairs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Pairs without data, with what was done: never searched, or searched without a find."""
-    return pairs.where(F.col("state").isin("not_searched", "searched_without_data")).join(targets, "entity_id").select("entity", "attribute_id", "state")
+    """Pairs without data, with what was done (never searched, or searched without a find), and when, if the pairs say so."""
+    when = ["updated_at"] if "updated_at" in pairs.columns else []
+    return pairs.where(F.col("state").isin("not_searched", "searched_without_data")).join(targets, "entity_id").select("entity", "attribute_id", "state", *when)
 
 
 def descriptor(columns: dict[str, list[str]], core: str, id_column: str, term: str = "http://rs.tdwg.org/dwc/terms/") -> str:

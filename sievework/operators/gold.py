@@ -92,9 +92,13 @@ def confusion_counts(answers: DataFrame, truth: str, answer: str) -> DataFrame:
     return out.withColumns({"sensitivity": rate("tp", "fn"), "specificity": rate("tn", "fp")})
 
 
-def review_sheet(queue: DataFrame) -> DataFrame:
-    """The columns a reviewer sees, with a blank verdict and correction."""
-    return queue.select("extraction_id", "queue", "entity_id", "attribute_id", "value_num", "value_cat", "confidence").withColumns({"verdict": F.lit(""), "corrected": F.lit("")})
+def review_sheet(queue: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+    """The columns a reviewer sees, with a blank verdict and correction: with chunks (chunk_id, text) also what the value was read from."""
+    seen = [c for c in ("extraction_id", "queue", "work_id", "entity_id", "attribute_id", "value_num", "value_cat", "unit", "evidence", "page", "confidence") if c in queue.columns]
+    rows = queue.select(*seen, *(["chunk_id"] if chunks is not None else []))
+    if chunks is not None:
+        rows = rows.join(chunks.select("chunk_id", "text"), "chunk_id", "left").select(*seen, "text")
+    return rows.withColumns({"verdict": F.lit(""), "corrected": F.lit("")})
 
 
 def metrics(limits: DataFrame, agreed: DataFrame, covered: DataFrame) -> DataFrame:
@@ -104,3 +108,14 @@ def metrics(limits: DataFrame, agreed: DataFrame, covered: DataFrame) -> DataFra
     c = covered.agg(F.sum("with_data").alias("with_data"), F.sum("wanted").alias("wanted"))
     one = F.broadcast  # each side is one row
     return a.crossJoin(one(b)).crossJoin(one(c)).withColumn("coverage", F.col("with_data") / F.col("wanted"))
+
+
+def attribute_metrics(limits: DataFrame, agreed: DataFrame) -> DataFrame:
+    """A row for each attribute that has a threshold or gold pairs: all its figures, null where there are none."""
+    return limits.join(agreed, "attribute_id", "full")
+
+
+def coverage_summary(covered: DataFrame) -> DataFrame:
+    """One row: least, quartiles, mean and most of the attributes with data of an entity, over all entities; exact quantiles."""
+    at = lambda p: F.percentile("with_data", F.lit(p))
+    return covered.agg(F.min("with_data").alias("least"), at(0.25).alias("first_quartile"), at(0.5).alias("median"), F.avg("with_data").alias("mean"), at(0.75).alias("third_quartile"), F.max("with_data").alias("most"))

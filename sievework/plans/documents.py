@@ -4,7 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sievework.functions import text
-from sievework.operators import extraction, model, pilot, retrieval, segmentation
+from sievework.operators import extraction, model, passages, pilot, retrieval, segmentation
+from sievework.operators.mentions import mentions
 from sievework.sources.tables import read
 
 from .registry import query
@@ -517,6 +518,47 @@ def candidate_passages(spark, sf_dir):
     return out.select("work_id", "chunk_id", "kind", "anchor", "score")
 
 
+_NAMES = r"""n AS (SELECT DISTINCT split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS name, left(text, 1) AS initial, split_part(text, ' ', 2) AS second FROM benchmark WHERE regexp_matches(text, '^[A-Za-z]+ [^ ]')),
+    p AS (SELECT name, second, '(?i)(^|[^\p{L}\p{M}\p{N}_])(' || regexp_escape(name) || CASE WHEN regexp_matches(second, '^[a-z-]{3,}$') AND second NOT IN ('cf', 'aff', 'sp', 'spp') THEN '|' || initial || '\.?\s+' || second ELSE '' END || ')' AS p FROM n)"""
+
+
+@query(f"WITH {_NAMES} SELECT doc_id, name FROM documents JOIN p ON contains(lower(text), lower(second)) AND regexp_matches(text, p)")
+def names_in_texts(spark, sf_dir):
+    """Every document against all names at once: the first two words of the benchmark's items."""
+    names = read(spark, sf_dir, "benchmark").where("text RLIKE '^[A-Za-z]+ [^ ]'").selectExpr("concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2)) AS name")
+    return mentions(read(spark, sf_dir, "documents"), names, ["doc_id"]).where("at IS NOT NULL").select("doc_id", "name")
+
+
+_ENTITIES = {"E1": ["thonti", "que"], "E2": ["der"], "E3": ["the", "la"]}
+_ATTRIBUTES = {"A1": "an;  el", "A2": "o; ;ent"}
+_PER = "work_id, entity_id, attribute_id"
+
+
+@query(rf"""WITH e(entity_id, p) AS (VALUES {", ".join(f"('{e}', '(?i)(^|[^" + "\\p{L}\\p{M}\\p{N}_])" + f"({'|'.join(ns)})')" for e, ns in _ENTITIES.items())}),
+    t(attribute_id, term) AS (VALUES ('A1', 'an'), ('A1', 'el'), ('A2', 'o'), ('A2', 'ent')), said AS (SELECT entity_id, attribute_id, unnest(string_split(CASE entity_id WHEN 'E1' THEN 'thonti que' WHEN 'E2' THEN 'der' ELSE 'the la' END || ' ' || CASE attribute_id WHEN 'A1' THEN 'an el' ELSE 'o ent' END, ' ')) AS word FROM e, (SELECT DISTINCT attribute_id FROM t)),
+    c AS (SELECT conv_id AS work_id, turn AS ord, CASE WHEN turn % 5 = 4 THEN 'table' ELSE 'text' END AS kind, text FROM conversations WHERE text IS NOT NULL),
+    x AS (SELECT c.*, entity_id, regexp_matches(text, p) AS cite FROM c, e), o AS (SELECT *, bool_or(cite) OVER (PARTITION BY work_id, ord) AS any_cite, row_number() OVER (PARTITION BY work_id, entity_id, kind ORDER BY ord) AS n FROM x),
+    ev AS (SELECT a.work_id, a.entity_id, a.ord, a.n, max(b.n) AS ev_n FROM o a JOIN o b ON a.work_id = b.work_id AND a.entity_id = b.entity_id AND b.n < a.n AND b.kind = 'text' AND b.any_cite WHERE a.kind = 'text' AND NOT a.any_cite GROUP BY 1, 2, 3, 4),
+    an AS (SELECT a.work_id, a.entity_id, a.ord, b.text AS anchor FROM ev a JOIN o b ON b.work_id = a.work_id AND b.entity_id = a.entity_id AND b.kind = 'text' AND b.n = a.ev_n AND b.cite WHERE a.n - a.ev_n <= 3),
+    h AS (SELECT work_id, ord, attribute_id FROM c JOIN t ON contains(lower(text), term) GROUP BY 1, 2, 3),
+    f AS (SELECT o.*, attribute_id, cite OR anchor IS NOT NULL AS hit, anchor FROM o LEFT JOIN an USING (work_id, entity_id, ord) JOIN h USING (work_id, ord)),
+    u AS (SELECT * FROM (SELECT *, bool_or(hit) OVER (PARTITION BY {_PER}) AS any_hit FROM f) WHERE CASE WHEN any_hit THEN hit ELSE kind = 'table' END),
+    tk AS (SELECT *, regexp_split_to_array(trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM u), s0 AS (SELECT {_PER}, count(*) AS docs, avg(len(w)) AS avgdl FROM tk GROUP BY ALL),
+    tf AS (SELECT {_PER}, ord, len(w) AS dl, word, len(list_filter(w, lambda v: v = word)) AS tf FROM tk JOIN said USING (entity_id, attribute_id)), df AS (SELECT {_PER}, word, count(*) FILTER (tf > 0) AS df FROM tf GROUP BY ALL),
+    sc AS (SELECT {_PER}, ord, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM tf JOIN df USING ({_PER}, word) JOIN s0 USING ({_PER}) GROUP BY ALL),
+    r AS (SELECT u.*, score, row_number() OVER (PARTITION BY {_PER} ORDER BY score DESC, work_id || '-' || ord) AS rank, row_number() OVER (PARTITION BY {_PER}, kind ORDER BY score DESC, work_id || '-' || ord) AS k FROM u JOIN sc USING ({_PER}, ord)),
+    g AS (SELECT {_PER}, bool_or(kind = 'table' AND rank <= 4) AS has, bool_or(kind = 'table') AS any_table FROM r GROUP BY ALL)
+    SELECT {_PER}, work_id || '-' || ord AS chunk_id, kind, anchor, score FROM r JOIN g USING ({_PER}) WHERE CASE WHEN has OR NOT any_table THEN rank <= 4 ELSE rank <= 3 OR (kind = 'table' AND k = 1) END""")
+def passages_of_pairs(spark, sf_dir):
+    """All open pairs of all conversations in one plan."""
+    chunks = _chunks(spark, sf_dir).withColumn("section", F.lit("Notes"))
+    works = chunks.select("work_id").distinct()
+    names = works.withColumn("e", F.explode(F.array(*[F.struct(F.lit(e).alias("entity_id"), F.lit(n).alias("name")) for e, ns in _ENTITIES.items() for n in ns]))).select("work_id", "e.*")
+    attributes = spark.createDataFrame(list(_ATTRIBUTES.items()), "attribute_id string, search_terms string")
+    pairs = names.select("work_id", "entity_id").distinct().withColumn("attribute_id", F.explode(F.array(*map(F.lit, _ATTRIBUTES))))
+    return passages.candidates_of_pairs(chunks, names, pairs, passages.search_terms(attributes)).select(*passages.PAIR, "chunk_id", "kind", "anchor", "score")
+
+
 @query("SELECT l_orderkey AS chunk_id, l_partkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS section FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag <> 'R'")
 def round_extractions(spark, sf_dir):
     e = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS chunk_id", "l_partkey", "CASE l_returnflag WHEN 'R' THEN 'rejected' ELSE 'raw' END AS status")

@@ -285,15 +285,18 @@ def audit_text_in_numbers(spark, sf_dir):
 
 # Darwin Core
 
-@query("""SELECT p_brand AS taxonID, arg_min(p_name, p_partkey) AS scientificName, arg_min(p_type, p_partkey) AS family, 'Animalia' AS kingdom, 'Chordata' AS phylum, 'Amphibia' AS class, 'Anura' AS "order", 'species' AS taxonRank, 'ICZN' AS nomenclaturalCode FROM part GROUP BY p_brand""")
+@query("""SELECT p_brand AS taxonID, arg_min(p_name, p_partkey) AS scientificName, (arg_min({'v': CASE WHEN p_size > 9 THEN 'Author, ' || p_size END}, p_partkey)).v AS scientificNameAuthorship, arg_min(p_type, p_partkey) AS family, split_part(arg_min(p_name, p_partkey), ' ', 1) AS genus,
+    'Animalia' AS kingdom, 'Chordata' AS phylum, 'Amphibia' AS class, 'Anura' AS "order", 'species' AS taxonRank, 'list ' || arg_min(p_size, p_partkey) AS nameAccordingTo, 'ICZN' AS nomenclaturalCode, (arg_min({'v': CASE WHEN p_size % 2 = 0 THEN 'in ' || p_type END}, p_partkey)).v AS taxonRemarks FROM part GROUP BY p_brand""")
 def dwc_taxa(spark, sf_dir):
-    return darwin_core.taxa(_parts(spark, sf_dir, "p_brand AS taxonID", "p_name AS scientificName", "p_type AS family", "p_type AS genus")).drop("genus")
+    return darwin_core.taxa(_parts(spark, sf_dir, "p_brand AS taxonID", "p_name AS scientificName", "CASE WHEN p_size > 9 THEN concat('Author, ', p_size) END AS scientificNameAuthorship", "p_type AS family", "split_part(p_name, ' ', 1) AS genus",
+        "concat('list ', p_size) AS nameAccordingToID", "CASE WHEN p_size % 2 = 0 THEN concat('in ', p_type) END AS `FIRST TADPOLE-DESCRIPTION`"))
 
 
-@query("SELECT p_brand || '|' || row_number() OVER (ORDER BY p_partkey) AS occurrenceID, p_name AS catalogNumber, 'tadpole' AS lifeStage FROM part WHERE p_size < 20")
+@query("""SELECT CASE WHEN p_size > 2 THEN p_brand ELSE 'NA' END || '|' || row_number() OVER (ORDER BY p_partkey) AS occurrenceID, CASE WHEN p_size > 2 THEN p_brand END AS taxonID, p_name AS catalogNumber, 'tadpole' AS lifeStage, 'Brazil' AS country, p_type AS stateProvince,
+    CASE WHEN p_size > 9 THEN 'town ' || p_size END AS municipality, NULL::VARCHAR AS locality, 'biome ' || p_type AS higherGeography, 'cited ' || p_size AS bibliographicCitation, p_type AS eventID, NULL::VARCHAR AS occurrenceRemarks FROM part""")
 def dwc_occurrences(spark, sf_dir):
-    d = _parts(spark, sf_dir, "p_brand AS taxonID", "p_name AS collectionCode", "p_type AS eventID", "p_size").where("p_size < 20")
-    return darwin_core.occurrences(d).select("occurrenceID", "catalogNumber", "lifeStage")
+    return darwin_core.occurrences(_parts(spark, sf_dir, "CASE WHEN p_size > 2 THEN p_brand END AS taxonID", "p_name AS collectionCode", "'Brazil' AS country", "p_type AS stateProvince", "CASE WHEN p_size > 9 THEN concat('town ', p_size) END AS municipality",
+        "CAST(NULL AS STRING) AS locality", "concat('biome ', p_type) AS `higherGeography (biome)`", "concat('cited ', p_size) AS bibliographicCitation", "p_type AS eventID"))
 
 
 def _habitat(spark, sf_dir):
@@ -325,7 +328,7 @@ def _diet(spark, sf_dir):
     return _parts(spark, sf_dir, "p_brand AS taxonID", "CASE WHEN p_size > 5 THEN p_name END AS measurementType", "CASE WHEN p_size < 45 THEN string(p_size) END AS measurementAccuracy", "'%' AS organismQuantity", "CASE WHEN p_size > 20 THEN '12' END AS organismQuantityType", "p_type AS eventID")
 
 
-@query("SELECT p_partkey AS row_no, 'diet_item:' || CASE WHEN p_size > 5 THEN p_name ELSE 'NA' END AS measurementType, p_size::VARCHAR AS measurementValue, '%' AS measurementUnit, 'origin=Diet; examined=' || CASE WHEN p_size > 20 THEN '12' ELSE 'NA' END AS measurementRemarks FROM part WHERE p_size < 45")
+@query("SELECT p_partkey AS row_no, 'diet_item:' || CASE WHEN p_size > 5 THEN p_name ELSE 'NA' END AS measurementType, p_size::VARCHAR AS measurementValue, '%' AS measurementUnit, 'origin=Diet; examined=' || CASE WHEN p_size > 20 THEN '12' ELSE 'NA' END || '; stage=NA' AS measurementRemarks FROM part WHERE p_size < 45")
 def dwc_diet(spark, sf_dir):
     return darwin_core.diet_measurements(_diet(spark, sf_dir)).select("row_no", "measurementType", "measurementValue", "measurementUnit", "measurementRemarks")
 
@@ -350,13 +353,43 @@ def remark_values(spark, sf_dir):
     return r.select("k", darwin_core.remark_value("r", "definition").alias("definition"), darwin_core.remark_value("r", "origin").alias("origin"))
 
 
-@query("""SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS measurementID, c_custkey AS taxonID, 'evidence=' || l_returnflag || '; confidence=' || CASE WHEN l_discount = 0 THEN '0.0' ELSE round(l_discount, 3)::VARCHAR END || '; origin=NA' AS measurementRemarks, o_orderpriority AS eventID
-    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE l_linestatus = 'F' AND c_acctbal > 0""")
+_MOF = """SELECT 0 AS part, p_partkey AS row_no, 0 AS place, p_brand AS taxonID, 'Habitat_type' AS measurementType, p_type AS measurementValue, NULL AS measurementUnit, NULL AS organismQuantity, NULL AS organismQuantityType, NULL AS measurementMethod,
+      'origin=Habitat; biome=' || CASE WHEN p_size < 30 THEN p_name ELSE 'NA' END || '; locationID=L' || p_size || CASE WHEN p_size < 5 THEN '; verbatim="old ''x''"' ELSE '' END AS measurementRemarks, 'source ' || p_size AS bibliographicCitation, p_type AS eventID FROM part WHERE p_size < 40
+    UNION ALL SELECT 0, p_partkey, 1, p_brand, 'maximumDephInMeters', p_size::VARCHAR, 'm', NULL, NULL, NULL, 'origin=Habitat; biome=' || CASE WHEN p_size < 30 THEN p_name ELSE 'NA' END || '; locationID=L' || p_size, 'source ' || p_size, p_type FROM part WHERE p_size > 20
+    UNION ALL SELECT 1, p_partkey, 0, p_brand, 'code ' || p_type, p_name, NULL, CASE WHEN p_size > 30 THEN '7' END, 'individuals', 'measured', 'origin=Morphology; definition=' || p_name || '; stage=' || CASE WHEN p_size > 30 THEN '25' ELSE 'NA' END || CASE WHEN p_size > 40 THEN '; verbatim="old"' ELSE '' END, 'source ' || p_size, p_type FROM part WHERE p_size > 10
+    UNION ALL SELECT 2, p_partkey, 0, p_brand, 'diet_item:' || CASE WHEN p_size > 5 THEN p_name ELSE 'NA' END, p_size::VARCHAR, '%', CASE WHEN p_size > 20 THEN '12' END, CASE WHEN p_size > 20 THEN 'individuals' END, 'percentage_of_items', 'origin=Diet; examined=' || CASE WHEN p_size > 20 THEN '12' ELSE 'NA' END || '; stage=' || CASE WHEN p_size > 15 THEN '30' ELSE 'NA' END, NULL, p_type FROM part WHERE p_size < 45"""
+
+
+@query(f"SELECT 'mof' || row_number() OVER (ORDER BY part, row_no, place) AS measurementID, * EXCLUDE (part, row_no, place) FROM ({_MOF})")
+def dwc_measurements_whole(spark, sf_dir):
+    """All sheets of a workbook, with their own column names, in all columns of the archive."""
+    habitat = _parts(spark, sf_dir, "p_brand AS taxonID", "CASE WHEN p_size < 40 THEN p_type END AS Habitat_type", "CASE WHEN p_size > 20 THEN string(p_size) END AS maximumDephInMeters", "CASE WHEN p_size < 5 THEN 'old \"x\"' END AS Habitat_type_original", "CASE WHEN p_size < 30 THEN p_name END AS `HigherGeography (biome)`", "concat('L', p_size) AS LocationID", "concat('source ', p_size) AS `Source of information`", "p_type AS eventID")
+    morphology = _parts(spark, sf_dir, "p_brand AS taxonID", "p_name AS MeasurementOrFact", "concat('code ', p_type) AS `...8`", "CASE WHEN p_size > 10 THEN p_name END AS measurementValue", "CASE WHEN p_size > 40 THEN 'old' END AS measurementValue_original", "CASE WHEN p_size > 30 THEN '25' END AS DevelopmentalStages", "CASE WHEN p_size > 30 THEN '7' END AS organismQuantity", "'individuals' AS organismQuantityType", "'measured' AS measurementMethod", "concat('source ', p_size) AS `Source of information`", "p_type AS eventID")
+    diet = _parts(spark, sf_dir, "p_brand AS taxonID", "CASE WHEN p_size > 5 THEN p_name END AS measurementType", "'percentage_of_items' AS measurementValue", "CASE WHEN p_size < 45 THEN string(p_size) END AS measurementAccuracy", "'%' AS organismQuantity", "CASE WHEN p_size > 20 THEN '12' END AS organismQuantityType", "CASE WHEN p_size > 15 THEN '30' END AS DevelopmentalStage", "p_type AS eventID")
+    return darwin_core.measurements(darwin_core.habitat_measurements(habitat), darwin_core.morphology_measurements(morphology), darwin_core.diet_measurements(diet))
+
+
+@query(r"""SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS measurementID, o_custkey AS taxonID, CASE l_returnflag WHEN 'A' THEN 'Number' WHEN 'N' THEN 'Word' END AS measurementType, l_returnflag AS measurementTypeID, CASE WHEN l_returnflag = 'N' THEN p_type ELSE regexp_replace(l_quantity::DOUBLE::VARCHAR, '\.0$', '') END AS measurementValue,
+      CASE WHEN l_returnflag = 'A' THEN 'mm' END AS measurementUnit, CASE WHEN l_quantity > 40 THEN '0.5' END AS measurementAccuracy, strftime(l_shipdate, '%Y-%m-%d') AS measurementDeterminedDate,
+      'x' || l_linenumber || CASE WHEN l_quantity > 10 THEN ' (m1; prompt ' || CASE WHEN l_quantity > 20 THEN 'p2' ELSE 'NA' END || ')' ELSE '' END AS measurementDeterminedBy, 'assisted extraction from the literature; origin of the value: ' || CASE WHEN l_quantity > 30 THEN 'table' ELSE 'NA' END AS measurementMethod,
+      'stage=' || CASE WHEN l_quantity > 12 THEN '25' ELSE 'NA' END || '; temperature_C=' || CASE WHEN l_quantity > 25 THEN regexp_replace((l_quantity / 2)::DOUBLE::VARCHAR, '\.0$', '') ELSE 'NA' END || '; setting=NA; n=' || l_linenumber || '; name_in_article=' || p_name || '; confidence=' || CASE WHEN l_discount = 0 THEN '0.0' ELSE round(l_discount, 3)::VARCHAR END
+      || '; source=' || CASE WHEN o_orderstatus = 'F' THEN 'NA' ELSE o_orderpriority END || ' p.' || CASE WHEN l_quantity > 5 THEN l_linenumber::VARCHAR ELSE 'NA' END || '; primary_source=' || CASE WHEN l_quantity > 45 THEN '10.9/p' WHEN o_orderstatus = 'F' THEN 'NA' ELSE o_orderpriority END || '; verbatim="a ' || chr(39) || l_returnflag || chr(39) || '"' AS measurementRemarks
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey WHERE l_linestatus = 'F'""")
 def dwc_published(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").selectExpr("o_orderkey AS work_id", "o_custkey", "o_orderpriority AS doi")
-    e = read(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("work_id")).selectExpr("work_id", "concat(l_orderkey, '-', l_linenumber, '-', l_partkey) AS extraction_id", "o_custkey AS entity_id", "'a' AS attribute_id", "l_quantity AS value_num", "CAST(NULL AS STRING) AS value_cat", "l_returnflag AS evidence", "l_discount AS confidence", "CAST(NULL AS STRING) AS origin", "CASE l_linestatus WHEN 'F' THEN 'approved' ELSE 'raw' END AS status")
-    out = darwin_core.published(e, o, read(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("entity_id")))
-    return out.select("measurementID", "taxonID", "measurementRemarks", "eventID")
+    o, p = read(spark, sf_dir, "orders"), read(spark, sf_dir, "part")
+    works = o.selectExpr("o_orderkey AS work_id", "CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS doi")
+    e = read(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("p_partkey") == F.col("l_partkey")).selectExpr(
+        "o_orderkey AS work_id", "concat(l_orderkey, '-', l_linenumber, '-', l_partkey) AS extraction_id", "o_custkey AS entity_id", "l_returnflag AS attribute_id", "double(l_quantity) AS value_num", "CASE l_returnflag WHEN 'N' THEN p_type END AS value_cat", "CASE l_returnflag WHEN 'A' THEN 'mm' END AS unit",
+        "CASE WHEN l_quantity > 12 THEN '25' END AS stage", "CASE WHEN l_quantity > 25 THEN double(l_quantity / 2) END AS temperature", "CAST(NULL AS STRING) AS setting", "l_linenumber AS n", "CASE WHEN l_quantity > 40 THEN '0.5' END AS dispersion", "concat('a \"', l_returnflag, '\"') AS evidence", "l_discount AS confidence",
+        "concat('x', l_linenumber) AS extractor", "CASE WHEN l_quantity > 10 THEN 'm1' END AS model_version", "CASE WHEN l_quantity > 20 THEN 'p2' END AS prompt_version", "CASE WHEN l_quantity > 30 THEN 'table' END AS origin", "CASE WHEN l_quantity > 45 THEN '10.9/p' END AS primary_doi", "CASE WHEN l_quantity > 5 THEN l_linenumber END AS page",
+        "p_name AS name_in_article", "l_shipdate AS at", "CASE l_linestatus WHEN 'F' THEN 'approved' ELSE 'raw' END AS status")
+    names = spark.createDataFrame([("A", "Number"), ("N", "Word")], "attribute_id string, name string")
+    return darwin_core.published(e, works, names)
+
+
+@query("""SELECT c_custkey AS taxonID, c_name AS scientificName, c_mktsegment AS family, 'Animalia' AS kingdom, 'Chordata' AS phylum, 'Amphibia' AS class, 'Anura' AS "order", 'species' AS taxonRank, 'A list, 5.0' AS nameAccordingTo FROM customer""")
+def dwc_published_taxa(spark, sf_dir):
+    return darwin_core.published_taxa(read(spark, sf_dir, "customer").selectExpr("c_custkey AS entity_id", "c_name AS entity", "c_mktsegment AS family"), "A list, 5.0")
 
 
 @query("SELECT c_name AS entity, o_orderpriority AS attribute_id, CASE o_orderstatus WHEN 'O' THEN 'not_searched' ELSE 'searched_without_data' END AS state FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'F'")

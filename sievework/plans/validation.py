@@ -249,3 +249,18 @@ def release_metrics(spark, sf_dir):
     agreed = gold.agreement(extractions(spark, sf_dir).select(*validation.KEY, F.col("value_cat").alias("value")), kinds)
     out = gold.metrics(_limits(spark, sf_dir), agreed, coverage(spark, sf_dir))
     return out.select("automatic", "full_review", F.round("agreement", 6).alias("agreement"), "n_gold_pairs", F.round("coverage", 6).alias("coverage"))
+
+
+@query(f"""WITH {_E}, {_LIMITS}, g2 AS (SELECT work_id, entity_id, attribute_id, any_value(kind) AS kind, min(value_cat) AS a, max(value_cat) AS b FROM e GROUP BY 1, 2, 3 HAVING count(*) = 2),
+    sm AS (SELECT attribute_id, CASE WHEN kind = 'categorical' THEN lower(a) = lower(b) ELSE abs(a::DOUBLE - b::DOUBLE) <= 0.05 * (abs(a::DOUBLE) + abs(b::DOUBLE)) / 2 END AS same FROM g2), ag AS (SELECT attribute_id, count(*) AS n, avg(same::INT) AS agreement FROM sm GROUP BY 1)
+    SELECT attribute_id, threshold, decision, n, round(agreement, 6) AS agreement FROM l FULL JOIN ag USING (attribute_id)""")
+def attribute_metrics(spark, sf_dir):
+    kinds = spark.createDataFrame([("F", "numeric"), ("O", "categorical")], "attribute_id string, kind string")
+    agreed = gold.agreement(extractions(spark, sf_dir).select(*validation.KEY, F.col("value_cat").alias("value")), kinds)
+    return gold.attribute_metrics(_limits(spark, sf_dir), agreed).select("attribute_id", "threshold", "decision", "n", F.round("agreement", 6).alias("agreement"))
+
+
+@query("""WITH c AS (SELECT c_name, count(*) FILTER (o_orderstatus IN ('F', 'P')) AS with_data FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1)
+    SELECT min(with_data) AS least, quantile_cont(with_data, 0.25) AS first_quartile, quantile_cont(with_data, 0.5) AS median, round(avg(with_data), 6) AS mean, quantile_cont(with_data, 0.75) AS third_quartile, max(with_data) AS most FROM c""")
+def coverage_summary(spark, sf_dir):
+    return gold.coverage_summary(coverage(spark, sf_dir)).withColumn("mean", F.round("mean", 6))

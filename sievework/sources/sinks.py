@@ -48,9 +48,14 @@ def write_text(path: str, text: str) -> None:
         f.write(text)
 
 
-def write_report(path: str, **parts: DataFrame) -> dict:
-    """Small results by name as one JSON document."""
-    report = {name: [r.asDict(True) for r in df.limit(10_000).collect()] for name, df in parts.items()}
+def write_report(path: str, most: int = 10_000, **parts: DataFrame) -> dict:
+    """Small results by name as one JSON document; a part of more rows than `most` is an error, and nothing is written."""
+    report = {}
+    for name, df in parts.items():
+        rows = df.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"{name} has more than {most} rows; write it as Parquet")
+        report[name] = [r.asDict(True) for r in rows]
     with open(path, "w", encoding="utf-8") as f:
         json.dump(report, f, default=str, ensure_ascii=False)
     return report
