@@ -7,14 +7,13 @@ Queries that find fewer than k are compared with all vectors, in blocks too. Equ
 ids, which is all that can count; a row that is there twice counts once.
 
 The width comes from a sample of SAMPLE vectors; every vector is indexed, in double precision. Vectors are searched among those of their
-own length, one search for each length that a query has. Vectors null, empty, zero, or with null or non-finite components take no part,
+own length, which has its own projections and width and is part of every key. Vectors null, empty, zero, or with null or non-finite components take no part,
 and neither do null ids. Ties go to the smaller id. An id that stands with several vectors is a query with each of them, whose answers are
 merged, and a candidate with each; in an answer it counts once, at its nearest. An empty table, or none with a query, gives no rows.
 Columns but the id and the vector are not read.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,12 +21,12 @@ from pyspark.sql import functions as F
 from .common import grouped, settled
 
 TABLES, HASHES, PROBES, WIDTH, SAMPLE, SEED = 5, 5, 24, 1.5, 2000, 11
-#: Vectors and queries in a block, and buckets of more than a block that may be broadcast with their numbers of blocks.
+#: Vectors and queries in a block, and buckets of more than a block that may be broadcast with their numbers of blocks (more are joined).
 BLOCK, QUERIES, HEAVY = 512, 256, 100_000
 #: Vectors in a block of the search of all.
 WIDE = 1 << 15
 PAIRS = "query long, class long, least long, score double"
-MEMBER = "kind int, node long, least long, vector array<double>"
+MEMBER = "kind int, node long, least long, vector array<double>, width double"
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -65,10 +64,10 @@ class Hashing:
         return np.clip(x @ self.a[t] / self.width + self.b[t], -1e15, 1e15)
 
     @staticmethod
-    def key(cells, t: int):
+    def key(cells, t: int, dimensions: int):
         import numpy as np
 
-        out = np.full(cells.shape[:-1], t + 1, np.int64)
+        out = np.full(cells.shape[:-1], t + 1 + TABLES * dimensions, np.int64)
         for m in range(cells.shape[-1]):
             out = out * np.int64(1_000_003) + cells[..., m].astype(np.int64)
         return out
@@ -76,7 +75,7 @@ class Hashing:
     def buckets(self, x, t: int):
         import numpy as np
 
-        return self.key(np.floor(self.at(x, t)), t)
+        return self.key(np.floor(self.at(x, t)), t, x.shape[1])
 
     def probes(self, x, t: int, n: int):
         """The keys of the n likeliest buckets of each query, likeliest first."""
@@ -90,7 +89,7 @@ class Hashing:
             move = self.moves[:, m]
             cost += np.where(move == -1, low[:, m : m + 1] ** 2, np.where(move == 1, (1 - low[:, m : m + 1]) ** 2, 0))
         best = np.argsort(cost, 1, kind="stable")[:, :n]
-        return self.key(cell[:, None, :] + self.moves[best], t)
+        return self.key(cell[:, None, :] + self.moves[best], t, x.shape[1])
 
 
 def nearest(queries: list, classes, least, x, found: list, k: int) -> None:
@@ -104,19 +103,31 @@ def nearest(queries: list, classes, least, x, found: list, k: int) -> None:
         found.extend((query, int(classes[i]), int(least[i]), float(d[i])) for i in top[np.lexsort((least[top], d[top]))][:k])
 
 
-def width_of(classes: DataFrame, k: int) -> float:
-    """The cell width, from a bounded sample."""
+def widths(classes: DataFrame, k: int) -> DataFrame:
+    """length and width: the cell width for the vectors of each length, from a bounded sample of them."""
+
+    def width(pdf):
+        import numpy as np
+        import pandas as pd
+
+        x = np.stack(pdf["vector"]).astype(np.float64)
+        with np.errstate(over="ignore", invalid="ignore"):
+            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0))
+        d.sort(1)
+        typical = float(np.median(d[:, min(k, len(x) - 1)]))
+        return pd.DataFrame({"length": [x.shape[1]], "width": [WIDTH * (typical if 0 < typical < float("inf") else 1.0)]})
+
+    drawn = Window.partitionBy("length").orderBy(F.xxhash64("vector"), "class")
+    sample = classes.select(F.size("vector").alias("length"), "vector", "class").withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= SAMPLE)
+    return sample.groupBy("length").applyInPandas(width, "length int, width double")
+
+
+def by_length(pdf) -> Iterator:
+    """(rows, their vectors as a matrix, hashing) for each length in a batch of MEMBER."""
     import numpy as np
 
-    got = classes.orderBy(F.xxhash64("vector"), "class").limit(SAMPLE).select("vector").collect()
-    if not got:
-        return 1.0
-    x = np.array([r.vector for r in got], np.float64)
-    with np.errstate(over="ignore", invalid="ignore"):
-        d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0))
-    d.sort(1)
-    typical = float(np.median(d[:, min(k, len(x) - 1)]))
-    return WIDTH * (typical if 0 < typical < float("inf") else 1.0)
+    for length, part in pdf.groupby(pdf["vector"].map(len)):
+        yield part, np.stack(part["vector"]).astype(np.float64), Hashing(int(length), float(part["width"].iloc[0]))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -124,9 +135,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec
     rows = usable(vectors, vec_id, embedding)
     classes = settled(classes_of(rows, k + 1), "classes")
     asked = settled(rows.where(is_query).select("id", "vector"), "asked")
-    lengths = sorted(r.n for r in asked.select(F.size("vector").alias("n")).distinct().collect())
-    of_length = lambda df, n: df.where(F.size("vector") == n)
-    return reduce(DataFrame.union, [_search(of_length(classes, n), of_length(asked, n), n, k) for n in lengths or [1]])
+    return _search(classes, asked, k)
 
 
 def _compared(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
@@ -140,7 +149,7 @@ def _compared(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         for g in grouped(batches, "key"):
             kind = g["kind"].to_numpy()
             n = int((kind == 0).sum())
-            if 0 < n < len(g):
+            if 0 < n < len(g) and g["vector"].map(len).nunique() == 1:
                 g = g.iloc[np.argsort(kind, kind="stable")]
                 x = np.stack(g["vector"]).astype(np.float64)
                 node, least = g["node"].to_numpy(), g["least"].to_numpy()
@@ -157,38 +166,33 @@ def _compared(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     return pairs.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
 
 
-def _search(classes: DataFrame, asked: DataFrame, dimensions: int, k: int) -> DataFrame:
-    """What search gives, for classes and queries asked of one length."""
-    distinct = settled(classes.join(asked.select("vector").distinct(), "vector", "left_semi").select(F.lit(0).alias("kind"), F.col("class").alias("node"), "least", "vector"), "queries")
-    members = classes.select(F.lit(1).alias("kind"), F.col("class").alias("node"), "least", "vector")
-    hashing = Hashing(dimensions, width_of(classes, k))
+def _search(classes: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """What search gives, for classes and queries asked."""
+    width = settled(widths(classes, k), "widths")
+    shaped = classes.withColumn("length", F.size("vector")).join(width, "length")
+    kept = ["node", "least", "vector", "width"]
+    distinct = settled(shaped.join(asked.select("vector").distinct(), "vector", "left_semi").select(F.lit(0).alias("kind"), F.col("class").alias("node"), *kept[1:]), "queries")
+    lengths = distinct.select(F.size("vector").alias("length")).distinct()
+    members = shaped.join(lengths, "length", "left_semi").select(F.lit(1).alias("kind"), F.col("class").alias("node"), *kept[1:])
 
     def index(batches: Iterator) -> Iterator:
-        import numpy as np
-
         for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["vector"]).astype(np.float64)
+            for part, x, hashing in by_length(pdf):
                 for t in range(TABLES):
-                    yield pdf.assign(bucket=hashing.buckets(x, t))
+                    yield part.assign(bucket=hashing.buckets(x, t))
 
     def probe(batches: Iterator) -> Iterator:
-        import numpy as np
-
         for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["vector"]).astype(np.float64)
+            for part, x, hashing in by_length(pdf):
                 for t in range(TABLES):
                     keys = hashing.probes(x, t, PROBES)
-                    n = keys.shape[1]
-                    yield pdf.loc[pdf.index.repeat(n)].assign(bucket=keys.ravel())
+                    yield part.loc[part.index.repeat(keys.shape[1])].assign(bucket=keys.ravel())
 
     indexed, probing = members.mapInPandas(index, f"{MEMBER}, bucket long"), distinct.mapInPandas(probe, f"{MEMBER}, bucket long")
     sizes = settled(indexed.groupBy("bucket").agg(F.count(F.lit(1)).alias("vectors")).join(probing.groupBy("bucket").agg(F.count(F.lit(1)).alias("queries")), "bucket"), "buckets")
-    most = sizes.agg(F.sum("vectors"), F.sum("queries")).first()
-    block, few = max(BLOCK, (most[0] or 0) // HEAVY), max(QUERIES, (most[1] or 0) // HEAVY)  # so at most HEAVY buckets hold more of either
-    cuts = [F.ceil(F.col("vectors") / block).cast("int").alias("v_cuts"), F.ceil(F.col("queries") / few).cast("int").alias("q_cuts")]
-    heavy = F.broadcast(sizes.where((F.col("vectors") > block) | (F.col("queries") > few)).select("bucket", *cuts))
+    cuts = [F.ceil(F.col("vectors") / BLOCK).cast("int").alias("v_cuts"), F.ceil(F.col("queries") / QUERIES).cast("int").alias("q_cuts")]
+    heavy = settled(sizes.where((F.col("vectors") > BLOCK) | (F.col("queries") > QUERIES)).select("bucket", *cuts), "heavy")
+    heavy = F.broadcast(heavy) if heavy.count() <= HEAVY else heavy.hint("merge")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         """rows in one block of their own kind, once for each block of the other."""
@@ -209,7 +213,7 @@ def _search(classes: DataFrame, asked: DataFrame, dimensions: int, k: int) -> Da
         v_cuts, q_cuts = -(-classes.count() // WIDE), -(-n // QUERIES)
         at = lambda cuts: F.pmod(F.xxhash64("node"), F.lit(cuts)).cast("int")
         every = lambda cuts: F.explode(F.sequence(F.lit(0), F.lit(cuts - 1)))
-        key = F.xxhash64("v_at", "q_at").alias("key")
+        key = F.xxhash64(F.size("vector"), "v_at", "q_at").alias("key")
         asking = missing.withColumn("q_at", at(q_cuts)).withColumn("v_at", every(v_cuts)).select("*", key)
         all_of = members.withColumn("v_at", at(v_cuts)).withColumn("q_at", every(q_cuts)).select("*", key)
         more = listed(_compared(asking, all_of, k))

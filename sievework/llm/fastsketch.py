@@ -10,7 +10,7 @@ pair with chance under 1e-5), and links are confirmed on the full sets in whole
 Documents of equal sets form one class. Large buckets are cut into tiles; a pair is compared in one tile, and tiles give links to a root,
 never pairs. A document without words links with nothing and is its own component. Ids may be null or repeated: a component is named by its
 smallest id, null only if it has no other; kept is false for a null id unless it names its component. Very long texts are read whole;
-columns but doc_id and text are not read; an empty table gives no rows. Sets are named by 64-bit hashes.
+columns but doc_id and text are not read; an empty table gives no rows. Sets are named by 128 bits.
 """
 
 import math
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, in_batches, settled
-from .jaccard import CACHED, TILE, components, links, row_key, set_id
+from .jaccard import CACHED, TILE, classes_of, components, links, row_key, set_ids
 
 WORDS, BINS, ROWS, SEED = 3, 100, 5, 29
 PERCENT = 85
@@ -113,14 +113,14 @@ def sketcher() -> Sketcher:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, row, sid, n (shingles) and sketch of every document."""
-    schema = "doc_id long, row long, sid long, n long, sketch binary"
+    """doc_id, row, sid and check (the set's name), n (shingles) and sketch of every document."""
+    schema = "doc_id long, row long, sid long, check long, n long, sketch binary"
 
     def rows(batches: Iterator) -> Iterator:
         s = sketcher()
         for batch in batches:
             sets = map(s.shingles, batch.column("text").to_pylist())
-            yield arrow_rows([(set_id(x), len(x), s.sketch(x).tobytes()) for x in sets], schema, doc_id=batch.column("doc_id"), row=batch.column("row"))
+            yield arrow_rows([(*set_ids(x), len(x), s.sketch(x).tobytes()) for x in sets], schema, doc_id=batch.column("doc_id"), row=batch.column("row"))
 
     return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text"), rows, schema)
 
@@ -144,14 +144,12 @@ def banded(classes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of docs(doc_id, text)."""
     rows = settled(sketched(docs), "sets")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    classes = rows.where("n > 0").groupBy("sid").agg(first.alias("first"), F.any_value("sketch").alias("sketch"))
-    classes = settled(classes.select("sid", "first.doc_id", "first.row", "sketch"), "classes")
+    classes = classes_of(rows.where("n > 0"))
     linked = lambda both, sizes: 100 * both >= percent * (sizes - both)
     found = links(docs, classes, banded(classes), LEAST, linked, lambda text: sketcher().shingles(text), BINS, tile)
-    named = classes.select("sid", "doc_id").join(components(found), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    named = classes.select("set_a", "set_b", "sid", "doc_id").join(components(found), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    names = settled(named.select("sid", "label").join(least, "label").select("sid", "component_id"), "names")
-    out = rows.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "sid").join(names, "sid").drop("sid")
+    names = settled(named.select("set_a", "set_b", "label").join(least, "label").select(F.col("set_a").alias("sid"), F.col("set_b").alias("check"), "component_id"), "names")
+    out = rows.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "sid", "check").join(names, ["sid", "check"]).drop("sid", "check")
     every = out.union(rows.where("n = 0").select("doc_id", "n", "doc_id"))
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -10,8 +10,8 @@ the tile, and components are found over these.
 A text of fewer than SIZE words has one shingle, all its words. Null and empty texts have none: they form one class and link to none. A
 null id takes part; a class's name is its smallest id, null if it has no other. Ids may be null or repeated in any number of rows, with
 any texts: rows are found again by a hash of id and text, never by the id alone. Very long texts are read whole; an empty table gives no
-rows; join reads no column but doc_id and text, keep_one returns all columns, whatever their names. Names of rows and sets are 64-bit
-hashes.
+rows; join reads no column but doc_id and text, keep_one returns all columns, whatever their names. Sets are named by 128 bits, rows by
+their id and 64 bits.
 """
 
 import itertools
@@ -111,11 +111,12 @@ def shingler() -> Shingler:
     return _own[0]
 
 
-def set_id(shingles) -> int:
-    """The signed 64-bit name of a shingle set."""
+def set_ids(shingles) -> tuple[int, int]:
+    """The two signed 64-bit halves of a shingle set's 128-bit name."""
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+    high, low = divmod(xxhash.xxh3_128_intdigest(shingles.tobytes()), 1 << 64)
+    return high - (1 << 63), low - (1 << 63)
 
 
 def _mix(x):
@@ -146,19 +147,32 @@ def row_key():
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, row, sid, n (shingles) and sketch of every document."""
+    """doc_id, row, sid and check (the set's name), n (shingles) and sketch of every document."""
 
-    schema = "doc_id long, row long, sid long, n long, sketch binary"
+    schema = "doc_id long, row long, sid long, check long, n long, sketch binary"
 
     def rows(batches: Iterator) -> Iterator:
         s = shingler()
         for batch in batches:
             sets = map(s.shingles, batch.column("text").to_pylist())
-            yield arrow_rows([(set_id(x), len(x), s.sketch(x).tobytes()) for x in sets], schema, doc_id=batch.column("doc_id"), row=batch.column("row"))
+            yield arrow_rows([(*set_ids(x), len(x), s.sketch(x).tobytes()) for x in sets], schema, doc_id=batch.column("doc_id"), row=batch.column("row"))
 
     return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text"), rows, schema)
 
 
+def classes_of(rows: DataFrame) -> DataFrame:
+    """A row for each set of rows (as sets_of gives them): its name (set_a, set_b), sid (a number of its own, its first half but for sets
+    that share that), doc_id and row (of its row with the smallest id, null last), n, sketch and n_copies."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    sets = rows.groupBy(F.col("sid").alias("set_a"), F.col("check").alias("set_b")).agg(first.alias("first"), F.max("n").alias("n"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_copies"))
+    sets = settled(sets.select("set_a", "set_b", "first.doc_id", "first.row", "n", "sketch", "n_copies"), "classes")
+    clash = settled(sets.groupBy("set_a").count().where("count > 1").select("set_a", F.lit(True).alias("shared")), "clashes")
+    if not clash.take(1):
+        return sets.withColumn("sid", F.col("set_a"))
+    named = F.when(F.col("shared"), F.xxhash64("set_a", "set_b")).otherwise(F.col("set_a"))
+    return sets.join(clash, "set_a", "left").withColumn("sid", named).drop("shared")
+
+
 def buckets(classes: DataFrame, runs: int) -> DataFrame:
     """sid, key and count: the final buckets of some runs, of two classes or more (count of them), of classes(sid, sketch)."""
 
@@ -302,7 +316,7 @@ def overlaps(sets: list):
 def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, least: int, linked: Callable, shingles: Callable, width: int = SKETCH, tile: int = TILE) -> DataFrame:
     """sid, root, links: within each tile, from exact sets.
 
-    docs: the rows, found by row_key; classes: sid, row, sketch (of `width` positions); leaves: sid, key and the key's count. Pairs that
+    docs: the rows, found by row_key; classes: as classes_of (sketches of `width` positions); leaves: sid, key and the key's count. Pairs that
     agree in fewer than `least` positions are not compared; shingles(text) gives a set, linked(sizes of intersections, sums of the two
     sizes) tells which pairs link.
     """
@@ -328,16 +342,17 @@ def links(docs: DataFrame, classes: DataFrame, leaves: DataFrame, least: int, li
 
     member = "tile long, key long, a int, b int, block int, sid long, keys array<long>"
     close = settled(tiles.mapInArrow(by_sketch, member), "close")
-    wanted = close.select("sid").distinct().join(classes.select("sid", "row"), "sid")
+    wanted = close.select("sid").distinct().join(classes.select("sid", "row", "set_a", "set_b"), "sid")
 
     def texts(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for pdf in batches:
-            sets = [(sid, x.tobytes()) for sid, t in zip(pdf["sid"], pdf["text"]) if set_id(x := shingles(t)) == sid]
+            named = zip(pdf["sid"], zip(pdf["set_a"], pdf["set_b"]), pdf["text"])
+            sets = [(sid, x.tobytes()) for sid, name, t in named if set_ids(x := shingles(t)) == name]
             yield pd.DataFrame(sets, columns=["sid", "elements"])
 
-    read = docs.select(row_key().alias("row"), "text").join(wanted, "row").select("sid", "text")
+    read = docs.select(row_key().alias("row"), "text").join(wanted, "row").select("sid", "set_a", "set_b", "text")
     sets = read.mapInPandas(texts, "sid long, elements binary").groupBy("sid").agg(F.any_value("elements").alias("elements"))
 
     schema = "sid long, root long, links long"
@@ -388,13 +403,11 @@ def components(edges: DataFrame) -> DataFrame:
 def _named(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """The rows of sets_of, and for each class: sid, doc_id and row (of its row with the smallest id, null last), n_copies, n_links, label (of its group)."""
     rows = settled(sets_of(docs), "sets")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    classes = rows.groupBy("sid").agg(first.alias("first"), F.max("n").alias("n"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_copies"))
-    classes = settled(classes.select("sid", "first.doc_id", "first.row", "n", "sketch", "n_copies"), "classes")
+    classes = classes_of(rows)
     linked = lambda both, sizes: both >= similarity * (sizes - both) - 1e-9
     found = links(docs, classes, buckets(classes.where("n > 0"), runs_for(similarity)), least_shared(similarity), linked, lambda text: shingler().shingles(text))
     grouped = found.groupBy("sid").agg(F.sum("links").alias("n_links")).join(components(found), "sid", "left")
-    named = classes.select("sid", "doc_id", "row", "n_copies").join(grouped, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    named = classes.select("set_a", "set_b", "sid", "doc_id", "row", "n_copies").join(grouped, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     return rows, settled(named, "named")
 
 
@@ -406,8 +419,8 @@ def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # merged, not broadcast: salted rows are small on disk only
     linked = linked.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int")).join(groups.hint("merge"), ["label", "salt"])
     every = named.where(F.col("n_links").isNull()).withColumn("group_id", F.col("doc_id")).unionByName(linked.drop("salt"))
-    names = every.select("sid", F.col("doc_id").alias("class_id"), "group_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows.select("doc_id", "sid").join(names, "sid").select("doc_id", "class_id", "group_id", "n_copies", "n_links")
+    names = every.select(F.col("set_a").alias("sid"), F.col("set_b").alias("check"), F.col("doc_id").alias("class_id"), "group_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.select("doc_id", "sid", "check").join(names, ["sid", "check"]).select("doc_id", "class_id", "group_id", "n_copies", "n_links")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -18,10 +18,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label: Column, fit, rows: int = ROWS_PER_LABEL):
-    """fit(texts, labels, shares) on at most `rows` documents for each label value, by a hash order; shares: of each value among all labels.
+    """fit(texts, labels, shares) on at most `rows` texts for each label value, by a hash order; shares: of each value among all labels.
 
-    Only the chosen ids, a bounded number, are broadcast to the scan of the texts, and one task trains on that bounded sample; the
-    driver gets the model. Null labels and held-out rows take no part; a document with several labels has the largest. With no text to
+    Only the chosen ids, a bounded number, are broadcast to the scan of the texts, and one task trains on that bounded sample, of an id
+    that stands in several rows one text (of the smallest hash); the driver gets the model. Null labels and held-out rows take no part; a document with several labels has the largest. With no text to
     learn from (no labels, no documents, only empty texts), fit gets empty lists.
     """
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -32,7 +32,8 @@ def fitted(docs: DataFrame, labels: DataFrame, label: Column, fit, rows: int = R
     if not chosen:
         return fit([], [], shares)
     few = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").where("text != ''").select("doc_id", "text", "y")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").where("text != ''")
+    picked = picked.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "y")
 
     def train(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -22,7 +22,7 @@ from .tokens import tokenizer
 
 MAGIC, BLOCK, END_ID, SHARD_TOKENS = b"WVMX2\0\0\0", 512, 2, 1 << 22
 #: Bytes of the stored input for each write partition.
-PART_BYTES = 16 << 20
+PART_BYTES, MOST_PARTS = 16 << 20, 20_000
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 INDEX = "part int, shard int, before long, n_tokens long, file string"
 
@@ -261,7 +261,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, size // PART_BYTES) if size < 1 << 60 else least  # the size of what is no file is not known
+    parts = max(least, min(size // PART_BYTES, MOST_PARTS)) if size < 1 << 60 else least  # the size of what is no file is not known
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     in_batches(ordered, shards, INDEX).write.parquet(f"{path}/index")
 
