@@ -6,6 +6,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.sources.tables import scratch, settled, until_exit
+
 from .extraction import open_vocabularies
 from .gold import drawn_by
 
@@ -22,18 +24,23 @@ class Outcome:
 
 def run_pairs(pending: DataFrame, ask: Callable[[DataFrame], DataFrame], spent: Callable[[], float], limit: float, path: str, at_once: int = 500, seed: int = 1) -> Outcome:
     """ask(pairs) -> extractions, over `at_once` pairs at a time in an order by seed; after each part the money spent is held against the
-    limit. Each part is written under its own number, so a run that is taken up again writes it over; a part is bounded, and so is what
-    the driver sees of it: a count.
+    limit. The pairs are found once and written by part, with their numbers; each part is then read alone. Its extractions are written
+    under its own number, so a run that is taken up again writes it over; a part is bounded, and so is what the driver sees of it.
     """
     keys = ["work_id", "entity_id", "attribute_id"]
-    total = pending.count()
-    parts = -(-total // at_once)
-    dealt = pending.withColumn("_part", F.pmod(F.xxhash64(drawn_by(seed, *keys)), F.lit(max(parts, 1))).cast("int"))
+    spark = pending.sparkSession
+    found = settled(pending, "pending")
+    parts = max(1, -(-found.count() // at_once))
+    dealt = found.withColumn("part_", F.pmod(F.xxhash64(drawn_by(seed, *keys)), F.lit(parts)).cast("int"))
+    folder = scratch(spark, "dealt")
+    dealt.repartition("part_").write.partitionBy("part_").parquet(folder)
+    until_exit(spark, folder)
+    sizes = {r.part_: r["count"] for r in dealt.groupBy("part_").count().collect()}  # one row for each part
     done = 0
-    for part in range(parts):
-        mine = dealt.where(F.col("_part") == part).drop("_part")
+    for part in sorted(sizes):
+        mine = spark.read.schema(pending.schema).parquet(f"{folder}/part_={part}")
         ask(mine).write.mode("overwrite").parquet(f"{path}/part={part}")
-        done += mine.count()
+        done += sizes[part]
         if spent() > limit:
             return Outcome(path, done, spent(), True)
     return Outcome(path, done, spent(), False)

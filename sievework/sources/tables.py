@@ -33,3 +33,21 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     until_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something stands at a path, asked of its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def renamed(spark: SparkSession, old: str, new: str) -> None:
+    """Gives a path another name on its file system; a name that is taken is an error."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (old, new))
+    system = b.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(b):
+        raise FileExistsError(new)
+    if b.getParent() is not None:
+        system.mkdirs(b.getParent())
+    if not system.rename(a, b):
+        raise OSError(f"{old} could not be renamed to {new}")
