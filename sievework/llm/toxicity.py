@@ -42,7 +42,7 @@ def subwords(vocabulary: list[str]):
     powers = np.cumprod(np.full(int(sizes.max()), factor))
     hashes, owners = [np.add.reduceat(codes * powers[place], starts)], [np.arange(len(sizes), dtype=np.int32)]
     gram = codes.copy()
-    for n in range(2, LONGEST + 1):
+    for n in range(2, min(LONGEST, len(codes)) + 1):
         gram[: len(codes) - n + 1] = gram[: len(codes) - n + 1] * factor + codes[n - 1 :]
         if n >= SHORTEST:
             at = np.flatnonzero(room >= n)
