@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sievework.operators import retrieval, review, upsert
 from sievework.sources.tables import read
 
-from . import documents, literature, relational, services, sheets, validation  # noqa: F401 (they enter their queries)
+from . import documents, learned, literature, relational, services, sheets, validation  # noqa: F401 (they enter their queries)
 from .registry import ORACLE, QUERIES, query
 
 TERMS = ("the", "que", "der")

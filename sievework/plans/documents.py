@@ -518,14 +518,16 @@ def candidate_passages(spark, sf_dir):
     return out.select("work_id", "chunk_id", "kind", "anchor", "score")
 
 
-_NAMES = r"""n AS (SELECT DISTINCT split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS name, left(text, 1) AS initial, split_part(text, ' ', 2) AS second FROM benchmark WHERE regexp_matches(text, '^[A-Za-z]+ [^ ]')),
-    p AS (SELECT name, second, '(?i)(^|[^\p{L}\p{M}\p{N}_])(' || regexp_escape(name) || CASE WHEN regexp_matches(second, '^[a-z-]{3,}$') AND second NOT IN ('cf', 'aff', 'sp', 'spp') THEN '|' || initial || '\.?\s+' || second ELSE '' END || ')' AS p FROM n)"""
+_NAMES = r"""n AS (SELECT DISTINCT split_part(text, ' ', 1) AS g, split_part(text, ' ', 2) AS e FROM benchmark WHERE regexp_full_match(split_part(text, ' ', 1), '[A-Za-z]+') AND regexp_full_match(split_part(text, ' ', 2), '[A-Za-z]+')),
+    l AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_]+') AS l FROM documents), i AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM l), t AS (SELECT doc_id, l[i] AS a, l[i + 1] AS b, l[i + 2] AS c FROM i)
+    SELECT DISTINCT doc_id, g || ' ' || e AS name FROM (SELECT doc_id, g, e FROM t JOIN n ON a = lower(g) AND b = ' ' AND starts_with(c, lower(e))
+      UNION ALL SELECT doc_id, g, e FROM t JOIN n ON a = lower(left(g, 1)) AND starts_with(c, e) AND regexp_full_match(b, '\.?\s+') AND regexp_matches(e, '^[a-z]{3,}$') AND e NOT IN ('cf', 'aff', 'sp', 'spp'))"""
 
 
-@query(f"WITH {_NAMES} SELECT doc_id, name FROM documents JOIN p ON contains(lower(text), lower(second)) AND regexp_matches(text, p)")
+@query(f"WITH {_NAMES}")
 def names_in_texts(spark, sf_dir):
     """Every document against all names at once: the first two words of the benchmark's items."""
-    names = read(spark, sf_dir, "benchmark").where("text RLIKE '^[A-Za-z]+ [^ ]'").selectExpr("concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2)) AS name")
+    names = read(spark, sf_dir, "benchmark").where("split_part(text, ' ', 1) RLIKE '^[A-Za-z]+$' AND split_part(text, ' ', 2) RLIKE '^[A-Za-z]+$'").selectExpr("concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2)) AS name")
     return mentions(read(spark, sf_dir, "documents"), names, ["doc_id"]).where("at IS NOT NULL").select("doc_id", "name")
 
 
