@@ -33,7 +33,7 @@ def stratified(rows: DataFrame, by: str, n: int, least: int, seed: int, *ids: st
 def blank_sheet(works: DataFrame, attributes: DataFrame) -> DataFrame:
     """A row to fill in for each work, entity and attribute. attributes is a vocabulary, so a bounded list."""
     blank = F.lit("")
-    return works.crossJoin(F.broadcast(attributes.select("attribute_id"))).withColumns({"value": blank, "evidence": blank})
+    return works.crossJoin(attributes.select("attribute_id")).withColumns({"value": blank, "evidence": blank})
 
 
 def filled(sheet: DataFrame, reviewer: str) -> DataFrame:

@@ -32,7 +32,7 @@ def shared_prompts(candidates: DataFrame, chunks: DataFrame, attributes: DataFra
     """
     calls = shared_calls(candidates).withColumn("attribute_id", F.explode("attributes"))
     line = F.concat(F.lit("- "), "name", F.when(F.coalesce("rule", F.lit("")) != "", F.concat(F.lit(": "), "rule")).otherwise(""))
-    asked = calls.join(F.broadcast(attributes.select("attribute_id", line.alias("_line"))), "attribute_id")
+    asked = calls.join(attributes.select("attribute_id", line.alias("_line")), "attribute_id")
     lists = asked.groupBy("work_id", "entity_id", "chunk_id", "call").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("attribute_id", "_line"))), lambda x: x["_line"]), "\n").alias("_lines"))
     about = candidates.groupBy("work_id", "entity_id", "chunk_id").agg(F.min("entity").alias("entity"), F.min("anchor").alias("anchor"))
     rows = lists.join(about, ["work_id", "entity_id", "chunk_id"]).join(chunks.select("chunk_id", "text"), "chunk_id")

@@ -74,7 +74,7 @@ def checked_attributes(attributes: DataFrame) -> DataFrame:
 
 def new_pairs(targets: DataFrame, attributes: DataFrame, present: DataFrame) -> DataFrame:
     """All pairs of entity and attribute that are not present, as not searched. attributes is a vocabulary, so a bounded list."""
-    pairs = targets.select("entity_id").distinct().crossJoin(F.broadcast(attributes.select("attribute_id").distinct()))
+    pairs = targets.select("entity_id").distinct().crossJoin(attributes.select("attribute_id").distinct())
     return pairs.join(present, ["entity_id", "attribute_id"], "left_anti").withColumn("state", F.lit(NOT_SEARCHED))
 
 
