@@ -3,6 +3,8 @@
 An extraction has a work, an entity and an attribute (`KEY`), a value (value_num or value_cat), a confidence and a status.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,17 +91,19 @@ def compiled(extractions: DataFrame, compilations: DataFrame) -> DataFrame:
 def primary_source(extractions: DataFrame) -> DataFrame:
     """origin and primary_doi. Of works with the same value the oldest that may be primary is, unless its evidence cites another.
 
-    A work without a year has no origin; equal years go to the smaller doi. Groups take nulls as equal.
+    A work without a year has no origin; equal years go to the smaller doi. Groups take nulls as equal. Groups are summed first and joined
+    back, so that a value that very many rows share (or none) is in no task's hands whole.
     """
-    same = Window.partitionBy("entity_id", "attribute_id", "value_num", "value_cat")
+    same = ["entity_id", "attribute_id", "value_num", "value_cat"]
     may = ~F.coalesce(F.col("document_type").isin(*NEVER_PRIMARY), F.lit(False)) & ~F.coalesce(F.col("compiled"), F.lit(False))
     out = extractions.withColumns({"cites": F.col("evidence").rlike(CITATION), "may_be_primary": may})
-    year = F.when(F.col("may_be_primary"), F.col("year"))
-    out = out.withColumns({"_first": F.min(year).over(same), "_doi": F.min(F.when(year.isNotNull(), F.struct(year, "doi"))).over(same)["doi"]})
-    oldest = F.when(~F.col("may_be_primary"), F.lit(False)).otherwise(F.when(F.col("_first").isNull(), F.lit(None)).otherwise(F.col("year") == F.col("_first")))
+    first = F.min(F.when(F.col("may_be_primary") & F.col("year").isNotNull(), F.struct("year", "doi")))
+    groups = out.groupBy(*[F.col(c).alias(f"_{c}") for c in same]).agg(first.alias("_of"))
+    out = out.join(groups, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same]))
+    oldest = F.when(~F.col("may_be_primary"), F.lit(False)).otherwise(F.when(F.col("_of").isNull(), F.lit(None)).otherwise(F.col("year") == F.col("_of.year")))
     second = F.col("cites") | ~oldest | F.coalesce("compiled", F.lit(False))
     out = out.withColumn("origin", if_known(second, F.lit("secondary"), F.lit("primary")))
-    return out.withColumn("primary_doi", F.when(F.col("origin") == "secondary", F.col("_doi"))).drop("_first", "_doi")
+    return out.withColumn("primary_doi", F.when(F.col("origin") == "secondary", F.col("_of.doi"))).drop("_of", *[f"_{c}" for c in same])
 
 
 def set_document_type(works: DataFrame, work_ids: list[str], kind: str | None) -> DataFrame:
