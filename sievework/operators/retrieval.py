@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import is_key_line, name_pattern, squish, words
-from sievework.sources.tables import scratch
+from sievework.sources.tables import settled
 
 from .segmentation import is_useful_account
 
@@ -25,8 +25,7 @@ def bm25_topk(docs: DataFrame, terms: list[str], by: str, k: int) -> DataFrame:
     """
     tokens = F.filter(words(F.coalesce("text", F.lit(""))), lambda x: x != "")
     counted = docs.select(by, "doc_id", tokens.alias("tokens")).select(by, "doc_id", F.size("tokens").alias("dl"), *[_count(t).alias(f"tf{i}") for i, t in enumerate(terms)])
-    counted.write.parquet(path := scratch(docs.sparkSession, "counts"))
-    counted = docs.sparkSession.read.schema(counted.schema).parquet(path)
+    counted = settled(counted, "counts")
     stats = counted.agg(F.count(F.lit(1)).alias("docs"), F.avg("dl").alias("avgdl"), *[F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"df{i}") for i in range(len(terms))]).first()
     length = K1 * (1 - B + B * F.col("dl") / F.lit(stats.avgdl))
     score = F.lit(0.0)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from sievework.functions import text
 from sievework.operators import targets
+from sievework.operators.scan import scanned
 from sievework.sources import files, sinks
-from sievework.sources.tables import read, scratch
+from sievework.sources.tables import read, scratch, until_exit
 
 from .registry import query
 
@@ -31,7 +32,7 @@ def _noted(spark, sf_dir):
 @query(f"SELECT {_NOTED}")
 def csv_inferred(spark, sf_dir):
     sinks.write_csv(_noted(spark, sf_dir), path := scratch(spark, "csv"))
-    return files.csv(spark, path)
+    return files.csv(spark, until_exit(spark, path))
 
 
 @query("SELECT p_partkey::VARCHAR AS id, p_name AS name, CASE WHEN p_size > 20 THEN p_size END AS year FROM part")
@@ -39,26 +40,26 @@ def csv_text_with_comments(spark, sf_dir):
     rows = read(spark, sf_dir, "part").selectExpr("concat_ws(',', p_partkey, p_name, CASE WHEN p_size > 20 THEN string(p_size) ELSE 'n.d.' END) AS value").withColumn("value", F.concat(F.col("value"), F.lit("\n# a remark, of no use")))
     head = spark.createDataFrame([("# file of names\nid,name,year",)], "value string")
     head.union(rows).coalesce(1).write.text(path := scratch(spark, "noted"))
-    return files.text_csv(spark, path, year="int")
+    return files.text_csv(spark, until_exit(spark, path), year="int")
 
 
 @query(f"SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_type FROM (SELECT {_NOTED})")
 def csv_sniffed(spark, sf_dir):
     sinks.write_csv(_noted(spark, sf_dir), path := scratch(spark, "sniffed"), sep=";")
-    return files.sniffed_csv(spark, path, ("p_name",))
+    return files.sniffed_csv(spark, until_exit(spark, path), ("p_name",))
 
 
 @query(f"SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_type FROM (SELECT {_NOTED})")
 def tsv_quoted(spark, sf_dir):
     sinks.write_tsv(_noted(spark, sf_dir), path := scratch(spark, "tsv"), quote_all=True)
-    return files.tsv(spark, path)
+    return files.tsv(spark, until_exit(spark, path))
 
 
 @query("SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, CASE WHEN s_acctbal > 0 THEN s_name END AS other FROM supplier")
 def tsv_nulls(spark, sf_dir):
     rows = read(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_name", "CASE WHEN s_acctbal > 0 THEN s_name END AS other")
     sinks.write_tsv(rows, path := scratch(spark, "nulls"))
-    return files.tsv(spark, path)
+    return files.tsv(spark, until_exit(spark, path))
 
 
 @query("SELECT s_suppkey::VARCHAR AS s_suppkey, s_name FROM supplier")
@@ -66,14 +67,14 @@ def csv_appended(spark, sf_dir):
     rows, path = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), scratch(spark, "appended")
     sinks.write_csv(rows.where("s_suppkey < 50"), path)
     sinks.append_new(rows, files.text_csv(spark, path, s_suppkey="long"), ["s_suppkey"], path)
-    return files.text_csv(spark, path)
+    return files.text_csv(spark, until_exit(spark, path))
 
 
 @query("SELECT s_suppkey AS id, s_name AS name FROM supplier")
 def json_species(spark, sf_dir):
     rows = read(spark, sf_dir, "supplier").select(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")).alias("r"))
     rows.agg(F.collect_list("r").alias("species")).coalesce(1).write.json(path := scratch(spark, "json"))
-    return files.json_list(spark, path, "id long, name string", "species")
+    return files.json_list(spark, until_exit(spark, path), "id long, name string", "species")
 
 
 @query(f"""WITH s AS (SELECT row_number() OVER (ORDER BY p_partkey) + 1 AS row_no, CASE WHEN p_size < 5 THEN NULL ELSE ' ' || p_name END AS a, CASE WHEN p_size >= 5 AND p_size < 10 THEN p_brand || chr(10) || 'x' END AS col_2 FROM part) SELECT * FROM s WHERE a IS NOT NULL OR col_2 IS NOT NULL""")
@@ -81,7 +82,7 @@ def sheet_rows(spark, sf_dir):
     rows = read(spark, sf_dir, "part").selectExpr("p_partkey", "CASE WHEN p_size >= 5 THEN concat(' ', p_name) END AS a", "CASE WHEN p_size >= 5 AND p_size < 10 THEN concat('\"', p_brand, '\\nx\"') END AS b")
     whole = rows.agg(F.concat(F.lit("a, \n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", F.concat_ws(",", F.coalesce("a", F.lit("")), F.coalesce("b", F.lit(""))).alias("v")))), lambda x: x["v"]), "\n")).alias("value"))
     whole.coalesce(1).write.text(path := scratch(spark, "sheet"))
-    return files.sheet(spark, path)
+    return files.sheet(spark, until_exit(spark, path))
 
 
 @query("""WITH p AS (SELECT doc_id::VARCHAR AS work_id, regexp_replace(trim(regexp_replace(text, '[\\s\\x0b]+', ' ', 'g')), '&|<|>', '+', 'g') AS t FROM documents WHERE text IS NOT NULL), u AS (SELECT work_id, 0 AS place, 'Introduction' AS section, t AS text FROM p UNION ALL SELECT work_id, 1, 'Introduction / Notes', 'Notes on ' || work_id || ', which go on for more than forty characters' FROM p)
@@ -99,8 +100,8 @@ def binary_files(spark, sf_dir):
     rows = read(spark, sf_dir, "conversations").where("text IS NOT NULL").select(F.concat(F.lit("c-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"), F.lit(".txt")).alias("name"), F.encode("text", "UTF-8").alias("content"))
     folder = scratch(spark, "files")
     sinks.copy_files(rows, folder).write.parquet(index := scratch(spark, "index"))
-    held = files.binary(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.length("content").alias("held"))
-    return spark.read.parquet(index).join(held, "name").select("name", "size", (F.col("size") == F.col("held")).alias("kept"))
+    held = files.binary(spark, until_exit(spark, folder)).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.length("content").alias("held"))
+    return spark.read.parquet(until_exit(spark, index)).join(held, "name").select("name", "size", (F.col("size") == F.col("held")).alias("kept"))
 
 
 # projections, filters
@@ -271,14 +272,9 @@ def distinct_first_kept(spark, sf_dir):
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders")
 def global_numbers(spark, sf_dir):
-    """Numbers without one task for all rows: rows are ranged and sorted, and each part's first number follows from the sizes before it."""
-    ranged = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").repartitionByRange("o_orderdate", "o_orderkey").withColumn("part", F.spark_partition_id())
-    ranged.write.parquet(path := scratch(spark, "ranged"))
-    rows = spark.read.parquet(path)
-    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("part").orderBy("o_orderdate", "o_orderkey"))
-    return rows.withColumn("k", within).join(F.broadcast(before.select("part", "before")), "part").select("o_orderkey", (F.col("before") + F.col("k")).alias("n"))
+    """Numbers without one task for all rows."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return scanned(orders, ["o_orderdate", "o_orderkey"], number="n").select("o_orderkey", "n")
 
 
 @query("SELECT l_orderkey, l_partkey, n FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n, max(l_quantity) OVER (PARTITION BY l_orderkey) AS m FROM lineitem) WHERE n >= 4 AND l_quantity = m")
