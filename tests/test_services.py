@@ -120,6 +120,9 @@ def test_descriptor_and_report(spark, tmp_path):
     xml = ET.fromstring(darwin_core.descriptor({"mof": ["taxonID", "measurementValue"], "taxon": ["taxonID", "family"]}, "taxon", "taxonID"))
     assert [e.tag.split("}")[1] for e in xml] == ["core", "extension"] and len(xml.findall(".//{*}field")) == 3
     assert sinks.write_report(f"{tmp_path}/r.json", a=spark.range(2))["a"] == [{"id": 0}, {"id": 1}]
+    with pytest.raises(ValueError, match="b has more than 2"):
+        sinks.write_report(f"{tmp_path}/no.json", most=2, a=spark.range(2), b=spark.range(3))
+    assert not (tmp_path / "no.json").exists()
 
 
 def test_samples_are_of_the_asked_size(spark):
