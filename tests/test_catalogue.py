@@ -22,7 +22,7 @@ def plain(value):
 
 
 @pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, tables, name):
     got = QUERIES[name](spark, DIR)
     columns = sorted(got.columns)
@@ -30,3 +30,7 @@ def test_equals_sql(spark, tables, name):
     want = tables.execute(f"SELECT {quoted} FROM ({ORACLE[name]})").fetchall()
     rows = got.select(*[f"`{c}`" for c in columns]).collect()
     assert sorted(tuple(map(plain, r)) for r in rows) == sorted(tuple(map(plain, r)) for r in want)
+
+
+def test_queries_without_sql_are_tested_elsewhere():
+    assert set(QUERIES) - set(ORACLE) == {"local_predictions"}  # tests/test_learned.py

@@ -105,3 +105,21 @@ def test_models_held_are_bounded(tmp_path):
     for i in range(classifiers.MODELS_HELD + 5):
         assert classifiers.model_of(str(tmp_path), f"a{i}") is None
     assert len(classifiers._held) == classifiers.MODELS_HELD
+
+
+def test_local_predictions_equal_a_plain_form(spark):
+    import pyarrow.parquet as pq
+
+    from sievework.plans.catalogue import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] for r in pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+    labels = [r for r in pq.read_table(f"{folder}/labels.parquet").to_pylist() if r["doc_id"] % 4 != 2 and r["doc_id"] in docs]
+    want = {}
+    for attribute in ("quality", "toxic"):
+        rows = sorted((docs[r["doc_id"]] or "", str(r[attribute])) for r in labels if r[attribute] is not None)
+        model = classifiers.Softmax.fitted([t for t, _ in rows], [y for _, y in rows])
+        want |= {(i, attribute): model.predicted(t) for i, t in docs.items()}
+    got = {(r.doc_id, r.attribute_id): (r["class"], r.prob) for r in QUERIES["local_predictions"](spark, folder).collect()}
+    assert {k: v for k, v in got.items() if k[1] == "unknown"} == {(i, "unknown"): (None, 0.0) for i in docs}
+    assert all(got[k][0] == v[0] and abs(got[k][1] - v[1]) < 1e-4 for k, v in want.items()) and len(got) == 3 * len(docs)
