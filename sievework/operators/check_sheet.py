@@ -19,7 +19,7 @@ SITUATION = {"differs": "values differ", "only_sheet": "only the sheet has a val
 
 
 def names_in_articles(pairs: DataFrame, pages: DataFrame, names: DataFrame) -> DataFrame:
-    """KEY-less: work_id, entity_id and name: empty if the article has the accepted name (pairs.entity), else the other name that stands
+    """work_id, entity_id and name_in_article: empty if the article has the accepted name (pairs.entity), else the other name that stands
     there most (the first of several), else NOT_FOUND. Literal, with white space squeezed."""
     asked = pairs.select("work_id", "entity_id", "entity").distinct()
     text = pages.select("work_id", "page", squish(F.coalesce("text", F.lit(""))).alias("t"))
