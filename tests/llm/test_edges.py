@@ -115,3 +115,16 @@ def test_pipeline_on_empty_documents(spark, labels, tmp_path):
     for name, df in (("documents", documents(spark, rows_of()).where("false")), ("labels", labels)):
         df.write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_the_packing_stage_takes_odd_rows(spark, tmp_path):
+    name, pack = corpus_pipeline.STAGES[-1]
+    docs = documents(spark, rows_of(2))
+    rows = pack(spark, docs, str(tmp_path)).collect()
+    assert name == "packing" and len({(r.doc_id, r.ids_crc32) for r in rows if r.piece == 0}) == len(IDS) and sum(r.piece == 0 for r in rows) == 2 * len(IDS)
+    assert all(0 < r.length <= 4096 and 0 <= r.offset and r.offset + r.length <= 4096 for r in rows)
+    filled = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert pack(spark, docs.where("false"), str(tmp_path)).collect() == []
