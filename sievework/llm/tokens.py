@@ -16,8 +16,8 @@ WHITE = "\t-\r \x85\xa0  -     　"
 SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: What keeps a text from being lower-cased and split by Python as the library does it.
 UNUSUAL = re.compile("[^\t\n\r -~\xa1-į]|<\\|")
-#: Bytes that the cache of a process may take, what an entry takes beside its chunk and ids, and the longest chunk that is kept.
-CACHE_BYTES, ENTRY_BYTES, LONG = 96 << 20, 200, 64
+#: Bytes that each half of the cache of a process may take, what an entry takes beside its chunk and ids, and the longest chunk that is kept.
+CACHE_BYTES, ENTRY_BYTES, LONG = 80 << 20, 200, 64
 #: A piece of plain Latin letters, after a space or none: neither file splits it, so that the library's model may be asked for it alone.
 LETTERS = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u0148\u014a-\u017e]+")
 
@@ -38,7 +38,8 @@ def byte_characters() -> dict[str, int]:
 
 
 class CachedTokenizer(dict):
-    """ids(texts) gives each text's ids as little-endian unsigned 32-bit integers. As a dict, it holds the ids of chunks met before."""
+    """ids(texts) gives each text's ids as little-endian unsigned 32-bit integers. As a dict, it holds the ids of chunks met
+    lately; when it is full it becomes the old half, from which chunks that are met again come back."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,7 +53,7 @@ class CachedTokenizer(dict):
         self.words_only = self.library.normalizer is not None
         self.as_characters = {b: c for c, b in byte_characters().items()}
         self.four = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
-        self.held = 0
+        self.held, self.old = 0, {}
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece; of plain letters from the library's model alone, past its splitting and its records of places."""
@@ -71,12 +72,14 @@ class CachedTokenizer(dict):
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        pieces = parts(chunk)
-        ids = self._piece(chunk) if len(pieces) == 1 else b"".join([self[p] for p in pieces])
+        ids = self.old.get(chunk)
+        if ids is None:
+            pieces = parts(chunk)
+            ids = self._piece(chunk) if len(pieces) == 1 else b"".join([self[p] for p in pieces])
         if len(chunk) <= LONG:
             if self.held > CACHE_BYTES:
+                self.old, self.held = dict(self), 0
                 self.clear()
-                self.held = 0
             self[chunk] = ids
             self.held += ENTRY_BYTES + len(ids)
         return ids
