@@ -34,11 +34,11 @@ def local_predictions(spark, sf_dir):
 
 @query("SELECT p_type AS book, p_partkey::VARCHAR AS k, p_name AS n, p_size::VARCHAR AS s FROM part")
 def workbooks_read_back(spark, sf_dir):
-    """One workbook for each type of part, written by the tasks and read cell by cell."""
+    """Workbooks for each type of part, as many as it needs, written by the tasks and read cell by cell."""
     part = read(spark, sf_dir, "part").select("p_type", "p_partkey", "p_name", "p_size")
     folder = scratch(spark, "books")
     until_exit(spark, folder)
-    workbooks.write_workbooks(part, "p_type", ["p_partkey"], folder, "parts", workbooks.Look(lists={"p_size": ["1", "2"]}, answer=("p_size",))).collect()  # a row for each book
+    workbooks.write_workbooks(part, "p_type", ["p_partkey"], folder, "parts", workbooks.Look(lists={"p_size": ["1", "2"]}, answer=("p_size",)), numbered=True).collect()  # a row for each book
     cells = workbooks.cells(spark, folder).where("sheet = 'parts' AND row_no > 1")
     rows = cells.groupBy("path", "row_no").agg(*[F.max(F.when(F.col("column_no") == i, F.col("value"))).alias(c) for i, c in enumerate(("k", "n", "s"), 1)])
-    return rows.select(F.regexp_extract("path", r"([^/]+)\.xlsx$", 1).alias("book"), "k", "n", "s")
+    return rows.select(F.regexp_extract("path", r"([^/]+)-\d{5}-\d{4}\.xlsx$", 1).alias("book"), "k", "n", "s")

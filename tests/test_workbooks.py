@@ -76,3 +76,15 @@ def test_one_workbook_for_each_value(spark, tmp_path):
     assert [int(r.id) for r in d.orderBy("row_no").collect()] == list(range(1, 40, 3))
     with pytest.raises(Exception, match="more than 5"):
         w.write_workbooks(df, "reviewer", ["id"], f"{tmp_path}/no", "review", most=5).collect()
+
+
+def test_a_value_with_more_rows_than_a_workbook_holds_has_several(spark, tmp_path):
+    df = spark.range(40).selectExpr("concat('r', id % 3) AS reviewer", "id", "concat('t ', id) AS t")
+    made = w.write_workbooks(df, "reviewer", ["id"], f"{tmp_path}/out", "review", most=5, numbered=True).collect()
+    assert len({r.name for r in made}) == len(made) >= 9
+    got = {}
+    for name in sorted(os.listdir(f"{tmp_path}/out")):
+        ids = [int(r.id) for r in w.sheet(spark, f"{tmp_path}/out/{name}", "review").orderBy("row_no").collect()]
+        assert 0 < len(ids) <= 5
+        got[name[:2]] = got.get(name[:2], []) + ids
+    assert got == {f"r{i}": list(range(i, 40, 3)) for i in range(3)}
