@@ -35,13 +35,18 @@ def derived_aliases(targets: DataFrame, synonyms: DataFrame, valid: DataFrame) -
     """entity_id, entity, alias and reason: null for aliases to use, else why a person must decide. synonyms: name, synonym."""
     found = matched_targets(targets, valid)
     known = found.where("matched IS NOT NULL")
-    listed = known.join(synonyms, F.col("matched") == F.col("name")).select("entity_id", "entity", "matched", F.col("synonym").alias("alias"))
-    rows = listed.union(known.where("matched <> entity").select("entity_id", "entity", "matched", F.col("matched").alias("alias")))
-    rows = rows.where("alias IS NOT NULL AND alias <> entity").distinct().withColumn("two", F.concat_ws(" ", F.slice(F.split("alias", " "), 1, 2)))
+    by_name = synonyms.select("name", F.col("synonym").alias("alias")).union(valid.select("name", F.col("name").alias("alias"))).where("alias IS NOT NULL").distinct()
+    # what only names decide is found on names, of which there are far fewer than rows
     spaces = F.size(F.split("alias", " ")) - 1
-    own = found.select("entity_id", F.col("entity").alias("two")).union(found.select("entity_id", F.col("matched"))).union(rows.where(spaces == 1).select("entity_id", "alias")).where("two IS NOT NULL").distinct().withColumn("_own", F.lit(True))
+    counts = known.groupBy("matched", "entity").agg(F.count(F.lit(1)).alias("_k")).join(by_name, F.col("matched") == F.col("name")).where("alias <> entity").groupBy("alias").agg(F.sum("_k").alias("_n"))
     is_valid = valid.select(F.col("name").alias("two")).distinct().withColumn("_valid", F.lit(True))
-    rows = rows.join(own, ["entity_id", "two"], "left").join(is_valid, "two", "left").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("alias")))
+    also = by_name.select("name", F.col("alias").alias("two"), F.lit(True).alias("_also"))
+    aliases = by_name.withColumn("two", F.concat_ws(" ", F.slice(F.split("alias", " "), 1, 2))).join(is_valid, "two", "left").join(also, ["name", "two"], "left").join(counts, "alias")
+    rows = known.join(aliases, F.col("matched") == F.col("name")).where("alias <> entity")
+    # an id that stands with several entities has the names of all of them
+    several = found.join(found.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_e")).where("_e > 1").select("entity_id"), "entity_id", "left_semi")
+    shared = several.select("entity_id", F.col("entity").alias("two")).union(several.join(by_name, F.col("matched") == F.col("name")).select("entity_id", "alias"))
+    rows = rows.join(shared.distinct().withColumn("_own", F.lit(True)), ["entity_id", "two"], "left").withColumn("_own", F.coalesce("_own", "_also", F.when(F.col("two") == F.col("entity"), True)))
     reason = (
         F.when(F.col("_valid") & (F.col("two") != F.col("entity")) & (F.col("two") != F.col("matched")), "two words are another valid name")
         .when((spaces >= 2) & F.col("_own").isNull(), "three words of another name")
