@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import if_known, normalized, squish
+from sievework.sources.tables import dealt, held
 
 KEY = ["work_id", "entity_id", "attribute_id"]
 TOLERANCE = 0.05
@@ -25,8 +26,8 @@ def listed(values: Column, sep: str = ";") -> Column:
 def plausibility(extractions: DataFrame, attributes: DataFrame) -> DataFrame:
     """status and reason of raw extractions by their attribute: kind, unit, lowest, highest, accepted (separated by ;).
 
-    A unit that differs is flagged but stays raw. The accepted list is compared exactly. attributes is small and broadcast only if Spark
-    finds it so.
+    A unit that differs is flagged but stays raw. The accepted list is compared exactly. attributes is counted, and goes to every task if it
+    is small: extractions have few attributes, so a shuffle by them would leave all rows to a few tasks.
     """
     a = attributes.select("attribute_id", "kind", F.col("unit").alias("unit_wanted"), "lowest", "highest", "accepted")
     numeric, v = F.col("kind") == "numeric", F.col("value_num")
@@ -38,7 +39,7 @@ def plausibility(extractions: DataFrame, attributes: DataFrame) -> DataFrame:
         .when(numeric & (normalized("unit") != normalized("unit_wanted")), "unit_differs")
         .when((F.col("kind") == "categorical") & ~known, "not_in_vocabulary")
     )
-    out = extractions.join(a, "attribute_id", "left").withColumn("reason", reason)
+    out = extractions.join(held(a), "attribute_id", "left").withColumn("reason", reason)
     return out.withColumn("new_status", F.when(F.col("reason").isNull() | (F.col("reason") == "unit_differs"), "raw").otherwise("rejected"))
 
 
@@ -55,7 +56,7 @@ def reconcile(extractions: DataFrame, tolerance: float = TOLERANCE) -> DataFrame
     """
     group = Window.partitionBy(*KEY)
     best = group.orderBy(F.desc_nulls_last("confidence"), "extraction_id")
-    out = extractions.withColumns({
+    out = dealt(extractions, *KEY).withColumns({
         "n_in_group": F.count(F.lit(1)).over(group),
         "diverges": diverge(F.col("kind"), F.col("value_num"), F.col("value_cat"), group, tolerance),
         "place": F.row_number().over(best),
@@ -122,7 +123,8 @@ def thresholds(predictions: DataFrame, gold: DataFrame, wanted: float, tolerance
     gold: KEY, value; only groups of one distinct value and at least min_reviewers rows count. Rejected and conflicting extractions take
     no part. The curve is one aggregation of 19 conditional counts by attribute, not a join with the grid.
     """
-    agreed = gold.groupBy(*KEY).agg(F.countDistinct("value").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("value").alias("truth")).where(f"_n = 1 AND _rows >= {min_reviewers}").drop("_n", "_rows")
+    rows = dealt(gold.select(*KEY, "value"), *KEY)  # first, so that no task sorts a whole split to find its least texts
+    agreed = rows.groupBy(*KEY).agg(F.max("value").alias("_most"), F.count(F.lit(1)).alias("_rows"), F.min("value").alias("truth")).where(f"truth = _most AND _rows >= {min_reviewers}").drop("_most", "_rows")
     truth = F.col("truth").try_cast("double")
     near = F.abs(F.col("value_num") - truth) <= tolerance * F.abs(truth)
     hit = if_known(F.col("kind") == "numeric", near, F.lower("value_cat") == F.lower("truth"))
@@ -144,7 +146,7 @@ def thresholds(predictions: DataFrame, gold: DataFrame, wanted: float, tolerance
 
 def apply_thresholds(extractions: DataFrame, limits: DataFrame) -> DataFrame:
     """Raw extractions at or above the threshold of an attribute decided automatically become approved. limits: one row an attribute."""
-    few = limits.where("decision = 'automatic'").select("attribute_id", F.col("threshold").alias("_t"))
+    few = held(limits.where("decision = 'automatic'").select("attribute_id", F.col("threshold").alias("_t")))
     out = extractions.join(few, "attribute_id", "left")
     up = (F.col("status") == "raw") & (F.col("confidence") >= F.col("_t"))
     return out.withColumn("status", F.when(up, "approved").otherwise(F.col("status"))).drop("_t")

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,3 +52,16 @@ def renamed(spark: SparkSession, old: str, new: str) -> None:
         system.mkdirs(b.getParent())
     if not system.rename(a, b):
         raise OSError(f"{old} could not be renamed to {new}")
+
+
+def held(df: DataFrame, most: int = 20_000) -> DataFrame:
+    """A list that is small by its nature (a vocabulary, a row for each attribute) as rows that go to every task, so that the rows it is
+    joined to need not move to a few keys. It is computed once, here; one of more than `most` rows is given back as it is, for a shuffle."""
+    rows = df.limit(most + 1).collect()
+    return df if len(rows) > most else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df by its keys in as many parts as the session shuffles into. Unlike those of a plain shuffle they are not merged by their size on
+    disk, which says little of rows that compress very well: a task's sorts and windows would grow with the table."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
