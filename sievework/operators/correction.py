@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import first_two_words, hyphens, id_key, is_blank, squish, swapped_neighbours
+from sievework.sources.tables import dealt, settled
 
 from .scan import scanned
 
@@ -22,6 +23,8 @@ REMARK = r"(?i)acho que|n[aã]o se aplica|conferir com|ver com"
 DIET_SHEET, DIET_METRIC, DIET_SPELLINGS = "Diet_DWC", "percentage_of_items", ("number_itens", "number_of_itens", "percentage_of_itens")
 WATER = {"Perm": "permanent", "Temp": "temporary", "temporary pond": "temporary"}
 FORMULA = "tooth_row_formulae"
+#: Ids up to this length are met by keys of what edits leave, of which there are some two for each pair of characters.
+MOST_KEYED = 24
 
 
 def logged(before: DataFrame, after: DataFrame, sheet: str, rule: str, columns: list[str]) -> DataFrame:
@@ -114,27 +117,52 @@ def repaired_ids(ids: DataFrame, valid: DataFrame) -> DataFrame:
     """taxonID, scientificName and repaired, for distinct ids that are not valid: the only valid id of the name, else the only one that
     differs by two swapped neighbours, else the only one within two edits. valid: taxonID, scientificName.
 
-    Ids two edits apart share one of three parts, whatever the cuts, so candidates are joined on a part and its place, not all with all.
+    Valid ids have numbers, so that of the hits of an id only the least and the largest number are kept: it has one hit if they are equal.
     """
-    known = valid.select(F.col("taxonID").alias("good")).where("good IS NOT NULL").distinct()
-    bad = ids.select("taxonID", "scientificName").where("taxonID IS NOT NULL").distinct().join(known, F.col("taxonID") == F.col("good"), "left_anti")
+    known = settled(valid.select(F.col("taxonID").alias("good")).where("good IS NOT NULL").distinct().withColumn("g", F.monotonically_increasing_id()), "valid_ids")
+    bad = settled(ids.select("taxonID", "scientificName").where("taxonID IS NOT NULL").distinct().join(known, F.col("taxonID") == F.col("good"), "left_anti"), "open_ids")
     by_name = valid.where("taxonID IS NOT NULL").select(first_two_words("scientificName").alias("_w"), "taxonID").distinct().groupBy("_w").agg(F.count(F.lit(1)).alias("_n"), F.min("taxonID").alias("_name")).where("_n = 1 AND _w IS NOT NULL").drop("_n")
     out = bad.withColumn("_w", first_two_words("scientificName")).join(by_name, "_w", "left").drop("_w")
-    only = lambda hits, name: hits.groupBy("taxonID").agg(F.countDistinct("good").alias("_n"), F.min("good").alias(name)).where("_n = 1").drop("_n")
     every = bad.select("taxonID").distinct()
-    swapped = only(every.withColumn("good", F.explode(swapped_neighbours("taxonID"))).join(known, "good"), "_swap")
+    only = lambda hits, name: hits.groupBy("taxonID").agg(F.min("low").alias("g"), F.max("high").alias("_h")).where("g = _h").join(known, "g").select("taxonID", F.col("good").alias(name))
+    swapped = every.withColumn("good", F.explode(swapped_neighbours("taxonID"))).join(known, "good").select("taxonID", F.col("g").alias("low"), F.col("g").alias("high"))
+    out = out.join(only(swapped, "_swap"), "taxonID", "left").join(only(_within_two_edits(every, known), "_near"), "taxonID", "left")
+    return out.select("taxonID", "scientificName", F.coalesce("_name", "_swap", "_near").alias("repaired"))
+
+
+def _within_two_edits(every: DataFrame, known: DataFrame) -> DataFrame:
+    """taxonID with the least and the largest number (low, high) of the known ids (good, g) within two edits, in one row or several.
+
+    Texts are within two edits if and only if they share a key of `_edit_keys`. The known ids of a key are one row before any meets it, so
+    the work grows with the ids and not with their pairs. Known ids over MOST_KEYED characters have too many keys; they are met by thirds.
+    """
+    short = known.where(F.length("good") <= MOST_KEYED).select("good", "g")
+    held = dealt(_edit_keys(dealt(short, "good"), "good", "k", "a"), "key").groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high"))
+    asked = dealt(_edit_keys(dealt(every.where(F.length("taxonID") <= MOST_KEYED + 2), "taxonID"), "taxonID", "a", "k"), "key")
+    near = asked.join(held, "key").groupBy("taxonID").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     shifts = F.array(*[F.lit(i) for i in range(-2, 3)])
     third = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))
-    left = every.withColumn("k", third).withColumn("d", F.explode(shifts)).withColumn("shift", F.explode(shifts))
+    left = every.where(F.length("taxonID") > MOST_KEYED - 2).withColumn("k", third).withColumn("d", F.explode(shifts)).withColumn("shift", F.explode(shifts))
     left = left.select("taxonID", "k", _part("taxonID", F.length("taxonID") + F.col("d"), F.col("shift")).alias("s")).where("s <> ''").distinct()
-    right = known.withColumn("k", third).select("good", "k", _part("good", F.length("good"), F.lit(0)).alias("s")).where("s <> ''")
-    near = left.join(right, ["k", "s"]).select("taxonID", "good").distinct()
-    sizes = F.explode(F.sequence(F.greatest(F.lit(0), F.length("taxonID") - 2), F.least(F.lit(2), F.length("taxonID") + 2)))  # texts too short to have parts
-    short = every.where(F.length("taxonID") <= 4).withColumn("n", sizes).join(known.where(F.length("good") < 3).withColumn("n", F.length("good")), "n")
-    near = near.union(short.select("taxonID", "good"))
-    close = only(near.where(F.levenshtein("taxonID", "good") <= 2), "_near")
-    out = out.join(swapped, "taxonID", "left").join(close, "taxonID", "left")
-    return out.select("taxonID", "scientificName", F.coalesce("_name", "_swap", "_near").alias("repaired"))
+    right = known.where(F.length("good") > MOST_KEYED).withColumn("k", third).select("good", "g", "k", _part("good", F.length("good"), F.lit(0)).alias("s"))
+    far = left.join(right, ["k", "s"]).where(F.levenshtein("taxonID", "good") <= 2).select("taxonID", F.col("g").alias("low"), F.col("g").alias("high"))
+    return near.unionByName(far)
+
+
+def _edit_keys(d: DataFrame, c: str, own: str, other: str) -> DataFrame:
+    """d with a row for each key of its text c; `own` and `other` name this side and the one it is compared with.
+
+    A key is what remains of a text without some characters: up to two that the other text lacks (the other is then whole), one on each
+    side, two that differ at the same places, or one of both kinds. Places that differ are told, so equal keys are two edits at most.
+    """
+    cut = lambda x, at: F.concat(F.substr(x, F.lit(1), F.col(at) - 1), F.substr(x, F.col(at) + 1, F.length(x)))
+    key = lambda *x: F.concat_ws(",", *[F.lit(y) if y in (own, other, "lacks", "differs", "each") else F.col(y) for y in x])
+    rows = d.withColumn("i_", F.explode(F.sequence(F.lit(0), F.length(c)))).withColumn("s_", F.when(F.col("i_") == 0, F.col(c)).otherwise(cut(c, "i_")))
+    rows = rows.withColumn("j_", F.explode(F.when(F.col("i_") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.length("s_"))))).withColumn("t_", F.when(F.col("j_") > 0, cut("s_", "j_")))
+    one = F.array(key(own, "lacks", "s_"), key(other, "differs", "i_", "s_"), key("each", "s_"))
+    two = F.array(key(own, "differs", "j_", "t_"), key(own, "lacks", "t_"), key("differs", "i_", "j_", "t_"))
+    keys = F.when(F.col("i_") == 0, F.array(key(other, "lacks", "s_"))).when(F.col("j_") == 0, one).when(F.col("j_") >= F.col("i_"), two).otherwise(F.slice(two, 1, 1))
+    return rows.withColumn("key", F.explode(keys)).drop("i_", "j_", "s_", "t_")
 
 
 def _part(c: str, n: Column, shift: Column) -> Column:
