@@ -47,14 +47,18 @@ def id_key(c: Column | str) -> Column:
 
 
 def unaccented(c: Column | str) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.translate(_col(c), ACCENTED, PLAIN), "ß", "ss"), "œ", "oe")
+    return F.replace(F.replace(F.translate(_col(c), ACCENTED, PLAIN), F.lit("ß"), F.lit("ss")), F.lit("œ"), F.lit("oe"))
 
 
 def title_key(c: Column | str) -> Column:
-    """Entities and tags undone, accents folded, only a-z, 0-9 and single spaces."""
-    c = F.regexp_replace(_col(c), r"&amp;(amp;)*", "&")
-    c = F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
-    return squish(F.regexp_replace(F.lower(unaccented(F.regexp_replace(c, r"<[^>]+>", " "))), r"[^a-z0-9 ]", " "))
+    """Entities and tags undone, accents folded, only a-z, 0-9 and single spaces. Texts without any (ASCII: as long in bytes as in characters)
+    are spared these steps."""
+    c = _col(c)
+    bare = F.regexp_replace(c, r"&amp;(amp;)*", "&")
+    bare = F.regexp_replace(F.replace(F.replace(bare, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), r"<[^>]+>", " ")
+    bare = F.when(F.contains(c, F.lit("<")) | F.contains(c, F.lit("&")), bare).otherwise(c)
+    plain = F.when(F.octet_length(c) == F.length(c), bare).otherwise(unaccented(bare))
+    return F.trim(F.regexp_replace(F.lower(plain), r"[^a-z0-9]+", " "))
 
 
 def without_ligatures(c: Column | str) -> Column:

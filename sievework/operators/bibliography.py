@@ -13,6 +13,16 @@ def title_similarity(a: Column | str, b: Column | str) -> Column:
     return _key_similarity(title_key(a), title_key(b))
 
 
+def title_similarities(references: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates (ref_id, cand_title and others) with the similarity of their title to that of their reference (ref_id, title). The key of a
+    reference is taken once, and a title that several candidates of a reference have is compared once: its first row hands it on."""
+    pairs = candidates.join(references.select("ref_id", title_key("title").alias("_a")), "ref_id")
+    title = Window.partitionBy("ref_id", "cand_title").orderBy("cand_title")
+    first = pairs.withColumn("_b", F.when(F.row_number().over(title) == 1, title_key("cand_title")))
+    similarity = F.first(_key_similarity(F.col("_a"), F.col("_b"))).over(title.rowsBetween(Window.unboundedPreceding, 0))
+    return first.withColumn("similarity", similarity).drop("_a", "_b")
+
+
 def _held(a: Column, b: Column) -> Column:
     """What two known keys are like without counting edits: 1 if equal, CONTAINED if the shorter is long and stands in the longer, else 0."""
     short_in_long = F.when(F.length(a) <= F.length(b), F.contains(b, a)).otherwise(F.contains(a, b))

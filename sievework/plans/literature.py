@@ -416,7 +416,7 @@ _SIM = f"""c AS (SELECT l_partkey AS ref_id, l_orderkey || '-' || l_linenumber |
 @query(f"WITH {_SIM} SELECT cand_id, ref_id, round(similarity, 6) AS similarity FROM s")
 def title_similarity(spark, sf_dir):
     refs, cands = _pairs(spark, sf_dir)
-    return refs.join(cands, "ref_id").select("cand_id", "ref_id", F.round(bibliography.title_similarity("title", "cand_title"), 6).alias("similarity"))
+    return bibliography.title_similarities(refs, cands).select("cand_id", "ref_id", F.round("similarity", 6).alias("similarity"))
 
 
 @query(f"WITH {_SIM} SELECT cand_id, ref_id, author_ok FROM c")
