@@ -9,7 +9,7 @@ from sievework.functions import text
 from sievework.operators import targets
 from sievework.operators.scan import scanned
 from sievework.sources import files, sinks
-from sievework.sources.tables import read, scratch, until_exit
+from sievework.sources.tables import dealt, read, scratch, until_exit
 
 from .registry import query
 
@@ -17,7 +17,7 @@ _ROW = "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_part
 
 
 def _lines(spark, sf_dir):
-    return read(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")))
+    return dealt(read(spark, sf_dir, "lineitem"), "l_orderkey").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")))
 
 
 # sources and sinks
@@ -280,7 +280,7 @@ def global_numbers(spark, sf_dir):
 @query("SELECT l_orderkey, l_partkey, n FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n, max(l_quantity) OVER (PARTITION BY l_orderkey) AS m FROM lineitem) WHERE n >= 4 AND l_quantity = m")
 def group_predicates(spark, sf_dir):
     w = Window.partitionBy("l_orderkey")
-    return read(spark, sf_dir, "lineitem").withColumns({"n": F.count(F.lit(1)).over(w), "m": F.max("l_quantity").over(w)}).where("n >= 4 AND l_quantity = m").select("l_orderkey", "l_partkey", "n")
+    return dealt(read(spark, sf_dir, "lineitem"), "l_orderkey").withColumns({"n": F.count(F.lit(1)).over(w), "m": F.max("l_quantity").over(w)}).where("n >= 4 AND l_quantity = m").select("l_orderkey", "l_partkey", "n")
 
 
 @query(f"SELECT l_orderkey, n, first_value(c IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS filled FROM (SELECT *, CASE WHEN l_quantity > 30 THEN l_partkey END AS c, {_ROW} AS n FROM lineitem)")
