@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import content_id, squish
+from sievework.sources.tables import dealt, settled
 
 from .names import pattern_of
 from .targets import first_rows
@@ -104,7 +105,8 @@ def typed_by_url(works: DataFrame) -> DataFrame:
 
 
 def named_in_title(works: DataFrame, links: DataFrame, names: DataFrame) -> DataFrame:
-    """works with named: whether the title names any linked entity."""
+    """works with named: whether the title names any linked entity. Works and links are dealt alike, so that joins and groups stay in small parts."""
+    works, links = dealt(works, "work_id"), dealt(links, "work_id")
     hits = title_names(links.join(works.select("work_id", "title"), "work_id"), names).groupBy("work_id").agg(F.bool_or("cites").alias("named"))
     return works.join(hits, "work_id", "left").withColumn("named", F.coalesce("named", F.lit(False)))
 
@@ -120,7 +122,7 @@ def triage_decision(answers: DataFrame, model: str, margin: tuple[float, float]
 
 def triaged(works: DataFrame, links: DataFrame, names: DataFrame, ask: Callable, model: str) -> DataFrame:
     """Works whose title names an entity are relevant by rule; the others are asked for (ask: DataFrame -> answers)."""
-    marked = named_in_title(works, links, names)
+    marked = settled(named_in_title(works, links, names), "marked")  # it is read twice
     ruled = marked.where("named").select("work_id", F.lit(True).alias("relevant"), F.lit(1.0).alias("prob"), F.lit("name in title").alias("why"), F.lit("rule:name_in_title").alias("decided_by"))
     return ruled.unionByName(triage_decision(ask(marked.where("NOT named")), model))
 
