@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import normalized, page_key, squish
+from sievework.sources.tables import dealt
 
 from .gold import stratified
 from .validation import KEY
@@ -235,9 +236,10 @@ def corpus_sheet(extractions: DataFrame, targets: DataFrame, works: DataFrame) -
     """A row to check for each pair of raw and conflicting extractions: its values and evidence, block 1 for conflicts, a short citation."""
     rows = extractions.where(F.col("status").isin("raw", "conflict")).join(targets.select("entity_id", "entity"), "entity_id")
     joined = lambda c, sep: F.array_join(F.array_sort(F.collect_set(c)), sep)
+    rows = dealt(rows.select(*KEY, "entity", "value_cat", "evidence", "status"), "work_id")  # first, so that no task gathers the sets of a whole split
     pairs = rows.groupBy(*KEY, "entity").agg(joined("value_cat", " | ").alias("model_value"), joined("evidence", SEVERAL).alias("evidence"), F.bool_or(F.col("status") == "conflict").alias("_c"))
     cited = works.select("work_id", F.concat(F.when(F.length(squish("title")) > 70, F.concat(F.substring(squish("title"), 1, 67), F.lit("..."))).otherwise(squish("title")), F.lit(" ("), F.col("year").cast("string"), F.lit(")")).alias("citation"))
-    return pairs.join(cited, "work_id").withColumns({"case": F.when(F.col("_c"), "conflict").otherwise("extracted"), "block": F.when(F.col("_c"), "1").otherwise("2")}).drop("_c")
+    return pairs.join(dealt(cited, "work_id"), "work_id").withColumns({"case": F.when(F.col("_c"), "conflict").otherwise("extracted"), "block": F.when(F.col("_c"), "1").otherwise("2")}).drop("_c")
 
 
 def vocabulary_sheet(attributes: DataFrame, values: DataFrame) -> DataFrame:
