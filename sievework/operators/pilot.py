@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import normalized, page_key, squish
-from sievework.sources.tables import dealt
+from sievework.sources.tables import dealt, settled
 
 from .gold import stratified
 from .validation import KEY
@@ -128,6 +128,7 @@ def repeated_evidence(pairs: DataFrame) -> DataFrame:
 
 def check_blocks(pairs: DataFrame, n: int, least: int, seed: int) -> DataFrame:
     """Pairs to check with their block: 1 what is not equal, 2 equal ones with repeated evidence and a sample of the others by work."""
+    pairs = settled(pairs, "pairs")  # it is read five times
     doubtful = repeated_evidence(pairs)
     equal = pairs.where("case = 'equal'")
     sample = stratified(equal.join(doubtful, KEY, "left_anti"), "work_id", n, least, seed, "entity_id", "attribute_id")
