@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sievework.sources.sinks import copy_files
+from sievework.sources.tables import held
 
 WIDTH, ROWS_PER_CLASS, EPOCHS, RATE, DECAY = 1 << 15, 1000, 200, 0.1, 1e-3
 MODELS_HELD = 16
+#: Bits of a text's hash by which a class is counted.
+HEAD_BITS = 12
 WORD = re.compile(r"\w+")
 
 
@@ -29,11 +32,11 @@ def places(text: str | None):
     """(places, weights) of a text's words and pairs of words."""
     import numpy as np
 
-    words = WORD.findall((text or "").lower())
-    said = [*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))]
-    if not said:
+    words = [w.encode() for w in WORD.findall((text or "").lower())]
+    if not words:
         return np.empty(0, np.int64), np.empty(0)
-    at, n = np.unique(np.fromiter((zlib.crc32(w.encode()) % WIDTH for w in said), np.int64, len(said)), return_counts=True)
+    said = [*map(zlib.crc32, words), *map(zlib.crc32, map(b" ".join, zip(words, words[1:])))]
+    at, n = np.unique(np.array(said, np.int64) % WIDTH, return_counts=True)
     x = np.log1p(n)
     return at, x / np.sqrt((x * x).sum())
 
@@ -58,16 +61,17 @@ class Softmax:
         share = y.sum(0)
         weight = (len(texts) / (len(classes) * share))[y.argmax(1)]  # each class counts alike
         w, b = np.zeros((len(used), len(classes))), np.zeros(len(classes))
+
+        def summed(to, of, at, n):
+            return np.stack([np.bincount(to, value * of[:, k].take(at), n) for k in range(len(classes))], 1)
+
         m, v = [np.zeros_like(w), np.zeros_like(b)], [np.zeros_like(w), np.zeros_like(b)]
         for t in range(1, epochs + 1):
-            z = np.zeros_like(y)
-            np.add.at(z, row, value[:, None] * w[column])
-            z += b
+            z = summed(row, w, column, len(y)) + b
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             error = (p - y) * weight[:, None] / len(texts)
-            g = np.zeros_like(w)
-            np.add.at(g, column, value[:, None] * error[row])
+            g = summed(column, error, row, len(w))
             for k, (x, d) in enumerate(((w, g + DECAY * w), (b, error.sum(0)))):
                 m[k] += 0.1 * (d - m[k])
                 v[k] += 0.001 * (d * d - v[k])
@@ -78,9 +82,12 @@ class Softmax:
 
     def predicted(self, text: str | None) -> tuple[str, float]:
         """The likeliest class (the first by name of several) and its probability."""
+        return self.predicted_at(*places(text))
+
+    def predicted_at(self, at, x) -> tuple[str, float]:
+        """That of a text with these places."""
         import numpy as np
 
-        at, x = places(text)
         z = x @ self.weights[at] + self.bias if len(at) else self.bias
         p = np.exp(z - z.max())
         p /= p.sum()
@@ -109,13 +116,27 @@ def file_name(attribute: str) -> str:
     return f"{re.sub(r'[^A-Za-z0-9_-]', '_', attribute)[:60]}-{zlib.crc32(attribute.encode()):08x}.npz"
 
 
+def drawn(rows: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
+    """The `rows_per_class` rows (text, attribute_id, label) of each class whose texts have the least hashes, and then come first.
+
+    Texts are counted by the head of their hash, so that only those up to the head that reaches the number are gathered by class.
+    """
+    of = ["attribute_id", "label"]
+    hashed = rows.select("text", *of).where("attribute_id IS NOT NULL AND label IS NOT NULL").withColumn("hash", F.xxhash64("text")).withColumn("head", F.shiftright("hash", 64 - HEAD_BITS))
+    heads = hashed.groupBy(*of, "head").agg(F.count("*").alias("n"))
+    before = heads.withColumn("before", F.sum("n").over(Window.partitionBy(*of).orderBy("head")) - F.col("n"))
+    last = before.where(F.col("before") < rows_per_class).groupBy(*of).agg(F.max("head").alias("last"))
+    near = hashed.join(held(last), of).where("head <= last")
+    order = Window.partitionBy(*of).orderBy("hash", "text")
+    return near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_class).select("text", *of)
+
+
 def train(rows: DataFrame, folder: str, rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """name and size of a model for each attribute of rows (text, attribute_id, label) with two classes or more, written to a folder.
 
-    A task trains one attribute on its bounded sample; a class is as large as it is, but only `rows_per_class` of its texts are read.
+    A task trains one attribute on its bounded sample; a class is as large as it is, but only `rows_per_class` of its texts are gathered.
     """
-    drawn = Window.partitionBy("attribute_id", "label").orderBy(F.xxhash64("text"), "text")
-    some = rows.select("text", "attribute_id", "label").where("attribute_id IS NOT NULL AND label IS NOT NULL").withColumn("k", F.row_number().over(drawn)).where(F.col("k") <= rows_per_class).drop("k")
+    some = drawn(rows, rows_per_class)
 
     def model(pdf):
         import pandas as pd
@@ -170,3 +191,27 @@ def predict(rows: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(probs, pa.float64())], names=[*batch.schema.names, "class", "prob"])
 
     return rows.mapInArrow(told, schema)
+
+
+def predict_each(rows: DataFrame, attributes: list[str], folder: str) -> DataFrame:
+    """For each of some attributes, rows (text and any others) without their text, with attribute_id, class and prob. A text goes to Python
+    once, and its places are found once for all attributes."""
+    others = [f for f in rows.schema.fields if f.name != "text"]
+    schema = StructType([*others, *StructType.fromDDL("attribute_id string, class string, prob double").fields])
+
+    def told(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            models = [model_of(folder, a) for a in attributes]
+            out = []
+            for text in batch.column("text").to_pylist():
+                bag = places(text)
+                out += [m.predicted_at(*bag) if m else (None, 0.0) for m in models]
+            names, probs = zip(*out) if out else ((), ())
+            again = batch.select([f.name for f in others]).take(pa.array(np.repeat(np.arange(batch.num_rows), len(attributes))))
+            told = [pa.array(attributes * batch.num_rows, pa.string()), pa.array(names, pa.string()), pa.array(probs, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*again.columns, *told], names=schema.names)
+
+    return rows.mapInArrow(told, schema)

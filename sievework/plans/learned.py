@@ -28,8 +28,7 @@ def local_predictions(spark, sf_dir):
     folder = scratch(spark, "models")
     until_exit(spark, folder)
     classifiers.train(rows, folder).collect()  # a row for each attribute
-    asked = docs.withColumn("attribute_id", F.explode(F.array(*map(F.lit, ("quality", "toxic", "unknown")))))
-    return classifiers.predict(asked, folder).select("doc_id", "attribute_id", "class", F.round("prob", 6).alias("prob"))
+    return classifiers.predict_each(docs, ["quality", "toxic", "unknown"], folder).select("doc_id", "attribute_id", "class", F.round("prob", 6).alias("prob"))
 
 
 @query("SELECT p_type AS book, p_partkey::VARCHAR AS k, p_name AS n, p_size::VARCHAR AS s FROM part")
