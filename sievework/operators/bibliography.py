@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import title_key
+from sievework.sources.tables import dealt
 
 ACCEPT, REVIEW, CONTAINED, LEAST_CONTAINED = 0.90, 0.75, 0.89, 40
 
@@ -61,18 +62,23 @@ def _grams(key: Column) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.substr(key, i, F.lit(2))))
 
 
-def best_candidates(references: DataFrame, candidates: DataFrame) -> DataFrame:
+def best_candidates(references: DataFrame, candidates: DataFrame, twins: float | None = None) -> DataFrame:
     """For each reference (ref_id, title, year, authors) the best of its own candidates (ref_id, cand_id, cand_title, cand_year, surname).
 
     Candidates come with the reference they were looked up for, so the join is on ref_id and no edit distance is taken across references.
     Of candidates of one title only the nearest in time can be best, so a title is compared once for a reference, and keys are taken once
     for each. One likely candidate of a reference gives a similarity that others must reach: by their lengths and pairs of characters, of
-    which an edit changes two at most, before edits are counted, and then up to that number of edits.
+    which an edit changes two at most, before edits are counted, and then up to that number of edits. With `twins`, a null doi is filled from
+    a candidate of the same reference with that similarity at least, the same year and a doi; edits are counted as far as that allows.
     """
-    refs = references.withColumn("_a", title_key("title"))
+    refs = references.select("ref_id", title_key("title").alias("_a"), F.col("year").alias("_y"))
     near = F.struct(F.abs(F.col("year") - F.col("cand_year")).isNull(), F.abs(F.col("year") - F.col("cand_year")), "cand_id")
-    nearest = candidates.join(references.select("ref_id", "year"), "ref_id").groupBy("ref_id", "cand_title").agg(F.min_by(F.struct(*[c for c in candidates.columns if c not in ("ref_id", "cand_title")]), near).alias("_c"))
-    pairs = nearest.withColumn("_b", title_key("cand_title")).join(refs.select("ref_id", "_a"), "ref_id")
+    of_title = [F.min_by(F.struct(*[c for c in candidates.columns if c not in ("ref_id", "cand_title")]), near).alias("_c")]
+    if twins is not None:
+        twin = F.col("cand_doi").isNotNull() & (F.col("cand_year") == F.col("year"))
+        of_title.append(F.min(F.when(twin, F.struct("cand_id", "cand_doi"))).alias("_twin"))
+    nearest = dealt(candidates.join(references.select("ref_id", "year"), "ref_id"), "ref_id").groupBy("ref_id", "cand_title").agg(*of_title)
+    pairs = nearest.withColumn("_b", title_key("cand_title")).join(refs, "ref_id")
     known = F.col("_a").isNotNull() & F.col("_b").isNotNull() & (F.col("_a") != "") & (F.col("_b") != "")
     longer = F.greatest(F.length("_a"), F.length("_b"))
     apart = F.abs(F.length("_a") - F.length("_b"))
@@ -87,8 +93,17 @@ def best_candidates(references: DataFrame, candidates: DataFrame) -> DataFrame:
     similarity = F.greatest("_known", F.when(edits >= 0, 1 - edits / longer))
     scored = pairs.withColumn("similarity", similarity)
     first = F.min_by(F.struct("cand_title", "_c", "similarity"), F.struct(-F.col("similarity"), F.abs(F.col("_y") - F.col("_c.cand_year")).isNull(), F.abs(F.col("_y") - F.col("_c.cand_year")), "_c.cand_id"))
-    best = scored.join(references.select("ref_id", F.col("year").alias("_y")), "ref_id").groupBy("ref_id").agg(first.alias("_f"))
-    best = best.select("ref_id", "_f.cand_title", "_f._c.*", "_f.similarity")
+    of_reference = [first.alias("_f")]
+    if twins is not None:
+        allowed = F.floor((1 - twins) * longer + 1e-9).cast("int")
+        edits = F.when(F.col("_twin").isNotNull() & known & (apart <= allowed), F.when(F.col("_a") == F.col("_b"), F.lit(0)).otherwise(edits_up_to("_a", "_b", allowed)))
+        scored = scored.withColumn("_s", F.when(edits >= 0, 1 - edits / longer))
+        like = F.col("_s") >= twins
+        of_reference.append(F.min_by(F.when(like, F.col("_twin.cand_doi")), F.when(like, F.struct(-F.col("_s"), "_twin.cand_id"))).alias("_doi"))
+    best = scored.groupBy("ref_id").agg(*of_reference)
+    best = best.select("ref_id", "_f.cand_title", "_f._c.*", "_f.similarity", *([] if twins is None else ["_doi"]))
+    if twins is not None:
+        best = best.withColumn("cand_doi", F.coalesce("cand_doi", "_doi"))
     best = references.join(best, "ref_id").select(*references.columns, *[c for c in candidates.columns if c != "ref_id"], "similarity")
     best = best.withColumns({"year_gap": F.abs(F.col("year") - F.col("cand_year")), "author_ok": author_agrees("authors", "surname")})
     return best.withColumn("verdict", match_verdict(F.col("similarity"), F.col("year_gap"), F.col("author_ok")))
@@ -132,15 +147,6 @@ def consolidated(first: str, first_doi: str, second: str, second_doi: str, third
 def enriched(references: DataFrame, candidates: DataFrame, least: float = 0.95) -> DataFrame:
     """Best candidates whose null doi is filled from a twin: a candidate of the same reference with a like title, the same year and a doi.
 
-    Only candidates of the reference's year are compared, each title once, and edits are counted only as far as `least` allows.
+    Twins are looked for among the titles that are compared for the best, so candidates are joined and titles' keys are taken once.
     """
-    keyed = references.withColumn("_a", title_key("title")).select("ref_id", F.col("year").alias("cand_year"), "_a")
-    same = candidates.where("cand_doi IS NOT NULL").join(keyed, ["ref_id", "cand_year"]).groupBy("ref_id", "cand_title", "_a").agg(F.min_by("cand_doi", "cand_id").alias("cand_doi"), F.min("cand_id").alias("cand_id"))
-    same = same.withColumn("_b", title_key("cand_title"))
-    longer = F.greatest(F.length("_a"), F.length("_b"))
-    most = F.floor((1 - least) * longer + 1e-9).cast("int")
-    near = (F.col("_a") != "") & (F.col("_b") != "") & (F.abs(F.length("_a") - F.length("_b")) <= most)
-    like = F.when(near, F.when(F.col("_a") == F.col("_b"), F.lit(0)).otherwise(edits_up_to("_a", "_b", most)))
-    twins = same.withColumn("_s", F.when(like >= 0, 1 - like / longer)).where(F.col("_s") >= least)
-    twin = twins.groupBy("ref_id").agg(F.min_by("cand_doi", F.struct(-F.col("_s"), "cand_id")).alias("_doi"))
-    return best_candidates(references, candidates).join(twin, "ref_id", "left").withColumn("cand_doi", F.coalesce("cand_doi", "_doi")).drop("_doi")
+    return best_candidates(references, candidates, least)
