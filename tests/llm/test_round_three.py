@@ -253,3 +253,24 @@ def test_a_hot_client_in_one_hour(spark):
     lines = spark.createDataFrame([], "sale_id long, shipped_at timestamp_ntz")
     out = intervals.join(rows, lines, clicks)
     assert out.groupBy("relation", "n_pairs", "overlap_slots").count().collect() == [("equals", 1, 1, 20_000)]
+
+
+def test_texts_split_at_spaces_have_the_library_s_ids():
+    """A word that follows a space stands in the cache without it; white space that runs on is cut as the library does it."""
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    import public_tokenizers as P
+    from sievework.llm import tokens
+
+    draw = random.Random(11)
+    bits = ["Word", "wörd.", "it's", "x1", " ", "  ", "\n", " \n", "\n ", "\t", "\x1c", "\x85", "\xa0", "\u2003", "e\u0301", "...", "日本", "a" * 70, "<|endoftext|>"]
+    texts = ["", " ", "  ", " a", "a ", "a\n b", "a \n b", "a\n \nb", *("".join(draw.choice(bits[: draw.choice([6, 18, 19])]) for _ in range(draw.randrange(1, 14))) for _ in range(3000))]
+    lib, tok = Tokenizer.from_file(P.path("byte_bpe_50k.json")), tokens.CachedTokenizer(P.path("byte_bpe_50k.json"))
+    for _ in range(2):  # new, then from the cache
+        for t, got in zip(texts, tok.ids(texts), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+    assert {"Word", " Word"} <= tok.keys() and not any("\n" in k and k.strip() for k in tok)
+    assert np.frombuffer(tok["Word"], "<u4").tolist() == lib.encode(" Word", add_special_tokens=False).ids
