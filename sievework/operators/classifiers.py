@@ -231,17 +231,17 @@ def fitted_on(rows: DataFrame, counts: dict[str, dict[str, int]], epochs: int =
         for block in blocks(told, classes):
             yield pa.RecordBatch.from_pydict({"block": pa.array([pickle.dumps(block)], pa.binary())})
 
-    def summed(part: Iterator, given) -> Iterator:
+    def unpacked(row):
         import pickle
 
-        yield pulled((pickle.loads(r.block) for r in part), *given.value)
+        return pickle.loads(row.block)
 
     some = rows.where(F.col("attribute_id").isin(*classes)).mapInArrow(packed, "block binary")
-    kept = some.repartition(context.defaultParallelism).rdd.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = some.repartition(context.defaultParallelism).rdd.map(unpacked).persist(StorageLevel.MEMORY_AND_DISK)  # as Python writes it, which it reads fast
 
     def pull(*given):
         sent = context.broadcast(given)
-        sums = kept.mapPartitions(lambda part: summed(part, sent)).collect()  # one for each task
+        sums = kept.mapPartitions(lambda part: [pulled(part, *sent.value)]).collect()  # one for each task
         sent.destroy()
         return [sum(x) for x in zip(*sums)]
 
